@@ -51,6 +51,15 @@ def _groups(line: Column, pattern: str, fields: Sequence[str]) -> Column:
     return F.when((F.size(parts) == len(fields)) & ~line.contains(MARK), named)
 
 
+def _once(df: DataFrame, expr: Column, out: str) -> DataFrame:
+    """Add a column that is computed once per row.
+
+    A generated column is not merged into later filters and projections, which would otherwise repeat the
+    pattern match for each use.
+    """
+    return df.select("*", F.explode(F.array(expr)).alias(out))
+
+
 def dash_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit("-"))
 
@@ -70,11 +79,9 @@ def parse_access_logs(lines: DataFrame, c: str = "value", keep: Sequence[str] =
     A line with an unreadable time still parses; its ``ts`` is null and the raw text stays in ``timestamp``.
     """
     line = F.col(c)
-    matched = (
-        read_lines(lines, c)
-        .withColumn("__a", _groups(line, COMBINED, COMBINED_FIELDS))
-        .withColumn("__b", F.when(F.col("__a").isNull(), _groups(line, EXTENDED, EXTENDED_FIELDS)))
-    )
+    matched = _once(read_lines(lines, c), _groups(line, COMBINED, COMBINED_FIELDS), "__a")
+    second = F.when(F.col("__a").isNull(), _groups(line, EXTENDED, EXTENDED_FIELDS))
+    matched = _once(matched, second, "__b")
 
     def pick(name: str) -> Column:
         a = F.col(f"__a.{name}") if name in COMBINED_FIELDS else F.lit(None).cast("string")
@@ -138,11 +145,10 @@ def classify_error_lines(
     """
     line = F.col(c)
     broken = line.contains(BROKEN)
-    parts = (
-        read_lines(lines, c)
-        .withColumn("__i", F.when(~broken, _groups(line, INCOMPLETE, ("user_agent", "status_code"))))
-        .withColumn("__f", F.when(~broken & F.col("__i").isNull(), _groups(line, FULL, FULL_FIELDS)))
-    )
+    parts = read_lines(lines, c)
+    parts = _once(parts, F.when(~broken, _groups(line, INCOMPLETE, ("user_agent", "status_code"))), "__i")
+    full = F.when(~broken & F.col("__i").isNull(), _groups(line, FULL, FULL_FIELDS))
+    parts = _once(parts, full, "__f")
     kind = (
         F.when(broken, "corrupted")
         .when(F.col("__i").isNotNull(), "incomplete")
@@ -165,12 +171,8 @@ def classify_error_lines(
 
 def parse_reject_records(lines: DataFrame, c: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """Records ``id@@line@@message``; others are dropped. Values of mixed type keep their raw text."""
-    parts = F.split(F.col(c), "@@", -1)
-    rows = (
-        read_lines(lines, c).withColumn("__p", parts).filter(F.size("__p") == 3)
-        .withColumn("__m", _groups(F.col("__p")[1], REJECTED, REJECT_FIELDS))
-        .filter(F.col("__m").isNotNull())
-    )
+    rows = _once(read_lines(lines, c), F.split(F.col(c), "@@", -1), "__p").filter(F.size("__p") == 3)
+    rows = _once(rows, _groups(F.col("__p")[1], REJECTED, REJECT_FIELDS), "__m").filter(F.col("__m").isNotNull())
     m = F.col("__m")
     number = r"^\d*\.?\d*$"
     seconds = F.when(m["response_time"].rlike(number), m["response_time"].try_cast("double"))
