@@ -10,28 +10,37 @@ candidates per row and block go on. No donor is ever left out that could be amon
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.relational import append_all
 from millrace.operators.split import bucket_of
 from millrace.session import settle
 
 MAX_COLUMNS = 8
+CELLS = 65_536
 RECEIVERS = 256
 
 
+class Task(NamedTuple):
+    """One missing column of one pattern of gaps."""
+
+    number: int
+    pattern: int
+    target: int
+    known: tuple[int, ...]
+
+
 def _pattern(cols: Sequence[str]) -> Column:
     return sum((F.when(F.col(c).isNull(), 1 << i).otherwise(0) for i, c in enumerate(cols)), F.lit(0))
 
 
 def _gaps(values: np.ndarray, lo: np.ndarray, hi: np.ndarray, p: int) -> tuple[np.ndarray, np.ndarray]:
     """Least and greatest possible distance of each row to the box of each cell."""
-    near = np.zeros((len(values), len(lo)))
-    far = np.zeros_like(near)
+    near, far = np.zeros((2, len(values), len(lo)))
     shared = np.sum(~np.isnan(lo), axis=1)
     for i in range(values.shape[1]):
         v, a, b = values[:, i, None], lo[None, :, i], hi[None, :, i]
@@ -41,133 +50,157 @@ def _gaps(values: np.ndarray, lo: np.ndarray, hi: np.ndarray, p: int) -> tuple[n
     return np.sqrt(near * scale), np.sqrt(far * scale)
 
 
-def _visits(
-    receivers: DataFrame, known: Sequence[str], cells: pd.DataFrame, k: int, p: int
-) -> DataFrame:
+def _shape(rows: DataFrame, cols: Sequence[str], tasks: Sequence[Task], donors: bool) -> DataFrame:
+    """Rows per task, with the columns the task does not know blanked out.
+
+    Donors know the target and at least one column; receivers have the pattern of the task.
+    """
+    def one(task: Task) -> Column:
+        known = [cols[i] for i in task.known]
+        if donors:
+            fits = F.col(cols[task.target]).isNotNull() & (F.coalesce(*known).isNotNull())
+        else:
+            fits = F.col("pattern") == task.pattern
+        x = [F.col(c) if c in known else F.lit(None).cast("double") for c in cols]
+        return F.when(fits, F.struct(
+            F.lit(task.number).alias("task"), F.lit(len(known)).alias("n_known"),
+            *[v.alias(f"x{i}") for i, v in enumerate(x)], F.col(cols[task.target]).alias("value"),
+        ))
+
+    each = rows.select("m", F.explode(F.array_compact(F.array(*[one(t) for t in tasks]))).alias("r"))
+    return each.select("r.*", "m")
+
+
+def _cell(p: int, cuts: Sequence[list[float]], per_task: int) -> Column:
+    """Grid cell: the quantile interval of each known column, finer the fewer columns are known."""
+    cell = F.lit(0).cast("long")
+    for i in range(p):
+        axis = F.when(F.col(f"x{i}").isNull(), -1)
+        for n in range(1, p + 1):
+            per_axis = max(2, int(per_task ** (1 / n)))
+            step = max(1, (len(cuts[i]) + 1) // per_axis)
+            axis = axis.when(F.col("n_known") == n, bucket_of(F.col(f"x{i}"), cuts[i][step - 1::step]))
+        cell = cell * (len(cuts[i]) + 3) + axis + 1
+    return cell
+
+
+def _visits(receivers: DataFrame, p: int, boxes: pd.DataFrame, k: int) -> DataFrame:
     """Packed receivers per cell they have to visit."""
-    sent = receivers.sparkSession.sparkContext.broadcast((
-        cells["cell"].to_numpy(), cells["m"].to_numpy(),
-        cells[[f"lo_{c}" for c in known]].to_numpy(dtype=float),
-        cells[[f"hi_{c}" for c in known]].to_numpy(dtype=float),
-    ))
+    low, high = ([f"{end}{i}" for i in range(p)] for end in ("lo", "hi"))
+    sent = receivers.sparkSession.sparkContext.broadcast({
+        task: (b["cell"].to_numpy(), b["m"].to_numpy(), b[low].to_numpy(dtype=float), b[high].to_numpy(dtype=float))
+        for task, b in boxes.groupby("task")
+    })
+    names = [f"x{i}" for i in range(p)]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, weight, lo, hi = sent.value
         for batch in batches:
-            values = batch[list(known)].to_numpy(dtype=float)
-            for start in range(0, len(values), RECEIVERS):
-                block = values[start:start + RECEIVERS]
-                near, far = _gaps(block, lo, hi, p)
-                order = np.argsort(far, axis=1)
-                enough = np.cumsum(weight[order], axis=1) >= k
-                at = np.where(enough.any(axis=1), enough.argmax(axis=1), len(ids) - 1)
-                bound = np.take_along_axis(far, order, axis=1)[np.arange(len(block)), at]
-                bound = np.where(enough.any(axis=1), bound * (1 + 1e-9), np.inf)
-                row, cell = np.nonzero(near <= bound[:, None])
-                out_cells, out_rows = [], []
-                for c in np.unique(cell):
-                    out_cells.append(ids[c])
-                    out_rows.append(block[row[cell == c]].ravel())
-                yield pd.DataFrame({"cell": out_cells, "receivers": out_rows})
-
-    return receivers.mapInPandas(run, "cell long, receivers array<double>")
-
-
-def _candidates(meeting: DataFrame, width: int, k: int, p: int) -> DataFrame:
+            for task, rows in batch.groupby("task"):
+                if task not in sent.value:
+                    continue
+                cells, weight, lo, hi = sent.value[task]
+                values = rows[names].to_numpy(dtype=float)
+                for start in range(0, len(values), RECEIVERS):
+                    block = values[start:start + RECEIVERS]
+                    near, far = _gaps(block, lo, hi, p)
+                    order = np.argsort(far, axis=1)
+                    enough = np.cumsum(weight[order], axis=1) >= k
+                    at = np.take_along_axis(order, enough.argmax(axis=1)[:, None], axis=1)
+                    bound = np.take_along_axis(far, at, axis=1) * (1 + 1e-9)
+                    bound = np.where(enough.any(axis=1)[:, None], bound, np.inf)
+                    row, cell = np.nonzero(near <= bound)
+                    by_cell = np.argsort(cell, kind="stable")
+                    ids, first = np.unique(cell[by_cell], return_index=True)
+                    packed = [block[r].ravel() for r in np.split(row[by_cell], first[1:])]
+                    yield pd.DataFrame({"task": task, "cell": cells[ids], "receivers": packed})
+
+    return receivers.select("task", *names).mapInPandas(run, "task int, cell long, receivers array<double>")
+
+
+def _candidates(meeting: DataFrame, p: int, k: int) -> DataFrame:
     """The k nearest donors of each receiver within each block of donors."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out: dict[str, list] = {"receiver": [], "distance": [], "value": [], "m": []}
-            for packed, donors, values, counts in zip(
-                batch["receivers"], batch["donors"], batch["targets"], batch["counts"], strict=True
-            ):
-                r = np.asarray(packed, dtype=float).reshape(-1, width)
-                d = np.asarray(donors, dtype=float).reshape(-1, width)
-                shared = np.sum(~np.isnan(d), axis=1)
+            for task, packed, donors, values, counts in batch.itertuples(index=False):
+                r = np.asarray(packed, dtype=float).reshape(-1, p)
+                d = np.asarray(donors, dtype=float).reshape(-1, p)
                 total = np.zeros((len(r), len(d)))
-                for i in range(width):
+                for i in range(p):
                     total += np.nan_to_num((r[:, i, None] - d[None, :, i]) ** 2)
-                distance = np.sqrt(total * (p / shared))
+                distance = np.sqrt(total * (p / np.sum(~np.isnan(d), axis=1)))
                 target, count = np.asarray(values, dtype=float), np.asarray(counts)
-                for line in range(len(r)):
-                    best = np.lexsort((target, distance[line]))[:k]
-                    out["receiver"] += [r[line]] * len(best)
-                    out["distance"] += distance[line, best].tolist()
-                    out["value"] += target[best].tolist()
-                    out["m"] += count[best].tolist()
-            yield pd.DataFrame(out)
+                by_value = np.argsort(target, kind="stable")
+                best = by_value[np.argsort(distance[:, by_value], axis=1, kind="stable")[:, :k]]
+                yield pd.DataFrame({
+                    "task": task, "receiver": list(np.repeat(r, best.shape[1], axis=0)),
+                    "distance": np.take_along_axis(distance, best, axis=1).ravel(),
+                    "value": target[best].ravel(), "m": count[best].ravel(),
+                })
 
-    return meeting.mapInPandas(run, "receiver array<double>, distance double, value double, m long")
+    columns = meeting.select("task", "receivers", "donors", "targets", "counts")
+    return columns.mapInPandas(run, "task int, receiver array<double>, distance double, value double, m long")
 
 
 def _weighted(candidates: DataFrame, k: int) -> DataFrame:
     """Mean of the k nearest values weighted by 1/distance; donors at distance zero win alone."""
-    w = Window.partitionBy("receiver").orderBy("distance", "value")
+    w = Window.partitionBy("task", "receiver").orderBy("distance", "value")
     first = candidates.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= k)
     before = F.coalesce(F.sum("m").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     used = first.withColumn("take", F.greatest(F.least("m", F.lit(k) - before), F.lit(0))).filter("take > 0")
     zero = F.col("distance") == 0
     weight = F.col("take") / F.when(zero, F.lit(1.0)).otherwise(F.col("distance"))
     exact_value, exact_weight = (F.sum(F.when(zero, x)) for x in (F.col("take") * F.col("value"), F.col("take")))
-    return used.groupBy("receiver").agg(
+    return used.groupBy("task", "receiver").agg(
         F.coalesce(exact_value / exact_weight, F.sum(weight * F.col("value")) / F.sum(weight)).alias("filled")
     )
 
 
-def _fill_one(
-    rows: DataFrame, cols: Sequence[str], pattern: int, target: str, cuts: dict[str, list[float]],
-    k: int, max_cells: int, block: int,
-) -> DataFrame | None:
-    """Values of one missing column for all rows with one pattern of gaps."""
+def _fills(
+    rows: DataFrame, cols: Sequence[str], tasks: Sequence[Task], cuts: Sequence[list[float]], k: int, block: int
+) -> DataFrame:
+    """One row per incomplete tuple with the values found for its gaps."""
     p = len(cols)
-    known = [c for i, c in enumerate(cols) if not pattern >> i & 1]
-    usable = F.col(target).isNotNull() & ~F.forall(F.array(*known), lambda x: x.isNull())
-    donors = rows.filter(usable).groupBy(*known, target).agg(F.sum("m").alias("m"))
-    per_axis = max(2, int(max_cells ** (1 / len(known))))
-    cell = F.lit(0).cast("long")
-    for c in known:
-        step = max(1, (len(cuts[c]) + 1) // per_axis)
-        axis = F.when(F.col(c).isNull(), -1).otherwise(bucket_of(F.col(c), cuts[c][step - 1::step]))
-        cell = cell * (2 * per_axis + 2) + axis + 1
-    placed = donors.withColumn("cell", cell)
-    boxes = placed.groupBy("cell").agg(
+    xs = [f"x{i}" for i in range(p)]
+    donors = _shape(rows, cols, tasks, donors=True)
+    donors = donors.groupBy("task", "n_known", *xs, "value").agg(F.sum("m").alias("m"))
+    placed = donors.withColumn("cell", _cell(p, cuts, max(64, CELLS // len(tasks))))
+    placed = settle(placed.drop("n_known"), "donors")
+    boxes = placed.groupBy("task", "cell").agg(
         F.count(F.lit(1)).alias("n"), F.sum("m").alias("m"),
-        *[F.min(c).alias(f"lo_{c}") for c in known], *[F.max(c).alias(f"hi_{c}") for c in known],
-    ).toPandas()
-    if not len(boxes):
-        return None
-    receivers = rows.filter(F.col("pattern") == pattern).select(*known)
-    splits = rows.sparkSession.createDataFrame(
-        [(int(c), int(-(-n // block))) for c, n in zip(boxes["cell"], boxes["n"], strict=True)],
-        "cell long, splits int",
+        *[F.min(x).alias(f"lo{i}") for i, x in enumerate(xs)], *[F.max(x).alias(f"hi{i}") for i, x in enumerate(xs)],
     )
+    splits = boxes.select("task", "cell", F.ceil(F.col("n") / block).alias("splits"))
     nan = F.lit(float("nan"))
     packed = (
-        placed.join(F.broadcast(splits), "cell")
-        .withColumn("part", F.pmod(F.xxhash64(*known, target), F.col("splits")))
-        .groupBy("cell", "part")
+        placed.join(splits, ["task", "cell"])
+        .withColumn("part", F.pmod(F.xxhash64(*xs, "value"), F.col("splits")))
+        .groupBy("task", "cell", "part")
         .agg(F.collect_list(F.struct(
-            F.array(*[F.coalesce(c, nan) for c in known]).alias("x"), F.col(target).alias("t"), F.col("m").alias("m"),
+            F.array(*[F.coalesce(x, nan) for x in xs]).alias("x"), F.col("value").alias("t"), F.col("m").alias("m"),
         )).alias("d"))
-        .select("cell", F.flatten("d.x").alias("donors"), F.col("d.t").alias("targets"), F.col("d.m").alias("counts"))
+        .select(
+            "task", "cell", F.flatten("d.x").alias("donors"), F.col("d.t").alias("targets"), F.col("d.m").alias("counts")
+        )
     )
-    meeting = _visits(receivers, known, boxes, k, p).join(packed, "cell")
-    values = _weighted(_candidates(meeting, len(known), k, p), k)
-    at = {c: i for i, c in enumerate(known)}
-    return values.select(
-        *[(F.col("receiver")[at[c]] if c in at else F.lit(None).cast("double")).alias(c) for c in cols],
-        F.lit(target).alias("target"), "filled",
+    receivers = _shape(rows.filter(F.col("pattern") != 0), cols, tasks, donors=False)
+    visits = _visits(receivers, p, boxes.toPandas(), k)
+    values = _weighted(_candidates(visits.join(packed, ["task", "cell"]), p, k), k)
+    known = [F.nanvl(F.col("receiver")[i], F.lit(None).cast("double")).alias(f"k_{c}") for i, c in enumerate(cols)]
+    facts = F.create_map(*[F.lit(v) for t in tasks for v in (t.number, t.pattern * p + t.target)])
+    code = F.try_element_at(facts, F.col("task"))
+    return (
+        values.withColumn("code", code).groupBy("receiver", F.floor(F.col("code") / p).alias("pattern"))
+        .agg(*[F.max(F.when(F.col("code") % p == i, F.col("filled"))).alias(f"f_{c}") for i, c in enumerate(cols)])
+        .select(*known, *[f"f_{c}" for c in cols])
     )
 
 
-def impute_knn(
-    df: DataFrame, cols: Sequence[str], k: int = 5, max_cells: int = 4096, block: int = 1024
-) -> DataFrame:
+def impute_knn(df: DataFrame, cols: Sequence[str], k: int = 5, block: int = 1024) -> DataFrame:
     """Fill the gaps of numeric columns from the k nearest rows that know the value.
 
     Of equally distant donors the smaller values come first. A gap without a usable donor takes the column
-    mean. The work is one block join per pattern of gaps and missing column.
+    mean.
     """
     cols = list(cols)
     if len(cols) > MAX_COLUMNS:
@@ -177,30 +210,28 @@ def impute_knn(
         typed.groupBy(*cols).agg(F.count(F.lit(1)).alias("m")).withColumn("pattern", _pattern(cols)), "tuples"
     )
     shares = [i / 256 for i in range(1, 256)]
+
+    def mean(c: str) -> Column:
+        return F.try_divide(F.sum(F.col(c) * F.col("m")), F.sum(F.when(F.col(c).isNotNull(), F.col("m"))))
+
     facts = rows.agg(
         F.collect_set("pattern").alias("patterns"),
         *[F.percentile_approx(c, shares, 10_000).alias(f"q_{c}") for c in cols],
-        *[F.try_divide(F.sum(F.col(c) * F.col("m")), F.sum(F.when(F.col(c).isNotNull(), F.col("m")))).alias(f"avg_{c}") for c in cols],
+        *[mean(c).alias(f"avg_{c}") for c in cols],
     ).first()
-    cuts = {c: sorted(set(facts[f"q_{c}"] or [])) for c in cols}
-    everything = (1 << len(cols)) - 1
-    parts = [
-        _fill_one(rows, cols, q, c, cuts, k, max_cells, block)
-        for q in sorted(facts["patterns"]) if q not in (0, everything)
-        for i, c in enumerate(cols) if q >> i & 1
+    cuts = [sorted(set(facts[f"q_{c}"] or [])) for c in cols]
+    everything, p = (1 << len(cols)) - 1, range(len(cols))
+    tasks = [
+        Task(n, q, i, tuple(j for j in p if not q >> j & 1))
+        for n, (q, i) in enumerate((q, i) for q in sorted(facts["patterns"]) if q not in (0, everything) for i in p if q >> i & 1)
     ]
-    parts = [part for part in parts if part is not None]
-    complete = typed.filter(_pattern(cols) == 0)
     gaps = typed.filter(_pattern(cols) != 0)
-    if parts:
-        wide = append_all(*parts).groupBy(*cols).agg(
-            *[F.max(F.when(F.col("target") == c, F.col("filled"))).alias(f"f_{c}") for c in cols]
-        ).withColumnsRenamed({c: f"k_{c}" for c in cols})
+    if tasks:
         same = [F.col(c).eqNullSafe(F.col(f"k_{c}")) for c in cols]
-        gaps = gaps.join(wide, same, "left").drop(*[f"k_{c}" for c in cols])
+        gaps = gaps.join(_fills(rows, cols, tasks, cuts, k, block), same, "left")
     else:
         gaps = gaps.withColumns({f"f_{c}": F.lit(None).cast("double") for c in cols})
     filled = gaps.withColumns({
         c: F.coalesce(F.col(c), F.col(f"f_{c}"), F.lit(facts[f"avg_{c}"])) for c in cols
     })
-    return complete.unionByName(filled.select(*complete.columns))
+    return typed.filter(_pattern(cols) == 0).unionByName(filled.select(*typed.columns))
