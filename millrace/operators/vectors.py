@@ -122,7 +122,7 @@ def _merge(parts: Sequence[DataFrame], qid: str, base_id: str, k: int, metric: s
     window = Window.partitionBy(qid).orderBy(F.desc("score"), F.col(base_id))
     ranked = append_all(*parts).withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
     if metric == "l2":
-        ranked = ranked.withColumn("score", F.greatest(-F.col("score"), F.lit(0.0)))
+        ranked = ranked.withColumn("score", F.abs("score"))
     return ranked
 
 

@@ -297,9 +297,9 @@ def read_rest(
     return explode_records(parse_payload(answers, "body", schema), f"payload.{records}", list(keep))
 
 
-def with_default_record(answers: DataFrame, schema: str, defaults: Mapping[str, tuple[str, object]]) -> DataFrame:
-    """One row per answer with the named paths, or the given values where the answer lacks them."""
+def with_default_record(answers: DataFrame, schema: str, defaults: Mapping[str, tuple[Column, object]]) -> DataFrame:
+    """One row per answer with values taken from its ``payload``, or a default where the answer lacks them."""
     parsed = parse_payload(answers, "body", schema)
     return parsed.withColumns({
-        out: F.coalesce(F.col(f"payload.{path}"), F.lit(default)) for out, (path, default) in defaults.items()
+        out: F.coalesce(value, F.lit(default)) for out, (value, default) in defaults.items()
     }).drop("payload", "body")

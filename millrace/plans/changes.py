@@ -10,12 +10,6 @@ from millrace.operators import documents as docs
 from millrace.operators import quality
 from millrace.plans.registry import Tables, query
 
-CHANGES = """(select c_custkey, case c_custkey % 10 when 0 then 'delete' when 1 then 'update' else 'insert' end as op,
-  case when c_custkey % 10 = 2 then 'NEW' || c_custkey end as c_name, c_acctbal + 100 as c_acctbal
- from (select case when c_custkey % 10 = 2 then c_custkey + 100000000 else c_custkey end as key, * from customer)
- where c_custkey % 10 < 3)"""
-
-
 def changes(t: Tables) -> DataFrame:
     key = F.col("c_custkey")
     op = F.when(key % 10 == 0, "delete").when(key % 10 == 1, "update").otherwise("insert")
@@ -126,8 +120,9 @@ def reconcile_counts(t: Tables) -> DataFrame:
 select table_name, cast(position as integer) as position, column_name, n_rows from (
  select 'nation' as table_name, unnest([0, 1, 2]) as position, unnest(['n_nationkey', 'n_name', 'n_regionkey']) as column_name,
   (select count(*) from nation) as n_rows
- union all select 'region', unnest([0, 1]), unnest(['r_regionkey', 'r_name']), (select count(*) from region)
+ union all select 'customer', unnest([0, 1, 2, 3, 4]),
+  unnest(['c_custkey', 'c_name', 'c_nationkey', 'c_acctbal', 'c_mktsegment']), (select count(*) from customer)
  union all select 'labels', unnest([0, 1, 2]), unnest(['doc_id', 'quality', 'toxic']), (select count(*) from labels))""")
 def catalogue_report(t: Tables) -> DataFrame:
-    tables = {"nation": t.nation, "region": t.region, "labels": t.labels}
+    tables = {"nation": t.nation, "customer": t.customer, "labels": t.labels}
     return quality.catalogue_report(t.spark, tables).drop("data_type")
