@@ -12,12 +12,19 @@ from pyspark.sql.types import StringType
 
 from millrace.functions.columns import col
 
+# Allowed image extensions, and the characters that count as white space in text.
 IMAGE_EXTENSIONS = ("jpg", "jpeg", "png", "webp")
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+SPACE_CLASS = r"\s\x1c-\x1f\x85\p{Z}"
+WORD_CLASS = r"\p{L}\p{N}_"
 
 
 def strip_ws(c: Column | str) -> Column:
-    """Remove all white space at both ends (``trim`` removes blanks only)."""
-    return F.regexp_replace(col(c), r"(?U)^\s+|\s+$", "")
+    """Remove all white space at both ends (a plain ``trim`` removes blanks only)."""
+    return F.btrim(col(c), F.lit(WHITE_SPACE))
 
 
 def split_to_columns(df: DataFrame, c: str, sep: str, names: Sequence[str]) -> DataFrame:
@@ -51,14 +58,14 @@ def clean_money_text(c: Column | str) -> Column:
 
 def slug(c: Column | str, maxlen: int = 80, default: str = "untitled") -> Column:
     """File-name slug: word characters only, runs of blanks, underscores and hyphens become one hyphen."""
-    kept = F.regexp_replace(col(c), r"(?U)[^\w\s-]", "")
-    joined = F.regexp_replace(F.regexp_replace(kept, r"(?U)[\s_-]+", "-"), "^-+|-+$", "")
+    kept = F.regexp_replace(col(c), f"[^{WORD_CLASS}{SPACE_CLASS}-]+", "")
+    joined = F.btrim(F.regexp_replace(kept, f"[{SPACE_CLASS}_-]+", "-"), F.lit("-"))
     return F.coalesce(F.nullif(F.substring(joined, 1, maxlen), F.lit("")), F.lit(default))
 
 
 def plain_slug(c: Column | str, maxlen: int = 120, default: str = "unknown") -> Column:
     """Looser slug: each blank becomes one hyphen, nothing is collapsed."""
-    kept = strip_ws(F.regexp_replace(F.coalesce(col(c), F.lit("")), r"(?U)[^\w\s-]", ""))
+    kept = strip_ws(F.regexp_replace(F.coalesce(col(c), F.lit("")), f"[^{WORD_CLASS}{SPACE_CLASS}-]+", ""))
     dashed = F.replace(kept, F.lit(" "), F.lit("-"))
     return F.coalesce(F.nullif(F.substring(dashed, 1, maxlen), F.lit("")), F.lit(default))
 

@@ -150,6 +150,10 @@ def page_parts(pages: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(frame)
 
 
+# Marked so that filters and projections on the parts never repeat the parse.
+page_parts = page_parts.asNondeterministic()
+
+
 def with_parts(pages: DataFrame, html: str = "html") -> DataFrame:
     return pages.withColumn("parts", page_parts(F.col(html))).drop(html)
 

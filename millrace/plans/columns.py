@@ -230,16 +230,16 @@ def regex_anchors(t: Tables) -> DataFrame:
     )
 
 
-SLUG_A = r"""coalesce(nullif(left(regexp_replace(regexp_replace(regexp_replace({0}, '[^\p{{L}}\p{{M}}\p{{N}}_\s-]', '', 'g'),
+SLUG_A = r"""coalesce(nullif(left(regexp_replace(regexp_replace(regexp_replace({0}, '[^\p{{L}}\p{{N}}_\s-]', '', 'g'),
  '[\s_-]+', '-', 'g'), '^-+|-+$', '', 'g'), 80), ''), 'untitled')"""
-SLUG_B = r"""coalesce(nullif(left(replace(regexp_replace(regexp_replace(coalesce({0}, ''), '[^\p{{L}}\p{{M}}\p{{N}}_\s-]', '', 'g'),
+SLUG_B = r"""coalesce(nullif(left(replace(regexp_replace(regexp_replace(coalesce({0}, ''), '[^\p{{L}}\p{{N}}_\s-]', '', 'g'),
  '^\s+|\s+$', '', 'g'), ' ', '-'), 120), ''), 'unknown')"""
 
 
 @query("slugs", f"""
 select doc_id, {SLUG_A.format('text')} as slug, {SLUG_B.format('text')} as plain_slug from documents""")
 def slugs(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", tx.slug("text").alias("slug"), tx.plain_slug("text").alias("plain_slug"))
+    return t.spread("documents", "doc_id").select("doc_id", tx.slug("text").alias("slug"), tx.plain_slug("text").alias("plain_slug"))
 
 
 @query("url_parts", r"""

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.sources.files import spread
+
 BUILD: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -19,6 +21,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def spread(self, name: str, key: str) -> DataFrame:
+        """Table for work that is heavy per row; a scan of few splits uses all cores."""
+        return spread(getattr(self, name), key)
+
 
 def query(name: str, sql: str | None = None):
     """Register a function of ``Tables`` as a named query."""

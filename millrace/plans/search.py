@@ -125,6 +125,6 @@ select doc_id, cast(i as integer) as position, round_even(cast(n / (sqrt(total)
   select doc_id, list_transform(['a', 'e', 'i', 'o', 'u'], lambda v: len(text) - len(replace(text, v, ''))) as c from documents),
   generate_series(0, 4) g(i))""")
 def embed_documents(t: Tables) -> DataFrame:
-    encoded = vec.embed(t.documents.select("doc_id", "text"), "text", BrokenEncoder, fallback=LetterCounts)
+    encoded = vec.embed(t.spread("documents", "doc_id").select("doc_id", "text"), "text", BrokenEncoder, fallback=LetterCounts)
     long = encoded.select("doc_id", F.posexplode("vector").alias("position", "weight"))
     return long.withColumn("weight", half_even(F.col("weight").cast("double"), 4))

@@ -22,7 +22,7 @@ def page_title(t: Tables) -> DataFrame:
 @query("page_links", """
 select page_id, href from (select page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) as href from pages)""")
 def page_links(t: Tables) -> DataFrame:
-    return web.extract_links(t.pages, keep=("page_id",)).select("page_id", "href")
+    return web.extract_links(t.spread("pages", "page_id"), keep=("page_id",)).select("page_id", "href")
 
 
 @query("page_absolute_links", r"""
@@ -30,13 +30,13 @@ select page_id, regexp_extract(url, '^[a-z]+://[^/?#]*') || href as link from (
  select page_id, url, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) as href from pages)
 where starts_with(href, '/')""")
 def page_absolute_links(t: Tables) -> DataFrame:
-    links = web.extract_links(t.pages, keep=("page_id",))
+    links = web.extract_links(t.spread("pages", "page_id"), keep=("page_id",))
     return links.filter(F.col("href").startswith("/")).select("page_id", "link")
 
 
 @query("page_heading")
 def page_heading(t: Tables) -> DataFrame:
-    return web.with_parts(t.pages).select("page_id", F.col("parts.h1").alias("h1"), F.col("parts.title").alias("title"))
+    return web.with_parts(t.spread("pages", "page_id")).select("page_id", F.col("parts.h1").alias("h1"), F.col("parts.title").alias("title"))
 
 
 def _price(c: str) -> Column:
@@ -61,7 +61,7 @@ def listing_pages(t: Tables) -> DataFrame:
         F.lit('<li class="next"><a href="page-'), (F.col("page") + 2).cast("string"), F.lit('.html">next</a></li></ul>'),
     )
     url = F.concat(F.lit("http://shop.example.com/list/page-"), (F.col("page") + 1).cast("string"), F.lit(".html"))
-    return grouped.select(
+    return grouped.repartition(t.spark.sparkContext.defaultParallelism, "page").select(
         "page", url.alias("url"),
         F.concat(F.lit("<html><body><script>var t='</p>'</script><ol>"), "items", foot).alias("html"),
     )
@@ -104,7 +104,7 @@ def detail_pages(t: Tables) -> DataFrame:
         row("Number of reviews", F.when(key % 5 == 0, "many").otherwise((key % 9).cast("string"))), F.lit("</table></body>"),
     )
     url = F.concat(F.lit("http://shop.example.com/catalogue/p_"), id_text, F.lit("/index.html"))
-    return t.part.select(url.alias("url"), html.alias("html"))
+    return t.spread("part", "p_partkey").select(url.alias("url"), html.alias("html"))
 
 
 DETAIL = """select p_name || ' ' || p_partkey as title, case when p_partkey % 10 <> 0 then 'u' || p_partkey end as upc,
@@ -186,7 +186,7 @@ def rest_records(t: Tables) -> DataFrame:
 
 @query("rest_default_record", f"""
 select 'http://api.example.com/customers/' || c_custkey as url,
- case when {OK} and c_custkey % 13 <> 0 then c_mktsegment else 'unknown' end as usage, 26.0 as temperature from customer""")
+ case when {OK} and c_custkey % 13 <> 0 then c_mktsegment else 'unknown' end as usage, 26.0::double as temperature from customer""")
 def rest_default_record(t: Tables) -> DataFrame:
     answers = web.fetch(_requests(t), recorded, parallelism=8, retries=0, backoff=0.0)
     schema = "sales struct<row:array<struct<id:bigint,usage:string,amount:string>>>, main struct<temp:double>"

@@ -54,6 +54,15 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file_name"))
 
 
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
+    """Give a scan of few splits one partition per core, for work that is heavy per row.
+
+    A large table has more splits than cores and is returned as it is: no shuffle at scale.
+    """
+    wanted = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= wanted else scan.repartition(wanted, *keys)
+
+
 def year_bucket(c: Column | str, first: int, last: int) -> Column:
     """Range partition of a date: the first bucket takes everything older, the last one the tail."""
     year = F.year(c)
