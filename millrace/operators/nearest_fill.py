@@ -122,6 +122,7 @@ def _candidates(meeting: DataFrame, p: int, k: int) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            out: dict[str, list[np.ndarray]] = {n: [] for n in ("task", "receiver", "distance", "value", "m")}
             for task, packed, donors, values, counts in batch.itertuples(index=False):
                 r = np.asarray(packed, dtype=float).reshape(-1, p)
                 d = np.asarray(donors, dtype=float).reshape(-1, p)
@@ -132,11 +133,14 @@ def _candidates(meeting: DataFrame, p: int, k: int) -> DataFrame:
                 target, count = np.asarray(values, dtype=float), np.asarray(counts)
                 by_value = np.argsort(target, kind="stable")
                 best = by_value[np.argsort(distance[:, by_value], axis=1, kind="stable")[:, :k]]
-                yield pd.DataFrame({
-                    "task": task, "receiver": list(np.repeat(r, best.shape[1], axis=0)),
-                    "distance": np.take_along_axis(distance, best, axis=1).ravel(),
-                    "value": target[best].ravel(), "m": count[best].ravel(),
-                })
+                out["task"].append(np.full(best.size, task))
+                out["receiver"].append(np.repeat(r, best.shape[1], axis=0))
+                out["distance"].append(np.take_along_axis(distance, best, axis=1).ravel())
+                out["value"].append(target[best].ravel())
+                out["m"].append(count[best].ravel())
+            if out["task"]:
+                columns = {n: np.concatenate(parts) for n, parts in out.items()}
+                yield pd.DataFrame({**columns, "receiver": list(columns["receiver"])})
 
     columns = meeting.select("task", "receivers", "donors", "targets", "counts")
     return columns.mapInPandas(run, "task int, receiver array<double>, distance double, value double, m long")

@@ -100,7 +100,7 @@ def compare_versions(df: DataFrame, id_col: str, ref_col: str, fields: Sequence[
 
 def append_all(*dfs: DataFrame) -> DataFrame:
     """All rows of all inputs; a column missing in one of them is null there."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [df.select("*") for df in dfs])
 
 
 def top_n_per_group(

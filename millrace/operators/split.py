@@ -41,7 +41,10 @@ def bucket_of(order: Column, cuts: Sequence) -> Column:
     """Number of cut points at or below the value: monotone in the order column."""
     if not cuts:
         return F.lit(0)
-    points = F.array(*[F.lit(c) for c in cuts])
+    if all(isinstance(c, float) for c in cuts):
+        points = F.expr(f"array({', '.join(f'{c!r}D' for c in cuts)})")
+    else:
+        points = F.array(*[F.lit(c) for c in cuts])
     return F.size(F.filter(points, lambda p: p <= order))
 
 

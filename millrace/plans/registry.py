@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.session import ship
 from millrace.sources.files import spread
 
 BUILD: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,7 +31,11 @@ def query(name: str, sql: str | None = None):
     """Register a function of ``Tables`` as a named query."""
 
     def register(build: Callable[[Tables], DataFrame]):
-        BUILD[name] = lambda spark, folder: build(Tables(spark, folder))
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            ship(spark)
+            return build(Tables(spark, folder))
+
+        BUILD[name] = run
         if sql is not None:
             SQL[name] = sql.strip()
         return build

@@ -39,44 +39,46 @@ def page_heading(t: Tables) -> DataFrame:
     return web.with_parts(t.spread("pages", "page_id")).select("page_id", F.col("parts.h1").alias("h1"), F.col("parts.title").alias("title"))
 
 
-def _price(c: str) -> Column:
+def _price(c: Column | str) -> Column:
     return F.concat(F.lit("Â£"), money(c).cast("string"))
 
 
 def listing_pages(t: Tables) -> DataFrame:
-    """Listing pages of at most 20 parts each."""
-    word = F.get(F.array(*map(F.lit, WORDS)), (F.col("p_partkey") % 6).cast("int"))
-    item = F.concat(
-        F.lit('<li><article class="product_pod"><p class="star-rating '), word, F.lit('"></p><h3><a href="../item/'),
-        F.col("p_partkey").cast("string"), F.lit('.html" title="'), F.col("p_name"), F.lit(' &amp; co">x</a></h3>'),
-        F.lit('<p class="price_color">'), _price("p_retailprice"), F.lit("</p></article></li>"),
-    )
-    page = F.floor(F.col("p_partkey") / 20)
-    grouped = t.part.groupBy(page.alias("page")).agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("p_partkey", item.alias("h")))), lambda x: x["h"]), "")
-        .alias("items")
-    )
+    """One listing page per part, with an item for each of four editions."""
+    page, url_of = F.col("p_partkey"), "http://shop.example.com/list/page-"
+
+    def item(i: Column) -> Column:
+        number = (page * 4 + i).cast("string")
+        word = F.get(F.array(*map(F.lit, WORDS)), ((page + i) % 6).cast("int"))
+        return F.concat(
+            F.lit('<li><article class="product_pod"><p class="star-rating '), word, F.lit('"></p><h3><a href="../item/'),
+            number, F.lit('.html" title="'), F.col("p_name"), F.lit(" &amp; "), number, F.lit('">x</a></h3>'),
+            F.lit('<p class="price_color">'), _price(F.col("p_retailprice") + i), F.lit("</p></article></li>"),
+        )
+
     foot = F.concat(
-        F.lit('</ol><ul class="pager"><li class="current"> Page '), (F.col("page") + 1).cast("string"), F.lit(" of 50 </li>"),
-        F.lit('<li class="next"><a href="page-'), (F.col("page") + 2).cast("string"), F.lit('.html">next</a></li></ul>'),
+        F.lit('</ol><ul class="pager"><li class="current"> Page '), page.cast("string"), F.lit(" of 50 </li>"),
+        F.lit('<li class="next"><a href="page-'), (page + 1).cast("string"), F.lit('.html">next</a></li></ul>'),
     )
-    url = F.concat(F.lit("http://shop.example.com/list/page-"), (F.col("page") + 1).cast("string"), F.lit(".html"))
-    return grouped.repartition(t.spark.sparkContext.defaultParallelism, "page").select(
-        "page", url.alias("url"),
-        F.concat(F.lit("<html><body><script>var t='</p>'</script><ol>"), "items", foot).alias("html"),
+    items = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), item), "")
+    head = F.lit("<html><body><script>var t='</p>'</script><ol>")
+    return t.spread("part", "p_partkey").select(
+        page.alias("page"), F.concat(F.lit(url_of), page.cast("string"), F.lit(".html")).alias("url"),
+        F.concat(head, items, foot).alias("html"),
     )
 
 
 @query("listing_items", """
-select 'http://shop.example.com/list/page-' || (p_partkey // 20 + 1) || '.html' as url,
- cast(p_partkey % 20 as integer) as position, p_name || ' & co' as title, cast(cast(p_retailprice as decimal(15,2)) as double) as price,
- cast(p_partkey % 6 as integer) as rating, 'http://shop.example.com/item/' || p_partkey || '.html' as link from part""")
+select 'http://shop.example.com/list/page-' || p_partkey || '.html' as url, cast(i as integer) as position,
+ p_name || ' & ' || (p_partkey * 4 + i) as title, cast(cast(p_retailprice + i as decimal(15,2)) as double) as price,
+ cast((p_partkey + i) % 6 as integer) as rating, 'http://shop.example.com/item/' || (p_partkey * 4 + i) || '.html' as link
+from part, generate_series(0, 3) g(i)""")
 def listing_items(t: Tables) -> DataFrame:
     return web.extract_listing(listing_pages(t).drop("page"))
 
 
 @query("page_navigation", """
-select distinct p_partkey // 20 as page, 'http://shop.example.com/list/page-' || (p_partkey // 20 + 2) || '.html' as next_url,
+select p_partkey as page, 'http://shop.example.com/list/page-' || (p_partkey + 1) || '.html' as next_url,
  50 as total_pages from part""")
 def page_navigation(t: Tables) -> DataFrame:
     return web.page_navigation(listing_pages(t), keep=("page",)).drop("url")

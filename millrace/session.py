@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -33,6 +34,20 @@ def session(app: str = "millrace", master: str | None = None, **conf: str) -> Sp
     return builder.getOrCreate()
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers of the session, once per Spark context."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="millrace-code-"), "millrace")
+    context.addPyFile(shutil.make_archive(target, "zip", os.path.dirname(package), os.path.basename(package)))
+    _shipped.add(context.applicationId)
+
+
+_shipped: set[str] = set()
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder.
 

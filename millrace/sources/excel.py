@@ -97,11 +97,12 @@ def read_excel(spark: SparkSession, path: str, schema: str) -> DataFrame:
     def typed(f):
         c, kind = F.col(f"`{f.name}`"), f.dataType.simpleString()
         if kind in ("date", "timestamp_ntz"):
-            seconds = F.round(c.try_cast("double") * 86400).cast("int")
+            serial = c.try_cast("double")
+            seconds = F.round((serial - F.floor(serial)) * 86400).cast("int")
             moment = F.lit("1899-12-30").cast("timestamp_ntz") + F.make_dt_interval(
-                F.floor(seconds / 86400).cast("int"), F.lit(0), F.lit(0), (seconds % 86400).cast("decimal(18,6)")
+                F.floor(serial).cast("int"), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)")
             )
-            return F.coalesce(c.try_cast(kind), moment.cast(kind)).alias(f.name)
+            return F.coalesce(moment.cast(kind), c.try_cast(kind)).alias(f.name)
         return (c if kind == "string" else c.try_cast(kind)).alias(f.name)
 
     return text.select("file", *[typed(f) for f in fields])

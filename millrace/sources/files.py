@@ -29,10 +29,13 @@ def write_table(
     df: DataFrame, path: str, fmt: str, mode: str = "errorifexists",
     partition_by: Sequence[str] = (), compression: str | None = None, **options,
 ) -> None:
-    """Write files; CSV gets a header, JSON lines keep null fields, text is UTF-8 throughout."""
+    """Write files; CSV gets a header, JSON lines keep null fields, text is UTF-8 throughout.
+
+    CSV has one form for empty and missing text, which is read back as null.
+    """
     kind = {"jsonl": "json"}.get(fmt, fmt)
     defaults = {
-        "csv": {"header": True, "escape": '"', "nullValue": "", "emptyValue": '""'},
+        "csv": {"header": True, "escape": '"'},
         "json": {"ignoreNullFields": False},
     }.get(kind, {})
     writer = df.write.format(kind).mode(mode).options(**{**defaults, **options})
