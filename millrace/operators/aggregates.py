@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from millrace.functions.columns import exact_avg, money
+from millrace.operators.split import running_total
 
 
 def mart_monthly(df: DataFrame, key: str, date_col: str, amount: str) -> DataFrame:
@@ -113,11 +114,8 @@ def exact_quantile(df: DataFrame, c: str, q: float = 0.5, small: int = 200_000)
 
 def _interpolated(part: DataFrame, below: int, lo_rank: int, hi_rank: int, pos: float) -> float:
     """Pick two ranks from value counts, with the running count cut into balanced pieces."""
-    from millrace.operators.split import bucket_of, cut_points, running_total
-
     counts = part.groupBy("x").agg(F.count(F.lit(1)).alias("m"))
-    cuts = cut_points(counts, F.col("x"))
-    cum = running_total(counts, [], [F.col("x")], "m", "upto", bucket_of(F.col("x"), cuts))
+    cum = running_total(counts, [], [F.col("x")], "m", "upto", F.col("x"))
     picked = cum.agg(
         F.min(F.when(F.col("upto") + below > lo_rank, F.col("x"))).alias("lo"),
         F.min(F.when(F.col("upto") + below > hi_rank, F.col("x"))).alias("hi"),

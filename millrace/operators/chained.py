@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_COLUMNS = 12
+MAX_COLUMNS = 8
 
 
 def _pattern(cols: Sequence[str]) -> Column:

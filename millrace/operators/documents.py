@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import all_of, untrue
 from millrace.functions.payload import record_id
-from millrace.operators.split import bucket_of, cut_points, numbered
+from millrace.operators.split import numbered
 
 
 def _number_bound(v) -> bool:
@@ -97,9 +97,8 @@ def update_one(
 
 
 def insert_numbered(df: DataFrame, new: DataFrame, key: str, order: str) -> DataFrame:
-    """Append rows with generated keys that continue after the highest one."""
-    cuts = cut_points(new, F.col(order))
-    keyed = numbered(new, [], [F.col(order)], key, bucket_of(F.col(order), cuts))
+    """Append rows with generated keys that continue after the highest one, by a numeric order column."""
+    keyed = numbered(new, [], [F.col(order)], key, F.col(order))
     top = F.coalesce(df.agg(F.max(key)).scalar(), F.lit(0))
     return df.unionByName(keyed.withColumn(key, (F.col(key) + top).cast(dict(df.dtypes)[key])))
 

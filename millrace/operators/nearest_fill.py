@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from millrace.operators.split import bucket_of
 from millrace.session import settle
 
-MAX_COLUMNS = 8
+MAX_COLUMNS = 6
 CELLS = 65_536
 RECEIVERS = 256
 

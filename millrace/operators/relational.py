@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import exact_avg
-from millrace.operators.split import bucket_of, cut_points, join_on, numbered, sampled_cuts
+from millrace.operators.split import PIECE_ROWS, join_on, numbered, numbered_values
 
 
 def with_correlated_avg(
@@ -24,9 +24,12 @@ def with_correlated_avg(
 
 
 def semi(df: DataFrame, keys: DataFrame, left_on: str, right_on: str) -> DataFrame:
-    """Rows whose key occurs in ``keys`` (IN sub-query)."""
-    probe = keys.select(F.col(right_on).alias("__k"))
-    return df.join(probe, F.col(left_on) == F.col("__k"), "left_semi")
+    """Rows whose key occurs in ``keys`` (IN sub-query); a null key matches nothing.
+
+    Repeats are dropped before the exchange of the keys, and a hot key on the left can still be split.
+    """
+    probe = keys.select(F.col(right_on).alias("__k")).filter(F.col("__k").isNotNull()).distinct()
+    return df.join(probe, F.col(left_on).eqNullSafe(F.col("__k")), "left_semi")
 
 
 def match_row_value(
@@ -63,14 +66,10 @@ def ratio_to_baseline(
     """Value divided by that of the group's baseline row (the first by ``order`` if there are several)."""
     base = (
         df.filter(is_baseline)
-        .groupBy(F.col(group).alias("__g"))
+        .groupBy(group)
         .agg(F.min_by(value, order).alias("__base"))
     )
-    return (
-        df.join(base, F.col(group) == F.col("__g"), "left")
-        .withColumn(out, F.try_divide(F.col(value), F.col("__base")))
-        .drop("__g", "__base")
-    )
+    return join_on(df, base, [group]).withColumn(out, F.try_divide(F.col(value), F.col("__base"))).drop("__base")
 
 
 def attach_ranked(hits: DataFrame, meta: DataFrame, hit_id: str, meta_id: str) -> DataFrame:
@@ -141,28 +140,21 @@ def first_match(df: DataFrame, cond: Column, order: Sequence[Column]) -> DataFra
 
 
 def unique_names(
-    df: DataFrame, name: str, id_col: str, out: str, buckets: int = 64
+    df: DataFrame, name: str, id_col: str, out: str, piece_rows: int = PIECE_ROWS
 ) -> DataFrame:
-    """Names made unique in the order of ``id_col``: x, x-2, x-3, …
+    """Names made unique in the order of a numeric ``id_col``: x, x-2, x-3, …
 
     A name that already reads ``x-2`` in the input is an ordinary name with its own numbering.
     """
-    cuts = cut_points(df, F.col(id_col), buckets)
-    first = numbered(df, [name], [F.col(id_col)], "__n", bucket_of(F.col(id_col), cuts))
+    first = numbered(df, [name], [F.col(id_col)], "__n", F.col(id_col), piece_rows)
     suffixed = F.when(F.col("__n") > 1, F.concat(F.col(name), F.lit("-"), F.col("__n").cast("string")))
     return first.withColumn(out, F.coalesce(suffixed, F.col(name))).drop("__n")
 
 
-def category_codes(df: DataFrame, c: str, out: str) -> DataFrame:
-    """Position of each value among the sorted distinct values, -1 for null.
-
-    The distinct values form a category list; they are numbered in balanced pieces, so that even a
-    column with many values never sits in one task.
-    """
+def category_codes(df: DataFrame, c: str, out: str, piece_rows: int = PIECE_ROWS) -> DataFrame:
+    """Position of each value among the sorted distinct values, -1 for null."""
     values = df.select(c).filter(F.col(c).isNotNull()).distinct()
-    bucket = bucket_of(F.col(c), sampled_cuts(values, c))
-    codes = numbered(values, [], [F.col(c)], out, bucket).withColumnRenamed(c, "__value")
-    joined = df.join(codes, F.col(c) == F.col("__value"), "left").drop("__value")
+    joined = join_on(df, numbered_values(values, c, out, piece_rows), [c])
     return joined.withColumn(out, F.coalesce(F.col(out) - 1, F.lit(-1)).cast("int"))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import col
 from millrace.functions.temporal import floor_minutes, micros, month_end, quarter_end
-from millrace.operators.split import join_on, neighbours
+from millrace.operators.split import PIECE_ROWS, join_on, neighbours
 
 MINUTES = {"30min": 30, "h": 60}
 
@@ -76,17 +76,11 @@ def upsample(df: DataFrame, label: str, freq: str, keys: Sequence[str] = ()) ->
     return join_on(spine_of(df, keys, label, freq), df, [*keys, label])
 
 
-def calendar_bucket(order: str, by: str = "month") -> Column:
-    """Balanced pieces of a long series: whole calendar periods."""
-    return F.date_trunc(by, F.col(order).cast("timestamp"))
-
-
 def ffill(
-    df: DataFrame, order: str, value: str, out: str, keys: Sequence[str] = (), bucket: Column | None = None
+    df: DataFrame, order: str, value: str, out: str, keys: Sequence[str] = (), piece_rows: int = PIECE_ROWS
 ) -> DataFrame:
     """Last known value at or before each row."""
-    pieces = calendar_bucket(order) if bucket is None else bucket
-    filled = neighbours(df, list(keys), order, value, pieces, forward=False)
+    filled = neighbours(df, list(keys), order, value, micros(order), forward=False, piece_rows=piece_rows)
     return filled.withColumn(out, F.col("__prev")["v"]).drop("__prev")
 
 
@@ -97,15 +91,14 @@ def interpolate(
     out: str,
     keys: Sequence[str] = (),
     edges: str = "both",
-    bucket: Column | None = None,
+    piece_rows: int = PIECE_ROWS,
 ) -> DataFrame:
     """Linear interpolation weighted by time (on a regular grid that is the position).
 
     ``edges="forward"`` leaves a leading gap empty; ``"both"`` fills it with the first known value. A
     trailing gap takes the last known value either way.
     """
-    pieces = calendar_bucket(order) if bucket is None else bucket
-    near = neighbours(df, list(keys), order, value, pieces)
+    near = neighbours(df, list(keys), order, value, micros(order), piece_rows=piece_rows)
     t, prev, nxt = micros(order), F.col("__prev"), F.col("__next")
     span = micros(nxt["t"]) - micros(prev["t"])
     share = F.try_divide((t - micros(prev["t"])).cast("double"), span.cast("double"))

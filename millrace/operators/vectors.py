@@ -81,7 +81,10 @@ def _partial_top_k(
     base: DataFrame, base_id: str, vector: str, block: tuple[list, np.ndarray], qid: str, qid_type: str,
     k: int, metric: str, cells: list[set] | None = None,
 ) -> DataFrame:
-    """Best k candidates of every task for a block of queries: k rows per query and task leave it."""
+    """Best k candidates of every task for a block of queries: k rows per query and task leave it.
+
+    Each core streams through a few long runs of splits, so that the candidates do not grow with the files.
+    """
     ids, matrix = block
     sent = base.sparkSession.sparkContext.broadcast((ids, matrix, cells))
     id_type = dict(base.dtypes)[base_id]
@@ -115,7 +118,8 @@ def _partial_top_k(
         ]
         yield pd.DataFrame(out, columns=[qid, base_id, "score"])
 
-    return base.mapInPandas(run, f"`{qid}` {qid_type}, `{base_id}` {id_type}, score double")
+    few = base.coalesce(4 * base.sparkSession.sparkContext.defaultParallelism)
+    return few.mapInPandas(run, f"`{qid}` {qid_type}, `{base_id}` {id_type}, score double")
 
 
 def _merge(parts: Sequence[DataFrame], qid: str, base_id: str, k: int, metric: str) -> DataFrame:

@@ -112,9 +112,40 @@ def _measures(t: Tables) -> DataFrame:
     )
 
 
-@query("impute_knn")
+# Direct form: every incomplete tuple against every tuple that knows the value.
+KNN = """
+with m as (select l_orderkey, l_partkey, l_suppkey, l_linenumber,
+  case when (l_orderkey + l_partkey) % 9 <> 0 then l_quantity end as q,
+  case when (l_orderkey + l_partkey) % 8 <> 1 then l_discount end as d,
+  case when (l_orderkey + l_partkey) % 10 <> 2 then l_tax end as x from lineitem),
+ u as (select q, d, x, count(*) as n from m group by all),
+ gap as (select q, d, x, 'q' as target from u where q is null union all select q, d, x, 'd' from u where d is null
+  union all select q, d, x, 'x' from u where x is null),
+ pairs as (select g.q, g.d, g.x, target, case target when 'q' then u.q when 'd' then u.d else u.x end as v, n,
+  cast(g.q is not null and u.q is not null as integer) + cast(g.d is not null and u.d is not null as integer)
+   + cast(g.x is not null and u.x is not null as integer) as shared,
+  coalesce((g.q - u.q) * (g.q - u.q), 0) + coalesce((g.d - u.d) * (g.d - u.d), 0) + coalesce((g.x - u.x) * (g.x - u.x), 0) as ss
+  from gap g, u),
+ near as (select q, d, x, target, v, sqrt(ss * (3.0::double / shared)) as dist, sum(n) as n from pairs
+  where shared > 0 and v is not null group by all),
+ ranked as (select *, sum(n) over (partition by q, d, x, target order by dist, v rows unbounded preceding) - n as before from near),
+ used as (select *, least(n, 5 - before)::double as take from ranked where before < 5),
+ filled as (select q, d, x, target, case when min(dist) = 0
+   then sum(case when dist = 0 then take * v end) / sum(case when dist = 0 then take end)
+   else sum(take / nullif(dist, 0) * v) / sum(take / nullif(dist, 0)) end as f from used group by all),
+ wide as (select q, d, x, max(f) filter (where target = 'q') as fq, max(f) filter (where target = 'd') as fd,
+  max(f) filter (where target = 'x') as fx from filled group by all)
+select l_orderkey, l_partkey, l_suppkey, l_linenumber,
+ round_even(coalesce(m.q, fq, (select avg(q) from m)) * 1e6, 0) / 1e6 as quantity,
+ round_even(coalesce(m.d, fd, (select avg(d) from m)) * 1e6, 0) / 1e6 as discount,
+ round_even(coalesce(m.x, fx, (select avg(x) from m)) * 1e6, 0) / 1e6 as tax
+from m left join wide w on m.q is not distinct from w.q and m.d is not distinct from w.d and m.x is not distinct from w.x"""
+
+
+@query("impute_knn", KNN)
 def impute_knn(t: Tables) -> DataFrame:
-    return nearest_fill.impute_knn(_measures(t), ["quantity", "discount", "tax"], k=5)
+    filled = nearest_fill.impute_knn(_measures(t), ["quantity", "discount", "tax"], k=5)
+    return filled.withColumns({c: half_even(c, 6) for c in ("quantity", "discount", "tax")})
 
 
 @query("impute_iterative")

@@ -208,9 +208,11 @@ def doc_first5(t: Tables) -> DataFrame:
     return docs.find(error_line_classes(t), {}, limit=5, order=["event_id"]).select("event_id", "log_type")
 
 
-@query("doc_ids")
+@query("doc_ids", """
+select sha256('{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '","c_mktsegment":"' || c_mktsegment || '"}') as _id,
+ c_custkey from customer""")
 def doc_ids(t: Tables) -> DataFrame:
-    return docs.with_ids(error_line_classes(t)).select("_id", "event_id", "log_type")
+    return docs.with_ids(t.customer.select("c_custkey", "c_name", "c_mktsegment")).select("_id", "c_custkey")
 
 
 @query("doc_revision_diff", f"""

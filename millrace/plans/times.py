@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import temporal as tm
-from millrace.functions.columns import exact_avg, money
+from millrace.functions.columns import exact_avg, half_even, money
 from millrace.operators import series
 from millrace.plans.registry import Tables, query
 
@@ -172,8 +172,6 @@ with {WEEKLY}, n as (select *,
   b as (order by label rows between current row and unbounded following))
 select label, round_even(coalesce(total, pv + (nv - pv) * (cast(label - pt as double) / (nt - pt)), pv) * 10000, 0) / 10000 as filled from n""")
 def interpolate_linear(t: Tables) -> DataFrame:
-    from millrace.functions.columns import half_even
-
     out = series.interpolate(_weekly(t), "label", "total", "filled", edges="forward")
     return out.select("label", half_even("filled", 4).alias("filled"))
 
@@ -188,13 +186,9 @@ n as (select *,
 select event_id, round_even(coalesce(v, pv + (nv - pv) * (cast(epoch_us(ts) - pt as double) / cast(nt - pt as double)), pv, nv)
  * 10000, 0) / 10000 as filled from n""")
 def interpolate_time(t: Tables) -> DataFrame:
-    from millrace.functions.columns import half_even
-
     v = F.when(~(F.col("event_id") % 4).isin(1, 2), F.col("value"))
     rows = t.events.select("event_id", "user_id", "ts", v.alias("v"))
-    out = series.interpolate(
-        rows, "ts", "v", "filled", keys=["user_id"], bucket=series.calendar_bucket("ts", "week")
-    )
+    out = series.interpolate(rows, "ts", "v", "filled", keys=["user_id"])
     return out.select("event_id", half_even("filled", 4).alias("filled"))
 
 
@@ -205,5 +199,5 @@ select event_id, last_value(v ignore nulls) over (partition by user_id order by
 def ffill_by_user(t: Tables) -> DataFrame:
     v = F.when(F.col("event_id") % 3 == 0, F.col("value"))
     rows = t.events.select("event_id", "user_id", "ts", v.alias("v"))
-    out = series.ffill(rows, "ts", "v", "filled", keys=["user_id"], bucket=series.calendar_bucket("ts", "day"))
+    out = series.ffill(rows, "ts", "v", "filled", keys=["user_id"])
     return out.select("event_id", "filled")

@@ -34,7 +34,9 @@ def page_absolute_links(t: Tables) -> DataFrame:
     return links.filter(F.col("href").startswith("/")).select("page_id", "link")
 
 
-@query("page_heading")
+@query("page_heading", r"""
+select page_id, trim(replace(regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1), '&amp;', '&')) as h1,
+ trim(replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '&amp;', '&')) as title from pages""")
 def page_heading(t: Tables) -> DataFrame:
     return web.with_parts(t.spread("pages", "page_id")).select("page_id", F.col("parts.h1").alias("h1"), F.col("parts.title").alias("title"))
 

@@ -23,32 +23,80 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize("keys", [["k"], []])
-@pytest.mark.parametrize("buckets", [1, 7])
-def test_split_windows_equal_plain_ones(skewed, rows, keys, buckets):
+@pytest.mark.parametrize("piece_rows", [5, 150, 10_000])
+def test_split_windows_equal_plain_ones(skewed, rows, keys, piece_rows):
     order = F.col("id")
-    bucket = split.bucket_of(order, split.cut_points(skewed, order, buckets))
     w = Window.partitionBy(*keys).orderBy("id")
     plain = skewed.select(
         "id", F.row_number().over(w).alias("n"), F.sum("v").over(w).alias("s"),
         F.last("v", ignorenulls=True).over(w).alias("p"),
         F.first("v", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)).alias("x"),
     )
-    numbered = split.numbered(skewed, keys, [order], "n", bucket).select("id", "n")
-    totals = split.running_total(skewed, keys, [order], "v", "s", bucket).select("id", "s")
-    near = split.neighbours(skewed, keys, "id", "v", bucket).select(
+    numbered = split.numbered(skewed, keys, [order], "n", order, piece_rows).select("id", "n")
+    totals = split.running_total(skewed, keys, [order], "v", "s", order, piece_rows).select("id", "s")
+    near = split.neighbours(skewed, keys, "id", "v", order, piece_rows=piece_rows).select(
         "id", F.col("__prev")["v"].alias("p"), F.col("__next")["v"].alias("x")
     )
     assert rows(numbered.join(totals, "id").join(near, "id").select("id", "n", "s", "p", "x")) == rows(plain)
 
 
-def test_sampled_cuts_spread_strings(spark, rows):
+def test_only_long_groups_are_cut(skewed):
+    pieces, many = split.cut(skewed, ["k"], F.col("id"), 200)
+    sizes = pieces.groupBy("k", split.PIECE).count().collect()
+    assert many and max(r["count"] for r in sizes) < 400
+    assert {r["k"] for r in sizes if r[split.PIECE] > 0} == {"hot"}
+    assert split.cut(skewed, ["k"], F.col("id"))[1] is False
+
+
+def test_null_keys_form_a_group(spark, rows):
+    df = spark.createDataFrame([(i, None if i % 2 else "a") for i in range(40)], "id long, k string")
+    for piece_rows in (4, 1000):
+        out = split.numbered(df, ["k"], [F.col("id")], "n", F.col("id"), piece_rows)
+        assert sorted(r["n"] for r in out.filter("k is null").collect()) == list(range(1, 21))
+
+
+def test_two_step_search(spark):
+    cuts = [float(i) for i in range(1, 1000)]
+    df = spark.range(1200).select(F.col("id").cast("double").alias("x"))
+    got = df.select("x", split.bucket_of(F.col("x"), cuts).alias("b")).collect()
+    assert all(r["b"] == min(int(r["x"]), 999) for r in got)
+
+
+def test_codes_of_many_values(spark):
     df = spark.range(500).select(F.concat(F.lit("same prefix "), F.col("id").cast("string")).alias("c"))
     cuts = split.sampled_cuts(df, "c", 8)
-    assert len(cuts) >= 7
     sizes = [r["n"] for r in df.groupBy(split.bucket_of(F.col("c"), cuts).alias("b")).agg(F.count("*").alias("n")).collect()]
-    assert max(sizes) < 120
-    codes = rel.category_codes(df, "c", "code").orderBy("c").collect()
-    assert [r["code"] for r in codes] == list(range(500))
+    assert len(cuts) >= 7 and max(sizes) < 120
+    for piece_rows in (60, 10_000):
+        codes = rel.category_codes(df, "c", "code", piece_rows).orderBy("c").collect()
+        assert [r["code"] for r in codes] == list(range(500))
+
+
+def test_hot_key_is_split_by_adaptive_execution(spark):
+    """Joining group results back to a table with a hot key: the hot partition is read in parts."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(0, 60_000, numPartitions=8).select(
+            F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"),
+            F.xxhash64("id").alias("x"),
+        )
+        keys = rows.filter("v % 2 = 0").select(F.col("k").alias("kk"))
+        for out in (rel.partition_mean(rows, ["k"], "v", "m"), rel.semi(rows, keys, "k", "kk")):
+            out.write.format("noop").mode("overwrite").save()
+            out.count()
+            collected = out.collect()
+            assert len(collected) > 20_000
+            assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_category_codes_null(spark):
