@@ -161,3 +161,7 @@ def test_payload(spark, value):
     assert [r["id"] for r in pl.explode_records(df, "payload.weather").collect()] == [3, 4]
     keys, values = F.array(F.lit("a"), F.lit("b"), F.lit("a")), F.array(F.lit("1"), F.lit("2"), F.lit("3"))
     assert value(pl.pairs_to_map(keys, values)) == {"b": "2", "a": "3"}
+
+
+def test_audit_time(spark):
+    assert tm.with_audit_time(spark.range(1)).first()["loaded_at"].year >= 2024
