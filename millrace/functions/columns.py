@@ -17,9 +17,26 @@ def money(c: Column | str) -> Column:
     return col(c).cast("decimal(15,2)")
 
 
+def cents(c: Column | str) -> Column:
+    """Value in hundredths as a whole number."""
+    return F.rint(col(c) * 100).cast("long")
+
+
+def exact_sum(whole: Column, digits: int) -> Column:
+    """Sum of whole numbers that stand for decimals with ``digits`` places, as an exact decimal.
+
+    The upper and the lower 20 bits are added up apart, as plain long sums: several times faster than adding
+    decimals, and neither can overflow before some 10^12 rows (an overflow would raise, not wrap).
+    """
+    upper = F.sum(F.shiftright(whole, 20)).cast("decimal(20,0)")
+    lower = F.sum(whole.bitwiseAND(F.lit((1 << 20) - 1))).cast("decimal(20,0)")
+    unit = F.expr(f"{10.0**-digits:.{digits}f}BD")
+    return (upper * F.lit(1 << 20).cast("decimal(7,0)") + lower) * unit
+
+
 def exact_avg(c: Column | str) -> Column:
     """Average of a money column: exact sum, one division at the end; null for an empty group."""
-    return F.try_divide(F.sum(money(c)).cast("double"), F.count(col(c)))
+    return F.try_divide(exact_sum(cents(c), 2).cast("double"), F.count(col(c)))
 
 
 def half_even(c: Column | str, digits: int = 0) -> Column:

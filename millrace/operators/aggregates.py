@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from millrace.functions.columns import exact_avg, money
+from millrace.functions.columns import cents, exact_avg, exact_sum
 from millrace.operators.split import running_total
 
 
@@ -159,7 +159,7 @@ def days_since_previous(df: DataFrame, keys: list[str], date: str, out: str) ->
 def monthly_sales(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """Sales per year and month; lines are added up per order before the join."""
     totals = lines.groupBy("l_orderkey").agg(
-        F.sum(money("l_quantity") * money("l_extendedprice")).alias("amount")
+        exact_sum(cents("l_quantity") * cents("l_extendedprice"), 4).alias("amount")
     )
     joined = orders.join(totals, orders["o_orderkey"] == totals["l_orderkey"])
     return joined.groupBy(

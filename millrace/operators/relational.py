@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import exact_avg
+from millrace.functions.columns import exact_avg, exact_sum
 from millrace.operators.split import PIECE_ROWS, join_on, numbered, numbered_values
 
 
@@ -42,8 +42,9 @@ def match_row_value(
     return out if exclude is None else out.filter(~F.coalesce(exclude, F.lit(False)))
 
 
-def group_totals(df: DataFrame, keys: Sequence[str | Column], amount: Column, out: str) -> DataFrame:
-    return df.groupBy(*keys).agg(F.sum(amount).alias(out))
+def group_totals(df: DataFrame, keys: Sequence[str | Column], amount: Column, digits: int, out: str) -> DataFrame:
+    """Exact totals of whole amounts that stand for decimals with ``digits`` places."""
+    return df.groupBy(*keys).agg(exact_sum(amount, digits).alias(out))
 
 
 def above_scalar(df: DataFrame, value: str, threshold: DataFrame) -> DataFrame:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import exact_avg, half_even, money, on_days
+from millrace.functions.columns import cents, exact_avg, half_even, on_days
 from millrace.operators import aggregates as agg
 from millrace.operators import relational as rel
 from millrace.plans.registry import Tables, query
@@ -22,6 +22,11 @@ select o_orderpriority as area_name, cast(year(o_orderdate) as integer) as sale_
 from orders group by all"""
 
 
+def line_amount() -> Column:
+    """Quantity times price of an order line, in ten-thousandths."""
+    return cents("l_quantity") * cents("l_extendedprice")
+
+
 @query("mart_monthly_avg", MART)
 def mart_monthly_avg(t: Tables) -> DataFrame:
     return agg.mart_monthly(t.orders, "o_orderpriority", "o_orderdate", "o_totalprice")
@@ -53,8 +58,7 @@ with totals as (select l_orderkey, sum({LINE}) as total from lineitem group by 1
 select l_orderkey, cast(total as double) as total_amount from totals
 where cast(total as double) > (select threshold from yearly)""")
 def orders_above_year_avg(t: Tables) -> DataFrame:
-    line = money("l_quantity") * money("l_extendedprice")
-    totals = rel.group_totals(t.lineitem, ["l_orderkey"], line, "total")
+    totals = rel.group_totals(t.lineitem, ["l_orderkey"], line_amount(), 4, "total")
     year = t.orders.filter(F.year("o_orderdate") == 1997)
     mean = rel.semi(totals, year, "l_orderkey", "o_orderkey").agg(
         F.try_divide(F.sum("total").cast("double"), F.count("total"))
@@ -114,7 +118,7 @@ select office, employee, total_sales, ranking from (
  from nation join customer on n_nationkey = c_nationkey join orders on c_custkey = o_custkey
  group by n_regionkey, n_name) where ranking <= 1""")
 def top_rep_per_office(t: Tables) -> DataFrame:
-    spent = rel.group_totals(t.orders, ["o_custkey"], money("o_totalprice"), "spent")
+    spent = rel.group_totals(t.orders, ["o_custkey"], cents("o_totalprice"), 2, "spent")
     by_rep = (
         t.customer.join(spent, F.col("c_custkey") == F.col("o_custkey"))
         .groupBy("c_nationkey").agg(F.sum("spent").alias("sales"))
@@ -184,7 +188,7 @@ select o_custkey, ordered_on, cast(total as double) as total_amount,
  cast(datediff('day', lag(ordered_on, 1, ordered_on) over w, ordered_on) as integer) as days_since_last
 from daily window w as (partition by o_custkey order by ordered_on)""")
 def order_gap(t: Tables) -> DataFrame:
-    totals = rel.group_totals(t.lineitem, ["l_orderkey"], money("l_quantity") * money("l_extendedprice"), "total")
+    totals = rel.group_totals(t.lineitem, ["l_orderkey"], line_amount(), 4, "total")
     daily = (
         t.orders.join(totals, F.col("o_orderkey") == F.col("l_orderkey"))
         .groupBy("o_custkey", F.to_date("o_orderdate").alias("ordered_on")).agg(F.sum("total").alias("amount"))
@@ -199,7 +203,7 @@ def order_gap(t: Tables) -> DataFrame:
 
 @query("group_sum_expr", f"select l_returnflag, cast(sum({LINE}) as double) as total from lineitem group by 1")
 def group_sum_expr(t: Tables) -> DataFrame:
-    totals = rel.group_totals(t.lineitem, ["l_returnflag"], money("l_quantity") * money("l_extendedprice"), "total")
+    totals = rel.group_totals(t.lineitem, ["l_returnflag"], line_amount(), 4, "total")
     return totals.withColumn("total", F.col("total").cast("double"))
 
 

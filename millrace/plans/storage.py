@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import coerce_types, exact_avg, money
+from millrace.functions.columns import cents, coerce_types, exact_avg, exact_sum, money
 from millrace.functions.temporal import parse_date
 from millrace.plans import loglines
 from millrace.plans.registry import Tables, query
@@ -143,7 +143,7 @@ select date_trunc('hour', ts) as window_start, cast(sum(cast(value as decimal(15
  cast(sum(cast(value as decimal(15,2))) as double) as total from events
 group by 1 having date_trunc('hour', ts) + interval 1 hour <= (select max(ts) - interval 10 minutes from events)""")
 def hourly_stream(t: Tables) -> DataFrame:
-    aggregates = {"mean_value": exact_avg("value"), "total": F.sum(money("value")).cast("double")}
+    aggregates = {"mean_value": exact_avg("value"), "total": exact_sum(cents("value"), 2).cast("double")}
     out, mark = scratch(t.spark, "hourly"), scratch(t.spark, "hourly-state")
     jobs.to_files(jobs.hourly(_stream(t, "events"), "ts", aggregates), out, mark).awaitTermination()
     return t.spark.read.parquet(out)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import temporal as tm
-from millrace.functions.columns import exact_avg, half_even, money
+from millrace.functions.columns import cents, exact_avg, exact_sum, half_even, money
 from millrace.operators import series
 from millrace.plans.registry import Tables, query
 
@@ -104,7 +104,7 @@ select date_trunc('hour', ts) as label, cast(sum(cast(value as decimal(15,2))) a
 def resample_hour(t: Tables) -> DataFrame:
     label = series.period_label("ts", "h").alias("label")
     return t.events.groupBy(label).agg(
-        exact_avg("value").alias("avg_value"), F.sum(money("value")).cast("double").alias("sum_value"),
+        exact_avg("value").alias("avg_value"), exact_sum(cents("value"), 2).cast("double").alias("sum_value"),
         F.count(F.lit(1)).alias("n"),
     )
 
@@ -148,7 +148,7 @@ WEEKLY = """weekly as (select cast(date_trunc('week', o_orderdate) as date) + 6
 def _weekly(t: Tables) -> DataFrame:
     rows = t.orders.filter(F.month("o_orderdate") != 3)
     weekly = rows.groupBy(series.period_label("o_orderdate", "W").alias("label")).agg(
-        F.sum(money("o_totalprice")).cast("double").alias("total")
+        exact_sum(cents("o_totalprice"), 2).cast("double").alias("total")
     )
     return series.upsample(weekly, "label", "D")
 

@@ -165,3 +165,11 @@ def test_payload(spark, value):
 
 def test_audit_time(spark):
     assert tm.with_audit_time(spark.range(1)).first()["loaded_at"].year >= 2024
+
+
+def test_exact_sum(spark):
+    values = [0.1] * 30 + [-0.25, -1e9, 123456789.99, None]
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(7)
+    total = df.agg(c.exact_sum(c.cents("x"), 2).alias("s")).first()["s"]
+    assert str(total) == "-876543207.26"
+    assert df.filter("x is null").agg(c.exact_sum(c.cents("x"), 2), c.exact_avg("x")).first()[:] == (None, None)
