@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import all_of, untrue
 from millrace.functions.payload import record_id
+from millrace.operators.relational import semi
 from millrace.operators.split import numbered
 
 
@@ -107,31 +108,30 @@ def apply_changes(snapshot: DataFrame, changes: DataFrame, key: str, op_col: str
     """Next snapshot after a batch of inserts, updates (null = keep the field) and deletes.
 
     ``op_col`` holds ``insert``, ``update`` or ``delete``; each key occurs at most once in the batch.
-    An update or delete of an absent key, or an insert of a present one, changes nothing.
+    An update or delete of an absent key, or an insert of a present one, changes nothing. The snapshot is only
+    ever the probed side, so that a batch that fits a broadcast leaves it unshuffled.
     """
     fields = [c for c in snapshot.columns if c != key]
-    old = snapshot.select(F.col(key), F.struct(*fields).alias("o"))
-    new = changes.select(F.col(key), F.col(op_col).alias("op"), F.struct(*fields).alias("n"))
-    both = old.join(new, key, "full_outer")
-    gone = F.col("op").eqNullSafe("delete")
-    orphan = F.col("o").isNull() & ~F.col("op").eqNullSafe("insert")
+    edits = changes.filter(F.col(op_col).isin("update", "delete")).select(
+        key, F.col(op_col).alias("__op"), F.struct(*fields).alias("__new")
+    )
+    kept = snapshot.join(edits, key, "left").filter(~F.col("__op").eqNullSafe("delete")).select(
+        key, *[F.coalesce(F.col(f"__new.{c}"), F.col(c)).alias(c) for c in fields]
+    )
+    inserts = changes.filter(F.col(op_col) == "insert").select(key, *fields)
+    return kept.unionByName(_absent(inserts, snapshot, key))
 
-    def value(c: str) -> Column:
-        inserted = (F.col("op") == "insert") & F.col("o").isNull()
-        updated = F.col("op") == "update"
-        return (
-            F.when(inserted, F.col(f"n.{c}"))
-            .when(updated, F.coalesce(F.col(f"n.{c}"), F.col(f"o.{c}")))
-            .otherwise(F.col(f"o.{c}")).alias(c)
-        )
 
-    return both.filter(~gone & ~orphan).select(key, *[value(c) for c in fields])
+def _absent(batch: DataFrame, stored: DataFrame, key: str) -> DataFrame:
+    """Rows of a batch whose key is not stored; the stored keys are first reduced to those of the batch."""
+    there = semi(stored.select(key), batch, key, key)
+    return batch.join(there, key, "left_anti")
 
 
 def affected(snapshot: DataFrame, changes: DataFrame, key: str, op_col: str) -> DataFrame:
     """Changes per operation, and how many of them found (or, for inserts, did not find) their key."""
-    there = snapshot.select(F.col(key).alias("__k"), F.lit(True).alias("__there"))
-    seen = changes.join(there, changes[key] == F.col("__k"), "left")
+    there = semi(snapshot.select(key), changes, key, key).select(key, F.lit(True).alias("__there"))
+    seen = changes.join(there, key, "left")
     found = F.coalesce(F.col("__there"), F.lit(False))
     hit = F.when(F.col(op_col) == "insert", ~found).otherwise(found)
     return seen.groupBy(F.col(op_col).alias("op")).agg(
@@ -143,7 +143,7 @@ def new_keys_only(existing: DataFrame, batch: DataFrame, key: str, order: str) -
     """Rows of a batch that may be appended: one per key (the first by ``order``), none already stored."""
     rest = [c for c in batch.columns if c != key]
     one = batch.groupBy(key).agg(F.min_by(F.struct(*rest), order).alias("__row"))
-    fresh = one.join(existing.select(key), key, "left_anti")
+    fresh = _absent(one, existing, key)
     return fresh.select(key, "__row.*").select(*batch.columns)
 
 

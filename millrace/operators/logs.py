@@ -38,26 +38,19 @@ REJECT_FIELDS = (
 MARK = "\u001f"
 
 
-def _groups(line: Column, pattern: str, fields: Sequence[str]) -> Column:
-    """All groups of an anchored pattern from one match per line; null when the line does not match.
+def _match(df: DataFrame, line: Column, pattern: str, fields: Sequence[str], out: str, only: Column | None = None) -> DataFrame:
+    """Add the groups of an anchored pattern as a struct, null where the line does not match.
 
-    The groups are rewritten with a separator control character and split again, instead of matching once
-    per group. Servers escape control characters, so a line that holds the separator itself is damaged and
-    counts as not matching.
+    One match per line: the groups are rewritten with a separator control character and split again, as a
+    generated column, which later filters and projections do not repeat. Servers escape control characters,
+    so a line that holds the separator itself is damaged and counts as not matching.
     """
     rewritten = F.regexp_replace(line, pattern, MARK.join(f"${i + 1}" for i in range(len(fields))))
     parts = F.split(rewritten, MARK, -1)
-    named = F.struct(*[F.get(parts, F.lit(i)).alias(f) for i, f in enumerate(fields)])
-    return F.when((F.size(parts) == len(fields)) & ~line.contains(MARK), named)
-
-
-def _once(df: DataFrame, expr: Column, out: str) -> DataFrame:
-    """Add a column that is computed once per row.
-
-    A generated column is not merged into later filters and projections, which would otherwise repeat the
-    pattern match for each use.
-    """
-    return df.select("*", F.explode(F.array(expr)).alias(out))
+    once = df.select("*", F.explode(F.array(parts if only is None else F.when(only, parts))).alias("__parts"))
+    fits = (F.size("__parts") == len(fields)) & ~line.contains(MARK)
+    named = F.struct(*[F.get("__parts", F.lit(i)).alias(f) for i, f in enumerate(fields)])
+    return once.withColumn(out, F.when(fits, named)).drop("__parts")
 
 
 def dash_to_null(c: Column) -> Column:
@@ -79,9 +72,8 @@ def parse_access_logs(lines: DataFrame, c: str = "value", keep: Sequence[str] =
     A line with an unreadable time still parses; its ``ts`` is null and the raw text stays in ``timestamp``.
     """
     line = F.col(c)
-    matched = _once(read_lines(lines, c), _groups(line, COMBINED, COMBINED_FIELDS), "__a")
-    second = F.when(F.col("__a").isNull(), _groups(line, EXTENDED, EXTENDED_FIELDS))
-    matched = _once(matched, second, "__b")
+    matched = _match(read_lines(lines, c), line, COMBINED, COMBINED_FIELDS, "__a")
+    matched = _match(matched, line, EXTENDED, EXTENDED_FIELDS, "__b", only=F.col("__a").isNull())
 
     def pick(name: str) -> Column:
         a = F.col(f"__a.{name}") if name in COMBINED_FIELDS else F.lit(None).cast("string")
@@ -146,9 +138,8 @@ def classify_error_lines(
     line = F.col(c)
     broken = line.contains(BROKEN)
     parts = read_lines(lines, c)
-    parts = _once(parts, F.when(~broken, _groups(line, INCOMPLETE, ("user_agent", "status_code"))), "__i")
-    full = F.when(~broken & F.col("__i").isNull(), _groups(line, FULL, FULL_FIELDS))
-    parts = _once(parts, full, "__f")
+    parts = _match(parts, line, INCOMPLETE, ("user_agent", "status_code"), "__i", only=~broken)
+    parts = _match(parts, line, FULL, FULL_FIELDS, "__f", only=~broken & F.col("__i").isNull())
     kind = (
         F.when(broken, "corrupted")
         .when(F.col("__i").isNotNull(), "incomplete")
@@ -171,8 +162,8 @@ def classify_error_lines(
 
 def parse_reject_records(lines: DataFrame, c: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """Records ``id@@line@@message``; others are dropped. Values of mixed type keep their raw text."""
-    rows = _once(read_lines(lines, c), F.split(F.col(c), "@@", -1), "__p").filter(F.size("__p") == 3)
-    rows = _once(rows, _groups(F.col("__p")[1], REJECTED, REJECT_FIELDS), "__m").filter(F.col("__m").isNotNull())
+    rows = read_lines(lines, c).withColumn("__p", F.split(F.col(c), "@@", -1)).filter(F.size("__p") == 3)
+    rows = _match(rows, F.col("__p")[1], REJECTED, REJECT_FIELDS, "__m").filter(F.col("__m").isNotNull())
     m = F.col("__m")
     number = r"^\d*\.?\d*$"
     seconds = F.when(m["response_time"].rlike(number), m["response_time"].try_cast("double"))

@@ -74,8 +74,12 @@ def ratio_to_baseline(
 
 
 def attach_ranked(hits: DataFrame, meta: DataFrame, hit_id: str, meta_id: str) -> DataFrame:
-    """Metadata of ranked hits; the rank travels with the row, so similarity order is kept."""
-    return hits.join(meta, hits[hit_id] == meta[meta_id], "left")
+    """Metadata of ranked hits; the rank travels with the row, so similarity order is kept.
+
+    The metadata is first reduced to the hits, which needs no shuffle of it while the hits are few.
+    """
+    found = semi(meta, hits, meta_id, hit_id)
+    return hits.join(found, F.col(hit_id) == F.col(meta_id), "left")
 
 
 def find_with_optional(left: DataFrame, right: DataFrame, left_on: str, right_on: str) -> DataFrame:

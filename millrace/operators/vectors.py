@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from millrace.functions.vectors import GUARD
 from millrace.operators.relational import append_all
-from millrace.session import settle
+from millrace.session import scratch
 
 BLOCK_BYTES = 64 * 1024 * 1024
+FEW = 1000
 DIGITS = 9
 
 
@@ -35,7 +36,12 @@ def insert_vectors(path: str, batch: DataFrame) -> None:
 
 
 def _blocks(queries: DataFrame, qid: str, vector: str, max_bytes: int) -> Iterator[tuple[list, np.ndarray]]:
-    """Query vectors in blocks of checked size. A block is split by a hash of the id until it fits."""
+    """Query vectors in blocks of checked size, chosen by a hash of the id; a handful makes one block."""
+    few = queries.select(qid, vector).limit(FEW + 1).collect()
+    if len(few) <= FEW:
+        if few:
+            yield [r[0] for r in few], np.array([r[1] for r in few], dtype=np.float64)
+        return
     head = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(vector)).alias("dim")).first()
     n, dim = head["n"], head["dim"] or 1
     parts = max(1, -(-n * (dim * 8 + 64) // max_bytes))
@@ -226,18 +232,17 @@ def ivf_build(
     """Assign every vector to the nearest of ``nlist`` centres and store it partitioned by cell.
 
     ``training`` may name a smaller table to fit the centres on; the index always holds every vector of the
-    base. Without a path the table goes to the shared scratch folder.
+    base. Rows are brought together by cell before the write, a large cell in several files. Without a path the
+    table goes to the shared scratch folder.
     """
     spark = base.sparkSession
     source = (training if training is not None else base).select(array_to_vector(F.col(vector)).alias("features"))
     model: KMeansModel = KMeans(k=nlist, seed=seed, maxIter=max_iter, featuresCol="features").fit(source)
     centres = np.array(model.clusterCenters())
     cells = base.select(base_id, vector).withColumn("cell", nearest_centre(spark, centres, vector))
-    if path is None:
-        table = settle(cells, "ivf")
-    else:
-        cells.write.mode("overwrite").partitionBy("cell").parquet(path)
-        table = spark.read.parquet(path)
+    where = path or scratch(spark, "ivf")
+    cells.hint("rebalance", "cell").write.mode("overwrite").partitionBy("cell").parquet(where)
+    table = spark.read.parquet(where)
     return IvfIndex(table, centres, base_id, vector)
 
 

@@ -73,8 +73,13 @@ def year_bucket(c: Column | str, first: int, last: int) -> Column:
 
 
 def write_year_partitions(df: DataFrame, path: str, date: str, first: int, last: int, mode: str = "overwrite") -> None:
-    """Store a table in range partitions by year; rows of one year may fill many files."""
-    df.withColumn("part_year", year_bucket(date, first, last)).write.mode(mode).partitionBy("part_year").parquet(path)
+    """Store a table in range partitions by year.
+
+    Rows are brought together by year before the write (adaptive execution splits a large year over many files),
+    so that the number of files follows the data and not tasks times years.
+    """
+    years = df.withColumn("part_year", year_bucket(date, first, last)).hint("rebalance", "part_year")
+    years.write.mode(mode).partitionBy("part_year").parquet(path)
 
 
 def read_year_partition(spark: SparkSession, path: str, year: int) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from millrace.functions.columns import band
 from millrace.operators.documents import new_keys_only
@@ -69,7 +70,7 @@ def tail_logs(lines: DataFrame, good_path: str, bad_path: str, checkpoint: str)
 def _stored(spark: SparkSession, path: str, like: DataFrame, number: int) -> DataFrame:
     """What earlier batches stored (not this one, should it be repeated)."""
     try:
-        table = spark.read.schema(like.schema.add("batch", "long")).parquet(path)
+        table = spark.read.schema(StructType([*like.schema.fields, StructField("batch", LongType())])).parquet(path)
     except AnalysisException:
         return like.limit(0)
     return table.filter(F.col("batch") != number).drop("batch")
