@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,3 +48,15 @@ def catalogue_report(spark: SparkSession, tables: dict[str, DataFrame]) -> DataF
 
 def user_databases(spark: SparkSession, system: tuple[str, ...] = ("default", "information_schema")) -> list[str]:
     return [d.name for d in spark.catalog.listDatabases() if d.name not in system]
+
+
+def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys that occur more than once or are null, with their number of rows."""
+    empty = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) | empty)
+
+
+def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
+    """Rows that refer to a parent which is not there; a null reference is allowed."""
+    known = parent.select(F.col(parent_key).alias("__k"))
+    return child.filter(F.col(child_key).isNotNull()).join(known, F.col(child_key) == F.col("__k"), "left_anti")

@@ -126,3 +126,17 @@ select table_name, cast(position as integer) as position, column_name, n_rows fr
 def catalogue_report(t: Tables) -> DataFrame:
     tables = {"nation": t.nation, "customer": t.customer, "labels": t.labels}
     return quality.catalogue_report(t.spark, tables).drop("data_type")
+
+
+@query("repeated_keys", """
+select o_custkey, cast(o_orderdate as date) as day, count(*) as n from orders group by all having count(*) > 1""")
+def repeated_keys(t: Tables) -> DataFrame:
+    rows = t.orders.select("o_custkey", F.to_date("o_orderdate").alias("day"))
+    return quality.repeated_keys(rows, ["o_custkey", "day"])
+
+
+@query("orphans", """
+select l_orderkey, l_partkey from lineitem where l_orderkey not in (select o_orderkey from orders where o_orderstatus <> 'P')""")
+def orphans(t: Tables) -> DataFrame:
+    known = t.orders.filter(F.col("o_orderstatus") != "P")
+    return quality.orphans(t.lineitem.select("l_orderkey", "l_partkey"), known, "l_orderkey", "o_orderkey")
