@@ -38,18 +38,43 @@ def _pattern(cols: Sequence[str]) -> Column:
     return sum((F.when(F.col(c).isNull(), 1 << i).otherwise(0) for i, c in enumerate(cols)), F.lit(0))
 
 
+def _axes(values: np.ndarray, other: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """Coordinates the receivers know (the same for all of a task), with the donors or cells that know them."""
+    return [(i, ~np.isnan(other[:, i])) for i in np.flatnonzero(~np.isnan(values[0]))]
+
+
 def _gaps(values: np.ndarray, lo: np.ndarray, hi: np.ndarray, p: int) -> tuple[np.ndarray, np.ndarray]:
     """Least and greatest possible distance of each row to the box of each cell."""
     near, far = np.zeros((2, len(values), len(lo)))
-    shared = np.sum(~np.isnan(lo), axis=1)
-    for i in range(values.shape[1]):
-        v, a, b = values[:, i, None], lo[None, :, i], hi[None, :, i]
-        near += np.nan_to_num(np.maximum(np.maximum(a - v, v - b), 0.0) ** 2)
-        far += np.nan_to_num(np.maximum(np.abs(v - a), np.abs(v - b)) ** 2)
+    shared = np.zeros(len(lo))
+    for i, there in _axes(values, lo):
+        v, a, b = values[:, i, None], np.where(there, lo[:, i], 0.0), np.where(there, hi[:, i], 0.0)
+        below, above = a - v, v - b
+        near += np.maximum(np.maximum(below, above), 0.0) ** 2 * there
+        far += np.maximum(np.abs(below), np.abs(above)) ** 2 * there
+        shared += there
     scale = p / np.maximum(shared, 1)
     return np.sqrt(near * scale), np.sqrt(far * scale)
 
 
+def _nearest(r: np.ndarray, d: np.ndarray, target: np.ndarray, k: int, p: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Receiver, donor and distance of the k nearest donors of each receiver, ties by the smaller value."""
+    total, shared = np.zeros((len(r), len(d))), np.zeros(len(d))
+    for i, there in _axes(r, d):
+        total += (r[:, i, None] - np.where(there, d[:, i], 0.0)) ** 2 * there
+        shared += there
+    distance = np.sqrt(total * (p / shared))
+    if len(d) > k:
+        row, col = np.nonzero(distance <= np.partition(distance, k - 1, axis=1)[:, k - 1, None])
+    else:
+        row, col = (x.ravel() for x in np.indices(distance.shape))
+    order = np.lexsort((target[col], distance[row, col], row))
+    row, col = row[order], col[order]
+    first = np.arange(len(row)) - np.searchsorted(row, row) < k
+    row, col = row[first], col[first]
+    return row, col, distance[row, col]
+
+
 def _shape(rows: DataFrame, cols: Sequence[str], tasks: Sequence[Task], donors: bool) -> DataFrame:
     """Rows per task, with the columns the task does not know blanked out.
 
@@ -93,26 +118,41 @@ def _visits(receivers: DataFrame, p: int, boxes: pd.DataFrame, k: int) -> DataFr
     })
     names = [f"x{i}" for i in range(p)]
 
+    def visited(block: np.ndarray, weight: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        near, far = _gaps(block, lo, hi, p)
+        order = np.argsort(far, axis=1)
+        enough = np.cumsum(weight[order], axis=1) >= k
+        at = np.take_along_axis(order, enough.argmax(axis=1)[:, None], axis=1)
+        bound = np.take_along_axis(far, at, axis=1) * (1 + 1e-9)
+        return np.nonzero(near <= np.where(enough.any(axis=1)[:, None], bound, np.inf))
+
+    def packed(task: int, ids: np.ndarray, values: np.ndarray, pairs: list) -> pd.DataFrame:
+        """Receivers by cell, at most RECEIVERS of them in one row."""
+        row, cell = (np.concatenate(x) for x in zip(*pairs, strict=True))
+        by_cell = np.argsort(cell, kind="stable")
+        row, cell = row[by_cell], cell[by_cell]
+        starts = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
+        cuts = np.concatenate([np.arange(a, b, RECEIVERS) for a, b in zip(starts, np.r_[starts[1:], len(cell)], strict=True)])
+        groups = [values[r].ravel() for r in np.split(row, cuts[1:])]
+        return pd.DataFrame({"task": task, "cell": ids[cell[cuts]], "receivers": groups})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for task, rows in batch.groupby("task"):
                 if task not in sent.value:
                     continue
-                cells, weight, lo, hi = sent.value[task]
+                ids, *boxes_of = sent.value[task]
                 values = rows[names].to_numpy(dtype=float)
+                pairs, held = [], 0
                 for start in range(0, len(values), RECEIVERS):
-                    block = values[start:start + RECEIVERS]
-                    near, far = _gaps(block, lo, hi, p)
-                    order = np.argsort(far, axis=1)
-                    enough = np.cumsum(weight[order], axis=1) >= k
-                    at = np.take_along_axis(order, enough.argmax(axis=1)[:, None], axis=1)
-                    bound = np.take_along_axis(far, at, axis=1) * (1 + 1e-9)
-                    bound = np.where(enough.any(axis=1)[:, None], bound, np.inf)
-                    row, cell = np.nonzero(near <= bound)
-                    by_cell = np.argsort(cell, kind="stable")
-                    ids, first = np.unique(cell[by_cell], return_index=True)
-                    packed = [block[r].ravel() for r in np.split(row[by_cell], first[1:])]
-                    yield pd.DataFrame({"task": task, "cell": cells[ids], "receivers": packed})
+                    row, cell = visited(values[start:start + RECEIVERS], *boxes_of)
+                    pairs.append((row + start, cell))
+                    held += len(row)
+                    if held > 1_000_000:
+                        yield packed(task, ids, values, pairs)
+                        pairs, held = [], 0
+                if held:
+                    yield packed(task, ids, values, pairs)
 
     return receivers.select("task", *names).mapInPandas(run, "task int, cell long, receivers array<double>")
 
@@ -126,18 +166,13 @@ def _candidates(meeting: DataFrame, p: int, k: int) -> DataFrame:
             for task, packed, donors, values, counts in batch.itertuples(index=False):
                 r = np.asarray(packed, dtype=float).reshape(-1, p)
                 d = np.asarray(donors, dtype=float).reshape(-1, p)
-                total = np.zeros((len(r), len(d)))
-                for i in range(p):
-                    total += np.nan_to_num((r[:, i, None] - d[None, :, i]) ** 2)
-                distance = np.sqrt(total * (p / np.sum(~np.isnan(d), axis=1)))
-                target, count = np.asarray(values, dtype=float), np.asarray(counts)
-                by_value = np.argsort(target, kind="stable")
-                best = by_value[np.argsort(distance[:, by_value], axis=1, kind="stable")[:, :k]]
-                out["task"].append(np.full(best.size, task))
-                out["receiver"].append(np.repeat(r, best.shape[1], axis=0))
-                out["distance"].append(np.take_along_axis(distance, best, axis=1).ravel())
-                out["value"].append(target[best].ravel())
-                out["m"].append(count[best].ravel())
+                target = np.asarray(values, dtype=float)
+                row, col, distance = _nearest(r, d, target, k, p)
+                out["task"].append(np.full(len(row), task))
+                out["receiver"].append(r[row])
+                out["distance"].append(distance)
+                out["value"].append(target[col])
+                out["m"].append(np.asarray(counts)[col])
             if out["task"]:
                 columns = {n: np.concatenate(parts) for n, parts in out.items()}
                 yield pd.DataFrame({**columns, "receiver": list(columns["receiver"])})
@@ -161,14 +196,14 @@ def _weighted(candidates: DataFrame, k: int) -> DataFrame:
 
 
 def _fills(
-    rows: DataFrame, cols: Sequence[str], tasks: Sequence[Task], cuts: Sequence[list[float]], k: int, block: int
+    rows: DataFrame, cols: Sequence[str], tasks: Sequence[Task], cuts: Sequence[list[float]], n: int, k: int, block: int
 ) -> DataFrame:
     """One row per incomplete tuple with the values found for its gaps."""
     p = len(cols)
     xs = [f"x{i}" for i in range(p)]
     donors = _shape(rows, cols, tasks, donors=True)
     donors = donors.groupBy("task", "n_known", *xs, "value").agg(F.sum("m").alias("m"))
-    placed = donors.withColumn("cell", _cell(p, cuts, max(64, CELLS // len(tasks))))
+    placed = donors.withColumn("cell", _cell(p, cuts, min(max(64, CELLS // len(tasks)), max(16, 2 * n // block))))
     placed = settle(placed.drop("n_known"), "donors")
     boxes = placed.groupBy("task", "cell").agg(
         F.count(F.lit(1)).alias("n"), F.sum("m").alias("m"),
@@ -219,7 +254,7 @@ def impute_knn(df: DataFrame, cols: Sequence[str], k: int = 5, block: int = 1024
         return F.try_divide(F.sum(F.col(c) * F.col("m")), F.sum(F.when(F.col(c).isNotNull(), F.col("m"))))
 
     facts = rows.agg(
-        F.collect_set("pattern").alias("patterns"),
+        F.collect_set("pattern").alias("patterns"), F.count(F.lit(1)).alias("n"),
         *[F.percentile_approx(c, shares, 10_000).alias(f"q_{c}") for c in cols],
         *[mean(c).alias(f"avg_{c}") for c in cols],
     ).first()
@@ -232,7 +267,7 @@ def impute_knn(df: DataFrame, cols: Sequence[str], k: int = 5, block: int = 1024
     gaps = typed.filter(_pattern(cols) != 0)
     if tasks:
         same = [F.col(c).eqNullSafe(F.col(f"k_{c}")) for c in cols]
-        gaps = gaps.join(_fills(rows, cols, tasks, cuts, k, block), same, "left")
+        gaps = gaps.join(_fills(rows, cols, tasks, cuts, facts["n"], k, block), same, "left")
     else:
         gaps = gaps.withColumns({f"f_{c}": F.lit(None).cast("double") for c in cols})
     filled = gaps.withColumns({
