@@ -92,8 +92,8 @@ def _shape(rows: DataFrame, cols: Sequence[str], tasks: Sequence[Task], donors:
             *[v.alias(f"x{i}") for i, v in enumerate(x)], F.col(cols[task.target]).alias("value"),
         ))
 
-    each = rows.select("m", F.explode(F.array_compact(F.array(*[one(t) for t in tasks]))).alias("r"))
-    return each.select("r.*", "m")
+    each = rows.select("m", "rid", F.explode(F.array_compact(F.array(*[one(t) for t in tasks]))).alias("r"))
+    return each.select("r.*", "m", "rid")
 
 
 def _cell(p: int, cuts: Sequence[list[float]], per_task: int) -> Column:
@@ -126,15 +126,18 @@ def _visits(receivers: DataFrame, p: int, boxes: pd.DataFrame, k: int) -> DataFr
         bound = np.take_along_axis(far, at, axis=1) * (1 + 1e-9)
         return np.nonzero(near <= np.where(enough.any(axis=1)[:, None], bound, np.inf))
 
-    def packed(task: int, ids: np.ndarray, values: np.ndarray, pairs: list) -> pd.DataFrame:
+    def packed(task: int, ids: np.ndarray, rids: np.ndarray, values: np.ndarray, pairs: list) -> pd.DataFrame:
         """Receivers by cell, at most RECEIVERS of them in one row."""
         row, cell = (np.concatenate(x) for x in zip(*pairs, strict=True))
         by_cell = np.argsort(cell, kind="stable")
         row, cell = row[by_cell], cell[by_cell]
         starts = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
         cuts = np.concatenate([np.arange(a, b, RECEIVERS) for a, b in zip(starts, np.r_[starts[1:], len(cell)], strict=True)])
-        groups = [values[r].ravel() for r in np.split(row, cuts[1:])]
-        return pd.DataFrame({"task": task, "cell": ids[cell[cuts]], "receivers": groups})
+        groups = np.split(row, cuts[1:])
+        return pd.DataFrame({
+            "task": task, "cell": ids[cell[cuts]], "rids": [rids[r] for r in groups],
+            "receivers": [values[r].ravel() for r in groups],
+        })
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -142,19 +145,21 @@ def _visits(receivers: DataFrame, p: int, boxes: pd.DataFrame, k: int) -> DataFr
                 if task not in sent.value:
                     continue
                 ids, *boxes_of = sent.value[task]
-                values = rows[names].to_numpy(dtype=float)
+                values, rids = rows[names].to_numpy(dtype=float), rows["rid"].to_numpy()
                 pairs, held = [], 0
                 for start in range(0, len(values), RECEIVERS):
                     row, cell = visited(values[start:start + RECEIVERS], *boxes_of)
                     pairs.append((row + start, cell))
                     held += len(row)
                     if held > 1_000_000:
-                        yield packed(task, ids, values, pairs)
+                        yield packed(task, ids, rids, values, pairs)
                         pairs, held = [], 0
                 if held:
-                    yield packed(task, ids, values, pairs)
+                    yield packed(task, ids, rids, values, pairs)
 
-    return receivers.select("task", *names).mapInPandas(run, "task int, cell long, receivers array<double>")
+    return receivers.select("task", "rid", *names).mapInPandas(
+        run, "task int, cell long, rids array<long>, receivers array<double>"
+    )
 
 
 def _candidates(meeting: DataFrame, p: int, k: int) -> DataFrame:
@@ -162,35 +167,34 @@ def _candidates(meeting: DataFrame, p: int, k: int) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out: dict[str, list[np.ndarray]] = {n: [] for n in ("task", "receiver", "distance", "value", "m")}
-            for task, packed, donors, values, counts in batch.itertuples(index=False):
+            out: dict[str, list[np.ndarray]] = {n: [] for n in ("task", "rid", "distance", "value", "m")}
+            for task, rids, packed, donors, values, counts in batch.itertuples(index=False):
                 r = np.asarray(packed, dtype=float).reshape(-1, p)
                 d = np.asarray(donors, dtype=float).reshape(-1, p)
                 target = np.asarray(values, dtype=float)
                 row, col, distance = _nearest(r, d, target, k, p)
                 out["task"].append(np.full(len(row), task))
-                out["receiver"].append(r[row])
+                out["rid"].append(np.asarray(rids)[row])
                 out["distance"].append(distance)
                 out["value"].append(target[col])
                 out["m"].append(np.asarray(counts)[col])
             if out["task"]:
-                columns = {n: np.concatenate(parts) for n, parts in out.items()}
-                yield pd.DataFrame({**columns, "receiver": list(columns["receiver"])})
+                yield pd.DataFrame({n: np.concatenate(parts) for n, parts in out.items()})
 
-    columns = meeting.select("task", "receivers", "donors", "targets", "counts")
-    return columns.mapInPandas(run, "task int, receiver array<double>, distance double, value double, m long")
+    columns = meeting.select("task", "rids", "receivers", "donors", "targets", "counts")
+    return columns.mapInPandas(run, "task int, rid long, distance double, value double, m long")
 
 
 def _weighted(candidates: DataFrame, k: int) -> DataFrame:
     """Mean of the k nearest values weighted by 1/distance; donors at distance zero win alone."""
-    w = Window.partitionBy("task", "receiver").orderBy("distance", "value")
+    w = Window.partitionBy("task", "rid").orderBy("distance", "value")
     first = candidates.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= k)
     before = F.coalesce(F.sum("m").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     used = first.withColumn("take", F.greatest(F.least("m", F.lit(k) - before), F.lit(0))).filter("take > 0")
     zero = F.col("distance") == 0
     weight = F.col("take") / F.when(zero, F.lit(1.0)).otherwise(F.col("distance"))
     exact_value, exact_weight = (F.sum(F.when(zero, x)) for x in (F.col("take") * F.col("value"), F.col("take")))
-    return used.groupBy("task", "receiver").agg(
+    return used.groupBy("task", "rid").agg(
         F.coalesce(exact_value / exact_weight, F.sum(weight * F.col("value")) / F.sum(weight)).alias("filled")
     )
 
@@ -225,14 +229,11 @@ def _fills(
     receivers = _shape(rows.filter(F.col("pattern") != 0), cols, tasks, donors=False)
     visits = _visits(receivers, p, boxes.toPandas(), k)
     values = _weighted(_candidates(visits.join(packed, ["task", "cell"]), p, k), k)
-    known = [F.nanvl(F.col("receiver")[i], F.lit(None).cast("double")).alias(f"k_{c}") for i, c in enumerate(cols)]
-    facts = F.create_map(*[F.lit(v) for t in tasks for v in (t.number, t.pattern * p + t.target)])
-    code = F.try_element_at(facts, F.col("task"))
-    return (
-        values.withColumn("code", code).groupBy("receiver", F.floor(F.col("code") / p).alias("pattern"))
-        .agg(*[F.max(F.when(F.col("code") % p == i, F.col("filled"))).alias(f"f_{c}") for i, c in enumerate(cols)])
-        .select(*known, *[f"f_{c}" for c in cols])
+    targets = F.create_map(*[F.lit(v) for t in tasks for v in (t.number, t.target)])
+    wide = values.withColumn("at", F.try_element_at(targets, F.col("task"))).groupBy("rid").agg(
+        *[F.max(F.when(F.col("at") == i, F.col("filled"))).alias(f"f_{c}") for i, c in enumerate(cols)]
     )
+    return wide.join(rows.select("rid", *[F.col(c).alias(f"k_{c}") for c in cols]), "rid").drop("rid")
 
 
 def impute_knn(df: DataFrame, cols: Sequence[str], k: int = 5, block: int = 1024) -> DataFrame:
@@ -245,9 +246,8 @@ def impute_knn(df: DataFrame, cols: Sequence[str], k: int = 5, block: int = 1024
     if len(cols) > MAX_COLUMNS:
         raise ValueError(f"at most {MAX_COLUMNS} columns: patterns of gaps grow as 2^p")
     typed = df.withColumns({c: F.col(c).cast("double") for c in cols})
-    rows = settle(
-        typed.groupBy(*cols).agg(F.count(F.lit(1)).alias("m")).withColumn("pattern", _pattern(cols)), "tuples"
-    )
+    tuples = typed.groupBy(*cols).agg(F.count(F.lit(1)).alias("m")).withColumn("pattern", _pattern(cols))
+    rows = settle(tuples.withColumn("rid", F.monotonically_increasing_id()), "tuples")
     shares = [i / 256 for i in range(1, 256)]
 
     def mean(c: str) -> Column:
