@@ -26,9 +26,11 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(text: str | None, known: Words) -> np.ndarray:
-    """Hashes of the words of a text, A-Z lower-cased; words end at the six ASCII white-space characters."""
-    words = (text or "").encode("utf-8", "replace").lower().split()
+def word_hashes(text: str | None, known: Words, every_letter: bool = False) -> np.ndarray:
+    """Hashes of the words of a text, with A-Z (or every letter) lower-cased; words end at the six ASCII white-space
+    characters."""
+    text = text or ""
+    words = (text.lower() if every_letter else text).encode("utf-8", "replace").lower().split()
     return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
