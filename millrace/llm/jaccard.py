@@ -265,12 +265,17 @@ def similar(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "d
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without those that a smaller id is linked to; of rows with equal ids all stay or go. Rows without an
-    id stay. Columns are those of the input."""
-    gone = settle(similar(docs, width, percent, doc_id, text).filter(
-        F.col("component_id") < F.col(doc_id)).select(F.col(doc_id).alias("__gone")).distinct(), "gone")
-    few = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
-    return docs.join(few, F.col(doc_id) == F.col("__gone"), "left_anti")
+    """The documents without those that are linked to a smaller id, in the columns of the input. Of rows with equal ids one
+    stays. Rows without an id stay."""
+    found = settle(similar(docs, width, percent, doc_id, text).filter(F.col(doc_id).isNotNull()).groupBy(
+        F.col(doc_id).alias("id")).agg(F.min("component_id").alias("component"), F.count(F.lit(1)).alias("n")).filter(
+        "component < id OR n > 1"), "linked")
+    named = docs.withColumn("id", F.col(doc_id).cast("long")) if doc_id != "id" else docs
+    rest = _among(named, settle(found.select("id"), "gone"), "left_anti")
+    again = found.filter("component = id").select("id")
+    if not again.isEmpty():
+        rest = rest.unionByName(_among(named, settle(again, "again"), "left_semi").dropDuplicates(["id"]))
+    return rest.select(*docs.columns)
 
 
 @query("op7_ngram_jaccard")
