@@ -150,6 +150,8 @@ class Groups:
 
 def link_blocks(ids: list, comps: list, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> list[tuple]:
     """Links between documents ``left`` and ``right`` (positions) that connect different components, as a spanning forest."""
+    if not len(left) or not len(right):
+        return []
     parent = {c: c for c in comps}
 
     def find(c):
