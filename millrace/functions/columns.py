@@ -35,10 +35,22 @@ def exact_sum(whole: Column, digits: int) -> Column:
 
 
 def exact_avg(c: Column | str) -> Column:
-    """Average of a money column: exact sum, one division at the end; null for an empty group."""
+    """Average of a money column (two places): exact sum, one division at the end; null for an empty group."""
     return F.try_divide(exact_sum(cents(c), 2).cast("double"), F.count(col(c)))
 
 
+def mean(c: Column | str, digits: int | None = None) -> Column:
+    """Average of any number as a double; null for an empty group.
+
+    ``digits`` says that the values have so many decimal places: then the sum is exact and does not depend on the order
+    of rows. Nothing is rounded otherwise.
+    """
+    if digits is None:
+        return F.avg(col(c).cast("double"))
+    whole = F.rint(col(c) * 10**digits).cast("long")
+    return F.try_divide(exact_sum(whole, digits).cast("double"), F.count(col(c)))
+
+
 def half_even(c: Column | str, digits: int = 0) -> Column:
     """Round half to even, as data-frame libraries do (``round`` rounds half up)."""
     scale = 10.0**digits

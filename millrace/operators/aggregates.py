@@ -10,28 +10,31 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from millrace.functions.columns import cents, exact_avg, exact_sum
+from millrace.functions.columns import cents, exact_sum, mean
 from millrace.operators.split import running_total
 
 
-def mart_monthly(df: DataFrame, key: str, date_col: str, amount: str) -> DataFrame:
-    """Average amount per key, year and month, rounded half up to a whole number."""
+def mart_monthly(df: DataFrame, key: str, date_col: str, amount: str, digits: int | None = None) -> DataFrame:
+    """Average amount per key, year and month, rounded half up to a whole number.
+
+    ``digits``: decimal places of an amount of fixed places, for exact sums.
+    """
     return (
         df.groupBy(
             F.col(key).alias("area_name"),
             F.year(date_col).alias("sale_year"),
             F.month(date_col).alias("sale_month"),
         )
-        .agg(F.round(exact_avg(amount)).cast("long").alias("avg_price"))
+        .agg(F.round(mean(amount, digits)).cast("long").alias("avg_price"))
     )
 
 
-def summary_stats(df: DataFrame, c: str) -> DataFrame:
+def summary_stats(df: DataFrame, c: str, digits: int | None = None) -> DataFrame:
     return df.agg(
         F.count(c).alias("total"),
         F.min(c).alias("min_value"),
         F.max(c).alias("max_value"),
-        exact_avg(c).alias("avg_value"),
+        mean(c, digits).alias("avg_value"),
     )
 
 

@@ -104,14 +104,33 @@ def insert_numbered(df: DataFrame, new: DataFrame, key: str, order: str) -> Data
     return df.unionByName(keyed.withColumn(key, (F.col(key) + top).cast(dict(df.dtypes)[key])))
 
 
-def apply_changes(snapshot: DataFrame, changes: DataFrame, key: str, op_col: str) -> DataFrame:
+def last_change(changes: DataFrame, key: str, sequence: str) -> DataFrame:
+    """One change per key: the one with the highest sequence (nulls first, then any fixed choice)."""
+    rest = [c for c in changes.columns if c != key]
+    picked = changes.groupBy(key).agg(F.max(F.struct(
+        F.col(sequence).isNotNull().alias("__known"), F.col(sequence).alias("__at"), F.struct(*rest).alias("__row"))).alias("__last"))
+    return picked.select(key, "__last.__row.*").select(*changes.columns)
+
+
+def apply_changes(
+    snapshot: DataFrame, changes: DataFrame, key: str, op_col: str, sequence: str | None = None
+) -> DataFrame:
     """Next snapshot after a batch of inserts, updates (null = keep the field) and deletes.
 
-    ``op_col`` holds ``insert``, ``update`` or ``delete``; each key occurs at most once in the batch.
+    ``op_col`` holds ``insert``, ``update`` or ``delete``. With ``sequence`` the last change of a key counts; without it a
+    key that occurs twice in the batch fails the job.
     An update or delete of an absent key, or an insert of a present one, changes nothing. The snapshot is only
     ever the probed side, so that a batch that fits a broadcast leaves it unshuffled.
     """
     fields = [c for c in snapshot.columns if c != key]
+    if sequence is not None:
+        changes = last_change(changes, key, sequence)
+    else:
+        rest = [c for c in changes.columns if c != key]
+        grouped = changes.groupBy(key).agg(F.count(F.lit(1)).alias("__n"), F.first(F.struct(*rest)).alias("__row"))
+        once = F.when(F.col("__n") == 1, F.col("__row")).otherwise(
+            F.raise_error(F.concat(F.lit("two changes of key "), F.coalesce(F.col(key).cast("string"), F.lit("null")))))
+        changes = grouped.withColumn("__row", once).select(key, "__row.*").select(*changes.columns)
     edits = changes.filter(F.col(op_col).isin("update", "delete")).select(
         key, F.col(op_col).alias("__op"), F.struct(*fields).alias("__new")
     )
@@ -140,9 +159,11 @@ def affected(snapshot: DataFrame, changes: DataFrame, key: str, op_col: str) ->
 
 
 def new_keys_only(existing: DataFrame, batch: DataFrame, key: str, order: str) -> DataFrame:
-    """Rows of a batch that may be appended: one per key (the first by ``order``), none already stored."""
+    """Rows of a batch that may be appended: one per key (the first by ``order``, a null order value last), none already
+    stored. A row without a key is not appended: it could not be recognised by the next batch."""
     rest = [c for c in batch.columns if c != key]
-    one = batch.groupBy(key).agg(F.min_by(F.struct(*rest), order).alias("__row"))
+    first = F.struct(F.col(order).isNull().alias("__none"), F.col(order).alias("__at"))
+    one = batch.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min_by(F.struct(*rest), first).alias("__row"))
     fresh = _absent(one, existing, key)
     return fresh.select(key, "__row.*").select(*batch.columns)
 

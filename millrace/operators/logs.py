@@ -18,6 +18,7 @@ EXTENDED = (
     r'^(\S+) - (\S+) \[([^\]]+)\] "(\S+) (\S+) ([^"]+)" (\d+) (\S+) "([^"]*)" "([^"]*)" "([^"]*)" (\S+)$'
 )
 BROKEN = "BROKEN LINE WITHOUT FIELDS"
+REJECT_TYPE = "advertools_error"
 INCOMPLETE = r'^"(.+)" (\d{3})$'
 FULL = r'^(\S+) - (\S+) \[([^\]]+)\] "([^"]+)" (\d{3}) (\S+) "([^"]*)" "([^"]*)"$'
 REJECTED = (
@@ -35,22 +36,27 @@ FULL_FIELDS = ("ip", "user", "timestamp", "request", "status_code", "size", "ref
 REJECT_FIELDS = (
     "ip", "user", "timestamp", "request", "status_code", "bytes", "referer", "user_agent", "host", "response_time"
 )
-MARK = "\u001f"
+MARK, ESCAPE = "\u001f", "\u001e"
 
 
 def _match(df: DataFrame, line: Column, pattern: str, fields: Sequence[str], out: str, only: Column | None = None) -> DataFrame:
     """Add the groups of an anchored pattern as a struct, null where the line does not match.
 
     One match per line: the groups are rewritten with a separator control character and split again, as a
-    generated column, which later filters and projections do not repeat. Servers escape control characters,
-    so a line that holds the separator itself is damaged and counts as not matching.
+    generated column, which later filters and projections do not repeat. A line that holds the separator itself is
+    escaped first, by characters that the patterns treat alike, and its groups are turned back.
     """
-    rewritten = F.regexp_replace(line, pattern, MARK.join(f"${i + 1}" for i in range(len(fields))))
+    def hidden(x: Column) -> Column:
+        return F.replace(F.replace(x, F.lit(ESCAPE), F.lit(ESCAPE + "a")), F.lit(MARK), F.lit(ESCAPE + "b"))
+
+    def shown(x: Column) -> Column:
+        return F.replace(F.replace(x, F.lit(ESCAPE + "b"), F.lit(MARK)), F.lit(ESCAPE + "a"), F.lit(ESCAPE))
+
+    rewritten = F.regexp_replace(hidden(line), pattern, MARK.join(f"${i + 1}" for i in range(len(fields))))
     parts = F.split(rewritten, MARK, -1)
     once = df.select("*", F.explode(F.array(parts if only is None else F.when(only, parts))).alias("__parts"))
-    fits = (F.size("__parts") == len(fields)) & ~line.contains(MARK)
-    named = F.struct(*[F.get("__parts", F.lit(i)).alias(f) for i, f in enumerate(fields)])
-    return once.withColumn(out, F.when(fits, named)).drop("__parts")
+    named = F.struct(*[shown(F.get("__parts", F.lit(i))).alias(f) for i, f in enumerate(fields)])
+    return once.withColumn(out, F.when(F.size("__parts") == len(fields), named)).drop("__parts")
 
 
 def dash_to_null(c: Column) -> Column:
@@ -160,7 +166,9 @@ def classify_error_lines(
     return out if unmatched else out.filter(F.col("log_type") != "unmatched")
 
 
-def parse_reject_records(lines: DataFrame, c: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+def parse_reject_records(
+    lines: DataFrame, c: str = "value", keep: Sequence[str] = (), log_type: str = REJECT_TYPE
+) -> DataFrame:
     """Records ``id@@line@@message``; others are dropped. Values of mixed type keep their raw text."""
     rows = read_lines(lines, c).withColumn("__p", F.split(F.col(c), "@@", -1)).filter(F.size("__p") == 3)
     rows = _match(rows, F.col("__p")[1], REJECTED, REJECT_FIELDS, "__m").filter(F.col("__m").isNotNull())
@@ -169,7 +177,7 @@ def parse_reject_records(lines: DataFrame, c: str = "value", keep: Sequence[str]
     seconds = F.when(m["response_time"].rlike(number), m["response_time"].try_cast("double"))
     return rows.select(
         *keep,
-        F.lit("reject").alias("log_type"),
+        F.lit(log_type).alias("log_type"),
         whole_or_null(F.col("__p")[0]).alias("log_id"),
         F.col("__p")[0].alias("log_id_raw"),
         m["ip"].alias("ip"), m["user"].alias("user"),

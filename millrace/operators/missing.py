@@ -11,22 +11,28 @@ from pyspark.sql import functions as F
 from millrace.operators.aggregates import exact_quantile, mode_of
 
 
-def nan_to_null(df: DataFrame) -> DataFrame:
-    """One kind of missing: NaN becomes null."""
-    floats = [c for c, t in df.dtypes if t in ("float", "double")]
+def nan_to_null(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """One kind of missing: NaN becomes null, in the named columns or in all."""
+    floats = [c for c, t in df.dtypes if t in ("float", "double") and (cols is None or c in cols)]
     return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats})
 
 
+def is_missing(df: DataFrame, c: str) -> Column:
+    """Null or, in a column of floats, NaN."""
+    gap = F.col(c).isNull()
+    return gap | F.isnan(c) if dict(df.dtypes)[c] in ("float", "double") else gap
+
+
 def missing_mask(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One flag per column and the number of gaps per row."""
-    flags = {f"{c}_missing": F.col(c).isNull() for c in cols}
-    per_row = sum((F.col(c).isNull().cast("int") for c in cols), F.lit(0))
+    flags = {f"{c}_missing": is_missing(df, c) for c in cols}
+    per_row = sum((is_missing(df, c).cast("int") for c in cols), F.lit(0))
     return df.withColumns({**flags, "row_missing": per_row})
 
 
 def null_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Gaps per column, one row per column, from a single pass."""
-    one = df.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+    one = df.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count_if(is_missing(df, c)).alias(c) for c in cols])
     return one.unpivot("n_rows", list(cols), "column_name", "n_missing").select(
         "column_name", "n_missing", "n_rows"
     )
@@ -38,7 +44,7 @@ def nullity_corr(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     Pairs with a column that is never or always missing have no correlation and are left out. Only counts
     are aggregated, so the result is exact.
     """
-    gap = {c: F.col(c).isNull() for c in cols}
+    gap = {c: is_missing(df, c) for c in cols}
     pairs = list(combinations(cols, 2))
     counts = [F.count(F.lit(1)).alias("n")]
     counts += [F.count_if(gap[c]).alias(f"g{i}") for i, c in enumerate(cols)]
@@ -65,13 +71,13 @@ def drop_rows(df: DataFrame, cols: Sequence[str], min_missing_share: float | Non
     """Drop rows with any gap, or those with at least the given share of missing columns."""
     if min_missing_share is None:
         return df.dropna("any", subset=list(cols))
-    gaps = sum((F.col(c).isNull().cast("int") for c in cols), F.lit(0))
+    gaps = sum((is_missing(df, c).cast("int") for c in cols), F.lit(0))
     return df.filter(gaps < F.lit(min_missing_share * len(cols)))
 
 
 def drop_null_columns(df: DataFrame) -> DataFrame:
     """Keep the columns without a gap (one aggregate decides which)."""
-    gaps = df.agg(*[F.max(F.col(c).isNull().cast("int")).alias(c) for c in df.columns]).first()
+    gaps = df.agg(*[F.max(is_missing(df, c).cast("int")).alias(c) for c in df.columns]).first()
     return df.select(*[c for c in df.columns if not gaps[c]])
 
 
@@ -87,14 +93,15 @@ def statistic(df: DataFrame, c: str, how: str) -> Column:
 
 
 def impute(df: DataFrame, spec: Mapping[str, str]) -> DataFrame:
-    """Fill each named column with its mean, median or mode."""
+    """Fill each named column with its mean, median or mode; NaN is a gap too."""
+    df = nan_to_null(df, list(spec))
     return df.withColumns({c: F.coalesce(F.col(c), statistic(df, c, how)) for c, how in spec.items()})
 
 
 def fill_constant(df: DataFrame, spec: Mapping[str, object]) -> DataFrame:
-    return df.fillna(dict(spec))
+    return nan_to_null(df, list(spec)).fillna(dict(spec))
 
 
 def replace_where(df: DataFrame, c: str, cond: Column, value) -> DataFrame:
     """Replace values that satisfy a condition, and missing ones."""
-    return df.withColumn(c, F.when(cond | F.col(c).isNull(), F.lit(value)).otherwise(F.col(c)))
+    return df.withColumn(c, F.when(cond | is_missing(df, c), F.lit(value)).otherwise(F.col(c)))

@@ -8,18 +8,20 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import exact_avg, exact_sum
+from millrace.functions.columns import exact_sum, mean
 from millrace.operators.split import PIECE_ROWS, join_on, numbered, numbered_values
+from millrace.session import settle
 
 
 def with_correlated_avg(
-    left: DataFrame, right: DataFrame, left_on: str, right_on: str, value: str, out: str
+    left: DataFrame, right: DataFrame, left_on: str, right_on: str, value: str, out: str, digits: int | None = None
 ) -> DataFrame:
     """Average of the matching rows per left row; left rows without a match keep null.
+    ``digits``: decimal places of a value of fixed places, for exact sums.
 
     The right side is aggregated before the join, so a hot key is reduced on the map side.
     """
-    means = right.groupBy(F.col(right_on).alias("__k")).agg(exact_avg(value).alias(out))
+    means = right.groupBy(F.col(right_on).alias("__k")).agg(mean(value, digits).alias(out))
     return left.join(means, F.col(left_on) == F.col("__k"), "left").drop("__k")
 
 
@@ -52,12 +54,12 @@ def above_scalar(df: DataFrame, value: str, threshold: DataFrame) -> DataFrame:
     return df.filter(F.col(value).cast("double") > threshold.scalar())
 
 
-def partition_mean(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
+def partition_mean(df: DataFrame, keys: Sequence[str], value: str, out: str, digits: int | None = None) -> DataFrame:
     """Group average beside every row: aggregate and join back.
 
     A window would bring each group to one task; the join lets adaptive execution split a hot one.
     """
-    means = df.groupBy(*keys).agg(exact_avg(value).alias(out))
+    means = df.groupBy(*keys).agg(mean(value, digits).alias(out))
     return join_on(df, means, keys)
 
 
@@ -149,11 +151,29 @@ def unique_names(
 ) -> DataFrame:
     """Names made unique in the order of a numeric ``id_col``: x, x-2, x-3, …
 
-    A name that already reads ``x-2`` in the input is an ordinary name with its own numbering.
+    The first row of a name keeps it. A repeat whose candidate is already a name of the table, or was given to another
+    row, takes the next free number of its own name, in further rounds over the rows that are left; so no name
+    occurs twice. Null names stay null.
     """
-    first = numbered(df, [name], [F.col(id_col)], "__n", F.col(id_col), piece_rows)
-    suffixed = F.when(F.col("__n") > 1, F.concat(F.col(name), F.lit("-"), F.col("__n").cast("string")))
-    return first.withColumn(out, F.coalesce(suffixed, F.col(name))).drop("__n")
+    first = settle(numbered(df, [name], [F.col(id_col)], "__n", F.col(id_col), piece_rows).withColumn(
+        out, F.when(F.col("__n") == 1, F.col(name))), "names")
+    done, rest = first.filter(F.col(out).isNotNull() | F.col(name).isNull()), first.filter((F.col("__n") > 1) & F.col(name).isNotNull())
+    taken = done.filter(F.col(out).isNotNull()).select(F.col(out).alias("__taken"))
+    while not rest.isEmpty():
+        tried = rest.withColumn(out, F.concat(F.col(name), F.lit("-"), F.col("__n").cast("string")))
+        free = tried.join(taken, F.col(out) == F.col("__taken"), "left_anti")
+        # Different names may reach one candidate (x-2 of x, and x of x-2): the smallest original name gets it.
+        winners = free.groupBy(out).agg(F.min(name).alias("__winner"))
+        given = settle(join_on(free, winners, [out]).filter(F.col(name) == F.col("__winner")).drop("__winner"), "names")
+        left = tried.join(given.select(F.col(out).alias("__taken"), F.col(name).alias("__of")),
+                          (F.col(out) == F.col("__taken")) & (F.col(name) == F.col("__of")), "left_anti")
+        # The rows that are left move on by as many numbers as the name has given out so far.
+        top = tried.groupBy(name).agg(F.max("__n").alias("__top"))
+        rest = settle(join_on(numbered(left.drop("__n", out), [name], [F.col(id_col)], "__n", F.col(id_col), piece_rows), top, [name])
+                      .withColumn("__n", F.col("__n") + F.col("__top")).drop("__top").withColumn(out, F.lit(None).cast("string")), "names")
+        done = done.unionByName(given)
+        taken = taken.unionByName(given.select(F.col(out).alias("__taken")))
+    return done.drop("__n")
 
 
 def category_codes(df: DataFrame, c: str, out: str, piece_rows: int = PIECE_ROWS) -> DataFrame:

@@ -7,6 +7,7 @@ long is the order axis cut into pieces. The window then runs inside (group, piec
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -25,7 +26,7 @@ def cut_points(df: DataFrame, axis: Column, pieces: int) -> list[float]:
         return []
     shares = [i / n for i in range(1, n)]
     row = df.agg(F.percentile_approx(axis.cast("double"), shares, 20_000).alias("cuts")).first()
-    return sorted(set(row["cuts"] or []))
+    return sorted({c for c in row["cuts"] or [] if math.isfinite(c)})
 
 
 def sampled_cuts(values: DataFrame, c: str, pieces: int) -> list:
@@ -46,19 +47,19 @@ def _points(cuts: Sequence) -> Column:
 
 
 def bucket_of(axis: Column, cuts: Sequence) -> Column:
-    """Number of cut points at or below the value: monotone in the axis.
+    """Number of cut points at or below the value: monotone in the axis. A null comes first, as in ascending order.
 
     Many cut points are searched in two steps, first among every 64th one.
     """
     if not cuts:
         return F.lit(0)
     if len(cuts) <= FAN:
-        return F.size(F.filter(_points(cuts), lambda p: p <= axis))
+        return F.when(axis.isNotNull(), F.size(F.filter(_points(cuts), lambda p: p <= axis))).otherwise(0)
     groups = [cuts[i:i + FAN] for i in range(0, len(cuts), FAN)]
     coarse = F.size(F.filter(_points([g[0] for g in groups]), lambda p: p <= axis))
     group = F.greatest(coarse - 1, F.lit(0))
     inside = F.get(F.array(*[_points(g) for g in groups]), group)
-    return F.when(axis.isNotNull(), group * FAN + F.size(F.filter(inside, lambda p: p <= axis)))
+    return F.when(axis.isNotNull(), group * FAN + F.size(F.filter(inside, lambda p: p <= axis))).otherwise(0)
 
 
 def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -86,14 +87,15 @@ def cut(
     key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
     keyed = df.withColumn(KEY, key)
     sizes = keyed.groupBy(KEY).agg(F.count(F.lit(1)).alias("n"))
-    total = sizes.agg(F.sum("n")).first()[0] or 0
-    limit = max(piece_rows, total // MAX_PIECES)
-    long = sizes.filter(F.col("n") > limit).collect() if total > limit else []
+    # One aggregate gives the total and the candidates: at most MAX_PIECES groups can be longer than a share of the table.
+    row = sizes.agg(F.sum("n").alias("total"), F.max("n").alias("longest")).first()
+    limit = max(piece_rows, (row["total"] or 0) // MAX_PIECES)
+    long = sizes.filter(F.col("n") > limit).collect() if (row["longest"] or 0) > limit else []
     if not long:
         return keyed.withColumn(PIECE, F.lit(0)), False
     spark = df.sparkSession
-    hot = F.broadcast(spark.createDataFrame([(r[KEY], True) for r in long], _hot_type(keyed)))
-    marked = keyed.join(hot, KEY, "left")
+    hot = spark.createDataFrame([(r[KEY], True) for r in long], _hot_type(keyed))
+    marked = join_on(keyed, F.broadcast(hot), [KEY])
     cuts = cut_points(marked.filter("__hot"), axis, -(-sum(r["n"] for r in long) // limit))
     piece = F.when(F.col("__hot"), bucket_of(axis.cast("double"), cuts)).otherwise(0)
     return marked.withColumn(PIECE, piece).drop("__hot"), True
@@ -113,7 +115,7 @@ def _number(pieces: DataFrame, many: bool, order: Sequence[Column], out: str) ->
     offsets = pieces.groupBy(KEY, PIECE).agg(F.count(F.lit(1)).alias("__n")).select(
         KEY, PIECE, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset")
     )
-    return inside.join(offsets, [KEY, PIECE]).withColumn(out, F.col(out) + F.col("__offset")).drop(
+    return join_on(inside, offsets, [KEY, PIECE]).withColumn(out, F.col(out) + F.col("__offset")).drop(
         "__offset", KEY, PIECE
     )
 
@@ -153,7 +155,7 @@ def running_total(
         F.col(out).isNotNull() | F.col("__offset").isNotNull(),
         F.coalesce(F.col(out), F.lit(0)) + F.coalesce(F.col("__offset"), F.lit(0)),
     )
-    return inside.join(offsets, [KEY, PIECE]).withColumn(out, total).drop("__offset", KEY, PIECE)
+    return join_on(inside, offsets, [KEY, PIECE]).withColumn(out, total).drop("__offset", KEY, PIECE)
 
 
 def neighbours(
@@ -180,7 +182,7 @@ def neighbours(
         F.last("__hi", ignorenulls=True).over(by_piece.rowsBetween(Window.unboundedPreceding, -1)).alias("__before"),
         F.first("__lo", ignorenulls=True).over(by_piece.rowsBetween(1, Window.unboundedFollowing)).alias("__after"),
     )
-    out = out.join(carried, [KEY, PIECE]).withColumn("__prev", F.coalesce("__prev", "__before"))
+    out = join_on(out, carried, [KEY, PIECE]).withColumn("__prev", F.coalesce("__prev", "__before"))
     if forward:
         out = out.withColumn("__next", F.coalesce("__next", "__after"))
     return out.drop("__before", "__after", KEY, PIECE)

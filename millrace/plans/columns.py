@@ -345,3 +345,22 @@ def pairs_map(t: Tables) -> DataFrame:
         "p_partkey", F.col("m")["brand"].alias("brand"), F.col("m")["size"].alias("size"),
         pl.first_of("v").alias("first_value"),
     )
+
+
+@query("mean_of_small_values", """
+select event_type, round(avg(cast(value as double) / 1000), 9) as mean_value from events group by 1""")
+def mean_of_small_values(t: Tables) -> DataFrame:
+    rows = rel.partition_mean(t.events.select("event_type", (F.col("value") / 1000).alias("v")), ["event_type"], "v", "m")
+    return rows.groupBy("event_type").agg(F.round(F.max("m"), 9).alias("mean_value"))
+
+
+# x, x and x-2 in one table: the second x may not become x-2.
+@query("unique_names_taken", """
+with r as (select event_id, event_type || case event_id % 1000 when 7 then '-2' when 8 then '-3' else '' end as base from events)
+select count(*) as n_rows, count(*) as n_names, count(distinct base) as n_kept from r""")
+def unique_names_taken(t: Tables) -> DataFrame:
+    kind = F.col("event_id") % 1000
+    base = F.concat("event_type", F.when(kind == 7, "-2").when(kind == 8, "-3").otherwise(""))
+    named = rel.unique_names(t.events.select("event_id", base.alias("base")), "base", "event_id", "out")
+    return named.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("out").alias("n_names"),
+                     F.countDistinct(F.when(F.col("out") == F.col("base"), F.col("base"))).alias("n_kept"))

@@ -21,11 +21,12 @@ AGENT = """case event_id % 3 when 0 then 'Mozilla/5.0 (Windows NT 10.0; Win64; x
 HEAD = f"""'10.0.' || user_id % 256 || '.' || event_id % 256 || ' - ' || case when user_id % 4 = 0 then '-' else 'u' || user_id end
  || ' [' || {STAMP} || '] "GET /' || event_type || case when event_id % 5 = 0 then '?k=' || user_id else '' end
  || ' HTTP/1.1" ' || {STATUS} || ' ' || {SIZE} || ' "-" "' || {AGENT} || '"'"""
+# One line in five is malformed: the marker, an agent with a status only, no date in the brackets, a blank, a cut quote.
 LINES = f"""(select event_id, ts, user_id, event_type, case
- when event_id % 25 = 20 then 'BROKEN LINE WITHOUT FIELDS' when event_id % 25 = 21 then '"agent x" ' || {STATUS}
- when event_id % 25 = 22 then '10.0.0.5 - - [bad/time/stamp] "POST /api HTTP/1.1" 200 123 "-" "-"'
- when event_id % 25 = 23 then '   '
- when event_id % 25 = 24 then '10.0.0.5 - - [' || {STAMP} || '] "GET /incomplete HTTP/1.1" - - "-" "-"'
+ when event_id % 25 = 20 then '{logs.BROKEN}' when event_id % 25 = 21 then '"agent x" ' || {STATUS}
+ when event_id % 25 = 22 then '172.16.4.' || user_id % 256 || ' - eve [noon yesterday] "PUT /cart/' || user_id || ' HTTP/2.0" 204 0 "-" "cart-sync/3"'
+ when event_id % 25 = 23 then ' '
+ when event_id % 25 = 24 then '172.16.4.9 - - [' || {STAMP} || '] "GET /img/' || event_id || '.png HTTP'
  when event_id % 2 = 0 then {HEAD}
  else {HEAD} || ' "h' || user_id % 3 || '.example.com" ' || printf('%.3f', event_id % 1000 / 1000.0) end as value from events)"""
 
@@ -49,15 +50,17 @@ def lines(t: Tables) -> DataFrame:
     kind = e % 25
     value = (
         F.when(kind == 20, logs.BROKEN).when(kind == 21, F.concat(F.lit('"agent x" '), status))
-        .when(kind == 22, '10.0.0.5 - - [bad/time/stamp] "POST /api HTTP/1.1" 200 123 "-" "-"')
-        .when(kind == 23, "   ")
-        .when(kind == 24, F.concat(F.lit("10.0.0.5 - - ["), stamp, F.lit('] "GET /incomplete HTTP/1.1" - - "-" "-"')))
+        .when(kind == 22, F.format_string(
+            '172.16.4.%d - eve [noon yesterday] "PUT /cart/%d HTTP/2.0" 204 0 "-" "cart-sync/3"', u % 256, u))
+        .when(kind == 23, " ")
+        .when(kind == 24, F.concat(F.lit("172.16.4.9 - - ["), stamp, F.format_string('] "GET /img/%d.png HTTP', e)))
         .when(e % 2 == 0, head)
         .otherwise(F.concat(head, F.format_string(' "h%d.example.com" 0.', u % 3), millis))
     )
     return t.spread("events", "event_id").select("event_id", value.alias("value"))
 
 
+# The line formats of operators/logs.py as the oracle needs them: without their ends, or in parts.
 BASE = r'^(\S+) (\S+) (\S+) \[([^\]]+)\] "(\S+) (\S+) ([^"]+)" (\d+) (\S+) "([^"]*)" "([^"]*)"'
 PARSED = f"""(select event_id, value, regexp_matches(value, '{BASE}$') as a,
  regexp_matches(value, '{BASE} "([^"]*)" (\\S+)$') and regexp_extract(value, '{BASE}', 2) = '-' as b from {LINES}
@@ -74,7 +77,7 @@ def _part(i: int) -> str:
 PARSE_SQL = f"""
 select event_id, case when a then 'apache_combined' else 'nginx_combined' end as log_format, {_part(1)} as ip,
  case when a then {_part(2)} end as identd, {_part(3)} as user, {_part(4)} as timestamp,
- case when {_part(4)} not like 'bad%' then strptime(left({_part(4)}, 20), '%d/%b/%Y:%H:%M:%S') end as ts,
+ case when {_part(4)} not like 'noon%' then strptime(left({_part(4)}, 20), '%d/%b/%Y:%H:%M:%S') end as ts,
  {_part(5)} as method, {_part(6)} as path, {_part(7)} as protocol, cast({_part(8)} as integer) as status,
  try_cast({_part(9)} as bigint) as size, {_part(10)} as referer, {_part(11)} as user_agent,
  case when b then regexp_extract(value, '" "([^"]*)" \\S+$', 1) end as host,
@@ -143,12 +146,12 @@ def error_line_classes(t: Tables) -> DataFrame:
 
 REJECTS = f"""(select event_id, case when event_id % 10 = 3 then event_id || '@@' || value
  else case when event_id % 10 = 4 then 'x' || event_id else cast(event_id as varchar) end || '@@' || value || '@@list index out of range' end
- as value from {LINES} where event_id % 2 = 1 and event_id % 25 < 20)"""
+ as value from {LINES} where trim(value) <> '')"""
 
 
 def reject_lines(t: Tables) -> DataFrame:
     e = F.col("event_id")
-    rows = lines(t).filter((e % 2 == 1) & (e % 25 < 20))
+    rows = logs.read_lines(lines(t))
     key = F.when(e % 10 == 4, F.concat(F.lit("x"), e.cast("string"))).otherwise(e.cast("string"))
     record = F.when(e % 10 == 3, F.concat_ws("@@", e.cast("string"), "value")).otherwise(
         F.concat_ws("@@", key, "value", F.lit("list index out of range"))
@@ -164,7 +167,7 @@ def _rej(i: int) -> str:
 
 
 REJECT_SQL = f"""
-select event_id, 'reject' as log_type, try_cast(split_part(value, '@@', 1) as bigint) as log_id, split_part(value, '@@', 1) as log_id_raw,
+select event_id, '{logs.REJECT_TYPE}' as log_type, try_cast(split_part(value, '@@', 1) as bigint) as log_id, split_part(value, '@@', 1) as log_id_raw,
  {_rej(1)} as ip, {_rej(2)} as user, {_rej(3)} as timestamp_raw, strptime(left({_rej(3)}, 20), '%d/%b/%Y:%H:%M:%S') as timestamp,
  {_rej(4)} as request, cast({_rej(5)} as integer) as status_code, try_cast({_rej(6)} as bigint) as bytes, {_rej(6)} as bytes_raw,
  nullif({_rej(7)}, '-') as referer, nullif({_rej(8)}, '-') as user_agent, {_rej(9)} as host,

@@ -29,7 +29,7 @@ def line_amount() -> Column:
 
 @query("mart_monthly_avg", MART)
 def mart_monthly_avg(t: Tables) -> DataFrame:
-    return agg.mart_monthly(t.orders, "o_orderpriority", "o_orderdate", "o_totalprice")
+    return agg.mart_monthly(t.orders, "o_orderpriority", "o_orderdate", "o_totalprice", digits=2)
 
 
 @query("mart_spot_check", f"""
@@ -47,7 +47,7 @@ def mart_spot_check(t: Tables) -> DataFrame:
 select n_nationkey, n_name, (select {AVG.format('c_acctbal')} from customer where c_nationkey = n_nationkey)
  as avg_credit from nation""")
 def rep_avg_credit(t: Tables) -> DataFrame:
-    out = rel.with_correlated_avg(t.nation, t.customer, "n_nationkey", "c_nationkey", "c_acctbal", "avg_credit")
+    out = rel.with_correlated_avg(t.nation, t.customer, "n_nationkey", "c_nationkey", "c_acctbal", "avg_credit", digits=2)
     return out.select("n_nationkey", "n_name", "avg_credit")
 
 
@@ -176,7 +176,7 @@ select o_custkey, o_orderkey, o_totalprice, avg_payment from orders join (
  select o_custkey as k, {AVG.format('o_totalprice')} as avg_payment from orders group by 1) on k = o_custkey""")
 def payment_vs_avg(t: Tables) -> DataFrame:
     paid = t.orders.select("o_custkey", "o_orderkey", "o_totalprice")
-    return rel.partition_mean(paid, ["o_custkey"], "o_totalprice", "avg_payment")
+    return rel.partition_mean(paid, ["o_custkey"], "o_totalprice", "avg_payment", digits=2)
 
 
 @query("order_gap", f"""
@@ -235,7 +235,7 @@ def distinct_buyers(t: Tables) -> DataFrame:
 select count(p_retailprice) as total, min(p_retailprice) as min_value, max(p_retailprice) as max_value,
  {AVG.format('p_retailprice')} as avg_value from part""")
 def price_stats(t: Tables) -> DataFrame:
-    return agg.summary_stats(t.part, "p_retailprice")
+    return agg.summary_stats(t.part, "p_retailprice", digits=2)
 
 
 @query("price_histogram20", """

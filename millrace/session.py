@@ -51,11 +51,13 @@ _shipped: set[str] = set()
 def scratch(spark: SparkSession, label: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Only where nothing is set (tests,
-    a laptop) is a temporary folder made and registered for the rest of the session.
+    The cluster names that folder in ``spark.checkpoint.dir``. Where nothing is set, only a session whose driver runs every
+    task itself may use a temporary folder; on a cluster that folder would be another one on each machine.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         base = tempfile.mkdtemp(prefix="millrace-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)

@@ -2,16 +2,16 @@ import pytest
 
 from millrace.operators import logs, web
 
-AGENT = '"Mozilla/5.0 (iPhone; CPU iPhone OS 17_4 like Mac OS X)"'
+AGENT = '"cart-sync/3 (batch; nightly)"'
 REJECTED = (
-    ["BROKEN LINE WITHOUT FIELDS"] * 7 + [f"{AGENT} {s}" for s in (400, 302, 201, 503)]
-    + [f'52.79.152.1{i} - - [17/Aug/2025:23:33:37 +0000] "GET /incomplete HTTP/1.1" - - "-" "-"' for i in range(5)]
+    [logs.BROKEN, f"12:00 {logs.BROKEN}"] + [f"{AGENT} {s}" for s in (204, 418, 599)]
+    + [f'172.16.4.{i} - - [02/Mar/2024:01:00:0{i} +0000] "GET /img/{i}.png HTTP' for i in range(4)]
 )
 LINES = [
     '10.0.0.5 - bob [14/Aug/2025:09:15:31 +0000] "GET /a?x=1 HTTP/1.1" 200 512 "-" "curl"',
     '10.0.0.5 - - [14/Aug/2025:09:15:31 +0000] "GET /b HTTP/2.0" 404 - "http://r" "UA" "example.com" 0.521',
-    '10.0.0.5 ident al [bad/time/stamp] "POST /api HTTP/1.1" 200 123 "-" "-"',
-    '10.0.0.5 ident al [bad] "POST /api HTTP/1.1" 200 123 "-" "-" "h" 0.1',
+    '172.16.4.1 ident eve [noon yesterday] "PUT /cart HTTP/2.0" 204 0 "-" "-"',
+    '172.16.4.1 ident eve [noon] "PUT /cart HTTP/2.0" 204 0 "-" "-" "h" 0.1',
     "   ",
     "",
     '10.0.0.5 - - [14/Aug/2025:09:15:31 +0000] "GET /a\u001f HTTP/1.1" 200 512 "-" "curl"',
@@ -24,13 +24,14 @@ def text(spark, lines):
 
 def test_formats_and_quarantine(spark):
     parsed = logs.parse_access_logs(text(spark, LINES)).collect()
-    assert [r["log_format"] for r in parsed] == ["apache_combined", "nginx_combined", "apache_combined", None, None]
+    assert [r["log_format"] for r in parsed] == ["apache_combined", "nginx_combined", "apache_combined", None, "apache_combined"]
     first, second, third = parsed[:3]
+    assert parsed[4]["path"] == "/a\u001f"
     assert (first["identd"], first["user"], first["status"], first["size"]) == ("-", "bob", 200, 512)
     assert (second["identd"], second["host"], second["request_time"], second["size"]) == (None, "example.com", 0.521, None)
-    assert (third["ts"], third["timestamp"]) == (None, "bad/time/stamp")
+    assert (third["ts"], third["timestamp"]) == (None, "noon yesterday")
     report = {r["outcome"]: r["n"] for r in logs.parse_report(logs.parse_access_logs(text(spark, LINES))).collect()}
-    assert report == {"parsed": 3, "rejected": 2}
+    assert report == {"parsed": 4, "rejected": 1}
 
 
 def test_enrich(spark):
@@ -41,8 +42,8 @@ def test_enrich(spark):
 def test_error_line_classes(spark):
     rows = logs.classify_error_lines(text(spark, REJECTED))
     counts = {r["log_type"]: r["count"] for r in rows.groupBy("log_type").count().collect()}
-    assert counts == {"corrupted": 7, "incomplete": 4, "unmatched": 5}
-    assert logs.classify_error_lines(text(spark, REJECTED), unmatched=False).count() == 11
+    assert counts == {"corrupted": 2, "incomplete": 3, "unmatched": 4}
+    assert logs.classify_error_lines(text(spark, REJECTED), unmatched=False).count() == 5
     full = '10.0.0.5 - - [x] "GET / HTTP/1.1" 200 12k "-" "UA"'
     row = logs.classify_error_lines(text(spark, [full])).first()
     assert (row["log_type"], row["size"], row["size_raw"], row["referer"], row["user_agent"]) == ("full", None, "12k", None, "UA")
@@ -55,6 +56,8 @@ def test_reject_records(spark):
     assert [(r["log_id"], r["log_id_raw"], r["response_time"], r["response_time_raw"]) for r in rows] == [
         (7, "7", 0.521, "0.521"), (None, "x7", None, "slow")
     ]
+    assert {r["log_type"] for r in rows} == {logs.REJECT_TYPE}
+    assert {r["log_type"] for r in logs.parse_reject_records(text(spark, records), log_type="mine").collect()} == {"mine"}
     assert rows[0]["bytes"] is None and rows[0]["bytes_raw"] == "-" and str(rows[0]["timestamp"]) == "2025-08-14 09:15:31"
 
 
