@@ -55,17 +55,28 @@ def histogram(df: DataFrame, c: str, bins: int = 20) -> DataFrame:
     return spine.join(counts, "bin", "left").select("bin", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
+SMALL_PRIMES = [p for p in range(2, 1000) if all(p % q for q in range(2, int(p**0.5) + 1))]
+
+
+def _strong(n: int) -> bool:
+    twos = (n - 1 & 1 - n).bit_length() - 1
+    for base in SMALL_PRIMES[:12]:
+        x = pow(base, n - 1 >> twos, n)
+        if x not in (1, n - 1) and all((x := x * x % n) != n - 1 for _ in range(twos - 1)):
+            return False
+    return True
+
+
 @F.pandas_udf(BooleanType())
 def is_prime(numbers: pd.Series) -> pd.Series:
-    """Primality of whole numbers by trial division, one divisor at a time over the whole batch."""
+    """Primality of whole numbers: the small primes divide the whole batch, what is left is tested by the strong test to
+    twelve bases, which has no false answer below 2^64."""
     n = numbers.fillna(0).to_numpy(dtype=np.int64)
     prime = n >= 2
-    top = int(np.sqrt(n.max(initial=0))) + 1
-    for d in range(2, top + 1):
-        alive = np.flatnonzero(prime & (n >= d * d))
-        if not len(alive):
-            break
-        prime[alive[n[alive] % d == 0]] = False
+    for d in SMALL_PRIMES:
+        prime &= (n % d != 0) | (n == d)
+    for at in np.flatnonzero(prime & (n > SMALL_PRIMES[-1] ** 2)):
+        prime[at] = _strong(int(n[at]))
     return pd.Series(prime)
 
 

@@ -17,11 +17,14 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_COLUMNS = 8
+from millrace.operators.missing import nan_to_null
+
+#: A pattern of gaps is a bit per column of one long.
+MAX_COLUMNS = 62
 
 
 def _pattern(cols: Sequence[str]) -> Column:
-    return sum((F.when(F.col(c).isNull(), 1 << i).otherwise(0) for i, c in enumerate(cols)), F.lit(0))
+    return sum((F.when(F.col(c).isNull(), F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")) for i, c in enumerate(cols)), F.lit(0).cast("long"))
 
 
 def pattern_moments(df: DataFrame, cols: Sequence[str], shift: np.ndarray) -> dict[int, np.ndarray]:
@@ -127,11 +130,13 @@ def impute_iterative(
     """Fill the gaps of numeric columns by chained regressions (one aggregate, then a projection).
 
     Columns are visited by ascending number of gaps, starting from their means. Rounds stop when the filled
-    values move by less than ``tol`` of the column scale on average.
+    values move by less than ``tol`` of the column scale on average. NaN is a gap. The work on the driver grows with the
+    patterns of gaps that occur, not with the rows.
     """
     cols = list(cols)
     if len(cols) > MAX_COLUMNS:
-        raise ValueError(f"at most {MAX_COLUMNS} columns: patterns of gaps grow as 2^p")
+        raise ValueError(f"at most {MAX_COLUMNS} columns: a pattern of gaps is a bit per column")
+    df = nan_to_null(df, cols)
     first = df.agg(*[F.avg(c).alias(c) for c in cols]).first()
     shift = np.array([first[c] if first[c] is not None else 0.0 for c in cols])
     maps = chained_maps(pattern_moments(df, cols, shift), len(cols), max_rounds, tol)

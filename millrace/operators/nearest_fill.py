@@ -17,10 +17,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.missing import nan_to_null
 from millrace.operators.split import bucket_of
 from millrace.session import settle
 
-MAX_COLUMNS = 6
+#: A pattern of gaps is a bit per column of one integer.
+MAX_COLUMNS = 30
 CELLS = 65_536
 RECEIVERS = 256
 
@@ -244,7 +246,8 @@ def impute_knn(df: DataFrame, cols: Sequence[str], k: int = 5, block: int = 1024
     """
     cols = list(cols)
     if len(cols) > MAX_COLUMNS:
-        raise ValueError(f"at most {MAX_COLUMNS} columns: patterns of gaps grow as 2^p")
+        raise ValueError(f"at most {MAX_COLUMNS} columns: a pattern of gaps is a bit per column")
+    df = nan_to_null(df, cols)
     typed = df.withColumns({c: F.col(c).cast("double") for c in cols})
     tuples = typed.groupBy(*cols).agg(F.count(F.lit(1)).alias("m")).withColumn("pattern", _pattern(cols))
     rows = settle(tuples.withColumn("rid", F.monotonically_increasing_id()), "tuples")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import col
 from millrace.functions.temporal import floor_minutes, micros, month_end, quarter_end
+from millrace.operators.missing import nan_to_null
 from millrace.operators.split import PIECE_ROWS, join_on, neighbours
 
 MINUTES = {"30min": 30, "h": 60}
@@ -79,7 +80,8 @@ def upsample(df: DataFrame, label: str, freq: str, keys: Sequence[str] = ()) ->
 def ffill(
     df: DataFrame, order: str, value: str, out: str, keys: Sequence[str] = (), piece_rows: int = PIECE_ROWS
 ) -> DataFrame:
-    """Last known value at or before each row."""
+    """Last known value at or before each row; NaN counts as unknown, a null order value comes first."""
+    df = nan_to_null(df, [value])
     filled = neighbours(df, list(keys), order, value, micros(order), forward=False, piece_rows=piece_rows)
     return filled.withColumn(out, F.col("__prev")["v"]).drop("__prev")
 
@@ -96,8 +98,9 @@ def interpolate(
     """Linear interpolation weighted by time (on a regular grid that is the position).
 
     ``edges="forward"`` leaves a leading gap empty; ``"both"`` fills it with the first known value. A
-    trailing gap takes the last known value either way.
+    trailing gap takes the last known value either way. NaN is a gap.
     """
+    df = nan_to_null(df, [value])
     near = neighbours(df, list(keys), order, value, micros(order), piece_rows=piece_rows)
     t, prev, nxt = micros(order), F.col("__prev"), F.col("__next")
     span = micros(nxt["t"]) - micros(prev["t"])

@@ -62,10 +62,10 @@ def text_lines(t: Tables) -> DataFrame:
 
 @query("json_array_scan", "select p_partkey as id, p_name as name from part")
 def json_array_scan(t: Tables) -> DataFrame:
-    """Documents of at most 500 records, one file each."""
+    """Documents of at most 100,000 records, one file each."""
     path = scratch(t.spark, "array")
     part = t.part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"))
-    documents = part.groupBy(F.floor(F.col("id") / 500).alias("doc")).agg(
+    documents = part.groupBy(F.floor(F.col("id") / 100_000).alias("doc")).agg(
         F.to_json(F.collect_list(F.struct("id", "name"))).alias("value")
     )
     files.write_table(documents, path, "text", partition_by=["doc"])
@@ -176,10 +176,9 @@ def log_stream(t: Tables) -> DataFrame:
 def keyed_load_stream(t: Tables) -> DataFrame:
     source = scratch(t.spark, "parts")
     rows = t.part.select(F.col("p_name").alias("title"), F.col("p_partkey").alias("id"))
-    for half in (F.col("id") < 50, F.col("id") >= 50):
-        files.write_table(rows.filter(half).coalesce(1), source, "parquet", mode="append")
-    stream = jobs.stream_files(t.spark, source, rows, maxFilesPerTrigger=1)
     meta, ids, mark = (scratch(t.spark, x) for x in ("meta", "ids", "load-state"))
     tables = {"meta": (meta, ["title", "id"]), "ids": (ids, ["title"])}
-    jobs.keyed_load(stream, tables, "title", "id", mark).awaitTermination()
+    for half in (F.col("id") < 50, F.col("id") >= 50):  # each arrival is a batch of the same stream
+        files.write_table(rows.filter(half), source, "parquet", mode="append")
+        jobs.keyed_load(jobs.stream_files(t.spark, source, rows), tables, "title", "id", mark).awaitTermination()
     return t.spark.read.parquet(meta).select("title", "id")

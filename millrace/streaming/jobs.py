@@ -71,7 +71,9 @@ def _stored(spark: SparkSession, path: str, like: DataFrame, number: int) -> Dat
     """What earlier batches stored (not this one, should it be repeated)."""
     try:
         table = spark.read.schema(StructType([*like.schema.fields, StructField("batch", LongType())])).parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":  # a changed schema or an unreadable folder is no empty store
+            raise
         return like.limit(0)
     return table.filter(F.col("batch") != number).drop("batch")
 

@@ -265,3 +265,66 @@ def test_append_all_and_sample(spark):
     big = spark.range(100)
     one = rel.sample_exact(big, "id", 5, 1).collect()
     assert one == rel.sample_exact(big.repartition(3), "id", 5, 1).collect() and len(one) == 5
+
+
+def test_null_order_values_stay_beyond_64_cuts(spark, rows):
+    from millrace.operators import series, split
+
+    data = [(i, i % 3, None if i % 10 == 0 else f"2024-01-01 00:{i // 60:02d}:{i % 60:02d}", None if i % 4 else float(i)) for i in range(1000)]
+    df = spark.createDataFrame(data, "id int, k int, at string, v double").withColumn("at", F.col("at").cast("timestamp_ntz"))
+    whole, cut = (series.ffill(df, "at", "v", "out", ["k"], piece_rows=n) for n in (10**6, 3))
+    known = lambda d: rows(d.filter("at IS NOT NULL").select("id", "out"))
+    assert cut.count() == 1000 and len(known(whole)) == 900
+    order = [F.col("at"), F.col("id")]
+    micros = F.unix_micros(F.col("at").cast("timestamp"))
+    for n in (10**6, 3):
+        numbered = split.numbered(df, ["k"], order, "n", micros, piece_rows=n)
+        assert rows(numbered.groupBy("k").agg(F.min("n"), F.max("n"), F.countDistinct("n"))) == [
+            (k, 1, m, m) for k, m in ((0, 334), (1, 333), (2, 333))]
+        total = split.running_total(df, ["k"], order, "id", "s", micros, piece_rows=n)
+        assert rows(total.groupBy("k").agg(F.max("s"))) == [(k, sum(range(k, 1000, 3))) for k in range(3)]
+
+
+def test_names_that_are_taken(spark, rows):
+    df = spark.createDataFrame([(1, "x"), (2, "x"), (3, "x-2"), (4, "x"), (5, "x-2"), (6, None), (7, "x-2-2"), (8, None)], "id int, name string")
+    out = rows(rel.unique_names(df, "name", "id", "out").select("id", "out"))
+    names = [n for _, n in out if n is not None]
+    assert len(out) == 8 and len(set(names)) == 6 and {1, 3, 7} <= {i for i, n in out if n in ("x", "x-2", "x-2-2")}
+
+
+def test_nan_is_a_gap(spark, rows):
+    from millrace.operators import missing
+
+    df = spark.createDataFrame([(1.0, "a"), (float("nan"), None), (None, "b"), (3.0, "b")], "v double, s string")
+    assert rows(missing.null_profile(df, ["v", "s"])) == [("s", 1, 4), ("v", 2, 4)]
+    assert rows(missing.impute(df, {"v": "mean"}).select("v")) == [(1.0,), (2.0,), (2.0,), (3.0,)]
+    assert missing.drop_rows(df, ["v", "s"], 0.5).count() == 2
+    assert missing.drop_null_columns(df).columns == []
+
+
+def test_small_values_keep_their_places(spark):
+    df = spark.createDataFrame([(1, 0.001), (1, 0.002), (1, 0.004)], "k int, v double")
+    assert rel.partition_mean(df, ["k"], "v", "m").first()["m"] == pytest.approx(0.007 / 3)
+
+
+def test_changes_of_one_key(spark, rows):
+    from millrace.operators import documents
+
+    stored = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    batch = spark.createDataFrame([("a", 5, "update", 1), ("a", 6, "update", 2), ("b", None, "delete", None), ("c", 1, "insert", 1)],
+                                  "k string, v int, op string, at int")
+    assert rows(documents.apply_changes(stored, batch, "k", "op", sequence="at")) == [("a", 6), ("c", 1)]
+    with pytest.raises(Exception, match="two changes of key a"):
+        documents.apply_changes(stored, batch, "k", "op").collect()
+    fresh = spark.createDataFrame([("d", None, 1), ("d", 4, 2), (None, 1, 3), ("e", None, 7)], "k string, at int, v int")
+    none = spark.createDataFrame([], "k string, at int, v int")
+    assert rows(documents.new_keys_only(none, fresh, "k", "at")) == [("d", 4, 2), ("e", None, 7)]
+
+
+def test_large_primes(spark):
+    from millrace.operators.aggregates import is_prime
+
+    numbers = [0, 1, 2, 3, 997, 1009 * 1013, 999_999_999_989, 3_215_031_751, 10**12 + 39, 2**61 - 1, 2**61 + 1, 1_000_003]
+    df = spark.createDataFrame([(n,) for n in numbers], "n long")
+    got = {r["n"] for r in df.filter(is_prime("n")).collect()}
+    assert got == {2, 3, 997, 999_999_999_989, 10**12 + 39, 2**61 - 1, 1_000_003}
