@@ -138,8 +138,10 @@ def page_count(df: DataFrame, page_size: int) -> DataFrame:
 
 
 def sample_exact(df: DataFrame, id_col: str, n: int, seed: int) -> DataFrame:
-    """Exactly n pseudo-random rows, the same ones for any partitioning."""
-    return df.orderBy(F.xxhash64(F.col(id_col), F.lit(seed)), F.col(id_col)).limit(n)
+    """Exactly n pseudo-random rows (all, if there are fewer), the same ones for any partitioning: those with the smallest
+    digests of id and seed."""
+    digest = F.md5(F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(str(seed))).cast("binary"))
+    return df.orderBy(digest, F.col(id_col)).limit(n)
 
 
 def first_match(df: DataFrame, cond: Column, order: Sequence[Column]) -> DataFrame:

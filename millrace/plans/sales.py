@@ -271,7 +271,7 @@ def first_order(t: Tables) -> DataFrame:
     return found.select("o_orderkey", "o_custkey")
 
 
-@query("sample_rows")
+@query("sample_rows", "select * from customer order by md5(c_custkey || ':42'), c_custkey limit 10")
 def sample_rows(t: Tables) -> DataFrame:
     return rel.sample_exact(t.customer, "c_custkey", 10, 42)
 

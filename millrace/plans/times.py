@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import temporal as tm
-from millrace.functions.columns import cents, exact_avg, exact_sum, half_even, money
+from millrace.functions.columns import cents, exact_sum, half_even, money
 from millrace.operators import series
 from millrace.plans.registry import Tables, query
 
@@ -99,14 +99,18 @@ def calendar_spine(t: Tables) -> DataFrame:
 
 
 @query("resample_hour", """
-select date_trunc('hour', ts) as label, cast(sum(cast(value as decimal(15,2))) as double) / count(value) as avg_value,
- cast(sum(cast(value as decimal(15,2))) as double) as sum_value, count(*) as n from events group by 1""")
+with e as (select date_trunc('hour', ts) as label, cast(value as decimal(15,2)) as v from events),
+s as (select unnest(generate_series(lo, hi, interval 1 hour)) as label from (select min(label) as lo, max(label) as hi from e))
+select s.label, cast(coalesce(sum(v), 0) as double) as sum_value, cast(count(v) as bigint) as n, cast(max(v) as double) as highest,
+ case when count(v) > 0 then cast(sum(v) as double) / count(v) end as avg_value
+from s left join e using (label) group by 1""")
 def resample_hour(t: Tables) -> DataFrame:
-    label = series.period_label("ts", "h").alias("label")
-    return t.events.groupBy(label).agg(
-        exact_avg("value").alias("avg_value"), exact_sum(cents("value"), 2).cast("double").alias("sum_value"),
-        F.count(F.lit(1)).alias("n"),
-    )
+    rows = t.events.select("ts", money("value").alias("sum_value"), F.when(F.col("value").isNotNull(), 1).alias("n"),
+                           F.col("value").alias("highest"))
+    hours = series.resample(rows, "ts", "h", {"sum_value": "sum", "n": "sum", "highest": "max"})
+    total = F.col("sum_value").cast("double")
+    return hours.select("label", total.alias("sum_value"), "n", F.col("highest").cast("double").alias("highest"),
+                        F.try_divide(total, F.col("n")).alias("avg_value"))
 
 
 GAPPY = "select cast(o_orderdate as date) as day, o_totalprice from orders where month(o_orderdate) not in (2, 4, 5, 6)"

@@ -27,11 +27,10 @@ def page_links(t: Tables) -> DataFrame:
 
 @query("page_absolute_links", r"""
 select page_id, regexp_extract(url, '^[a-z]+://[^/?#]*') || href as link from (
- select page_id, url, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) as href from pages)
-where starts_with(href, '/')""")
+ select page_id, url, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) as href from pages)""")
 def page_absolute_links(t: Tables) -> DataFrame:
     links = web.extract_links(t.spread("pages", "page_id"), keep=("page_id",))
-    return links.filter(F.col("href").startswith("/")).select("page_id", "link")
+    return links.select("page_id", "link")
 
 
 @query("page_heading", r"""
