@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections import Counter
 from collections.abc import Callable, Iterator, Mapping
 from html.parser import HTMLParser
 
@@ -33,22 +34,34 @@ PAGE_SCHEMA = StructType(
 
 
 class PageReader(HTMLParser):
-    """Collects the few parts of a page the extractors need, in one walk over the text."""
+    """Collects the few parts of a page the extractors need, in one walk over the text.
+
+    What is open is counted by mark (a tag, or a tag with a class), so that a page of unclosed tags costs linear time.
+    """
+
+    MARKS = (("article", "product_pod"), ("div", "product_main"), ("table", "table-striped"), ("li", "next"))
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, frozenset, str]] = []
+        self.open: list[tuple[str, list, str]] = []
+        self.count: Counter = Counter()
         self.texts: dict[str, list[str]] = {}
         self.out: dict = {"links": [], "heads": [], "cells": [], "items": []}
         self.row: dict = {}
-        self.description_next = False
-
-    def inside(self, tag: str, cls: str | None = None) -> bool:
-        return any(t == tag and (cls is None or cls in classes) for t, classes, _ in self.open)
+        #: Number of tags open around the description's anchor; its text is the next ``p`` at the same place.
+        self.description_at: int | None = None
 
-    def begin(self, field: str, tag: str) -> None:
+    def begin(self, field: str) -> None:
         self.texts[field] = []
-        self.open[-1] = (tag, self.open[-1][1], field)
+        tag, marks, _ = self.open[-1]
+        self.open[-1] = (tag, marks, field)
+
+    def push(self, tag: str, classes: frozenset) -> None:
+        marks = [tag, *[m for m in self.MARKS if m[0] == tag and m[1] in classes]]
+        if {"item", "active"} <= classes:
+            marks.append("active item")
+        self.count.update(marks)
+        self.open.append((tag, marks, ""))
 
     def handle_starttag(self, tag: str, attrs) -> None:
         a = {k: v or "" for k, v in attrs}
@@ -57,57 +70,57 @@ class PageReader(HTMLParser):
             self.out["links"].append(a["href"])
         if tag == "img" and "src" in a:
             self.out.setdefault("first_image", a["src"])
-            if any({"item", "active"} <= c for _, c, _ in self.open):
+            if self.count["active item"]:
                 self.out.setdefault("main_image", a["src"])
         if tag in VOID:
             return
-        self.open.append((tag, classes, ""))
-        item = self.inside("article", "product_pod")
+        around = len(self.open)
+        self.push(tag, classes)
         if tag == "article" and "product_pod" in classes:
             self.out["items"].append({})
-        elif item and self.out["items"]:
+        elif self.count["article", "product_pod"] and self.out["items"]:
             self.in_item(tag, a, classes)
         elif tag == "title" and "title" not in self.out:
-            self.begin("title", tag)
+            self.begin("title")
         elif tag == "h1":
-            self.begin("main_h1" if self.inside("div", "product_main") else "h1", tag)
+            self.begin("main_h1" if self.count["div", "product_main"] else "h1")
         elif tag == "p" and "price_color" in classes and "price" not in self.out:
-            self.begin("price", tag)
+            self.begin("price")
         elif tag == "li" and "current" in classes:
-            self.begin("current_text", tag)
-        elif tag in ("th", "td") and self.inside("table", "table-striped"):
-            self.begin(tag, tag)
+            self.begin("current_text")
+        elif tag in ("th", "td") and self.count["table", "table-striped"]:
+            self.begin(tag)
         elif tag == "tr":
             self.row = {}
-        elif tag == "p" and self.description_next:
-            self.begin("description", tag)
-            self.description_next = False
-        if tag == "a" and self.inside("li", "next") and "href" in a:
+        elif tag == "p" and self.description_at == around:
+            self.begin("description")
+            self.description_at = None
+        if tag == "a" and self.count["li", "next"] and "href" in a:
             self.out.setdefault("next_link", a["href"])
         if a.get("id") == "product_description":
-            self.description_next = True
+            self.description_at = around
 
     def in_item(self, tag: str, a: dict, classes: frozenset) -> None:
         current = self.out["items"][-1]
-        if tag == "a" and self.inside("h3"):
+        if tag == "a" and self.count["h3"]:
             current.setdefault("title", a.get("title"))
             current.setdefault("link", a.get("href"))
         elif tag == "p" and "price_color" in classes and "price" not in current:
-            self.begin("item_price", tag)
+            self.begin("item_price")
         elif tag == "p" and "star-rating" in classes:
             words = [w for w in a["class"].split() if w != "star-rating"]
             current.setdefault("rating", words[0] if words else None)
 
     def handle_data(self, data: str) -> None:
-        for _, _, field in self.open:
-            if field:
-                self.texts[field].append(data)
+        for texts in self.texts.values():
+            texts.append(data)
 
     def handle_endtag(self, tag: str) -> None:
-        if not any(t == tag for t, _, _ in self.open):
-            return
-        while self.open:
-            name, _, field = self.open.pop()
+        while self.count[tag]:
+            name, marks, field = self.open.pop()
+            self.count.subtract(marks)
+            if self.description_at is not None and len(self.open) < self.description_at:
+                self.description_at = None  # the block around the anchor has ended
             if field:
                 self.finish(field, "".join(self.texts.pop(field, [])).strip())
             if name == tag:

@@ -85,7 +85,7 @@ def test_navigation(spark):
 
 def test_detail_and_quarantine(spark):
     good = """<div class="product_main"><h1>A <i>b</i></h1><p class="price_color">£7.10</p></div><img src="../i.png"/>
-    <div id="product_description"></div><div><p>Long text</p></div><table class="table table-striped">
+    <div id="product_description"><p>heading</p></div><span>-</span><p>Long text</p><table class="table table-striped">
     <tr><th>UPC</th><td>u1</td></tr><tr><th>Tax</th><td>Â£0.00</td></tr></table>"""
     rows = web.extract_detail(pages(spark, good, "<p>nothing")).collect()
     first = rows[0].asDict()
@@ -125,3 +125,17 @@ def test_fetch_retries(spark, tmp_path):
 def test_each_page_is_parsed_once(spark):
     plan = web.reduced_detail(pages(spark, LISTING))[0]._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("page_parts(") == 1
+
+
+def test_description_is_the_next_sibling():
+    other = '<div><div id="product_description"><h2>D</h2></div></div><div><p>of another block</p></div><p>later</p>'
+    assert "description" not in web.read_page(other)
+    assert web.read_page('<div id="product_description"></div>\n<p>one</p><p>two</p>')["description"] == "one"
+
+
+def test_unclosed_tags_cost_linear_time():
+    import time
+
+    began = time.perf_counter()
+    page = web.read_page("<h1>t</h1>" + "<p><b>word <li class=current>" * 40_000)
+    assert page["h1"] == "t" and time.perf_counter() - began < 10
