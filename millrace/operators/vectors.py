@@ -31,7 +31,11 @@ def create_collection(df: DataFrame, path: str, id_col: str, vector: str, dim: i
     return df.sparkSession.read.parquet(path)
 
 
-def insert_vectors(path: str, batch: DataFrame) -> None:
+def insert_vectors(path: str, batch: DataFrame, vector: str | None = None, dim: int | None = None) -> None:
+    """Append rows; with ``vector`` and ``dim`` a wrong dimension raises, as in ``create_collection``."""
+    if vector is not None:
+        right = F.assert_true(F.size(vector) == dim, f"vector is not {dim} long").isNull()
+        batch = batch.withColumn(vector, F.when(right, F.col(vector)))
     batch.write.mode("append").parquet(path)
 
 
@@ -175,17 +179,16 @@ def embed(
 ) -> DataFrame:
     """Unit vectors of a content column (text or bytes).
 
-    ``encoder`` builds the model; it runs once per Python worker, and ``fallback`` is used if it fails.
+    ``encoder`` builds the model, once per Python worker. With a ``fallback`` the model is first built on the driver, which
+    decides for all workers: a worker that then fails ends the job, so one table never mixes two encoders.
     Content that cannot be encoded gives null, so that it can be set aside.
     """
-
-    def load() -> Encoder:
+    load = encoder
+    if fallback is not None:
         try:
-            return encoder()
+            encoder()
         except Exception:
-            if fallback is None:
-                raise
-            return fallback()
+            load = fallback
 
     @F.pandas_udf("array<float>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -100,7 +100,7 @@ def vector_collection(t: Tables) -> DataFrame:
     path = scratch(t.spark, "vectors")
     half = F.col("vec_id") % 2 == 0
     vec.create_collection(t.embeddings.filter(half), path, "vec_id", "embedding", 64)
-    vec.insert_vectors(path, t.embeddings.filter(~half).select("vec_id", "embedding"))
+    vec.insert_vectors(path, t.embeddings.filter(~half).select("vec_id", "embedding"), "embedding", 64)
     stored = t.spark.read.parquet(path)
     return stored.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("dim"))
 

@@ -61,7 +61,24 @@ def scratch(spark: SparkSession, label: str) -> str:
         base = tempfile.mkdtemp(prefix="millrace-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)
-    return os.path.join(base, f"{label}-{uuid.uuid4().hex}")
+    return os.path.join(_own(spark, base), f"{label}-{uuid.uuid4().hex}")
+
+
+def _own(spark: SparkSession, base: str) -> str:
+    """One folder per application below the shared one; it goes when the driver's JVM ends."""
+    key = spark.sparkContext.applicationId, base
+    if key not in _folders:
+        path = os.path.join(base, f"millrace-{uuid.uuid4().hex}")
+        context = spark.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        system = folder.getFileSystem(context._jsc.hadoopConfiguration())
+        system.mkdirs(folder)
+        system.deleteOnExit(folder)
+        _folders[key] = path
+    return _folders[key]
+
+
+_folders: dict[tuple[str, str], str] = {}
 
 
 def settle(df, label: str):
