@@ -1,9 +1,10 @@
 """Similarity join on word shingles by a token-group matrix, and the components of its links.
 
-Equal sets are one class. Classes that can reach the similarity share the content of a part of the token space
-(below), which gives families of candidates. In a family, similar documents form groups; each group keeps the union of its
-tokens; a document's overlap with the union bounds its overlap with every member, so only groups that reach the bound are opened.
-Once two documents are connected no further pair between their components matters.
+Equal sets are one class. Classes that can reach the similarity share the content of a part of the token space (below).
+Among those, the number of tokens per slot of a hash bounds the overlap from above; what reaches the bound is connected to
+families. In a family, similar documents form groups; each group keeps the union of its tokens; a document's overlap with the
+union bounds its overlap with every member, so only groups that reach the bound are opened. Once two documents are connected
+no further pair between their components matters.
 """
 
 from __future__ import annotations
@@ -26,17 +27,20 @@ BLOCK_TOKENS = 1_000_000
 BROADCAST_IDS = 1_000_000
 #: Documents in a group of the matrix.
 GROUP_DOCS = 32
+#: Documents of one part that a task compares at a time, and parts per task.
+PART_DOCS, PARTS_PER_TASK = 2000, 20_000
 
 
 class Parts:
     """Signatures such that documents of similarity >= percent / 100 share at least one.
 
     Sizes fall into classes. For sizes a <= b that can reach the similarity, at most (a + b)(100 - p) / (100 + p) tokens
-    are in one set only. With one part of the token space more than that for the class of a, some part has the same
-    content in both. A document signs for its own class and for those of the smaller partners that it can have.
+    are in one set only. With k + 1 parts of the token space more than that for the class of a, k + 1 parts have the same
+    content in both. A document with at most k empty parts need not sign for those: one of the k + 1 is not empty. A
+    document signs for its own class and for those of the smaller partners that it can have.
     """
 
-    def __init__(self, percent: int, ratio: float = 1.5) -> None:
+    def __init__(self, percent: int, ratio: float = 1.2) -> None:
         self.percent, low = percent, [1]
         while low[-1] < 2**31:
             low.append(max(low[-1] + 1, int(low[-1] * ratio)))
@@ -50,10 +54,14 @@ class Parts:
         out = []
         for c in range(max(first, 0), last + 1):
             high = int(self.low[c + 1]) - 1
-            m = (high + high * 100 // p) * (100 - p) // (100 + p) + 1
-            content = np.zeros(m, np.uint64)
-            np.add.at(content, ((tokens >> np.uint64(17)) % np.uint64(m)).astype(np.int64), scrambled)
-            out.append(mixed(content ^ mixed(np.arange(m, dtype=np.uint64) + np.uint64(c << 40))))
+            most = (high + high * 100 // p) * (100 - p) // (100 + p)
+            spare = most // 8
+            m = most + spare + 1
+            part = ((tokens >> np.uint64(17)) % np.uint64(m)).astype(np.int64)
+            content, held = np.zeros(m, np.uint64), np.bincount(part, minlength=m) > 0
+            np.add.at(content, part, scrambled)
+            signs = mixed(content ^ mixed(np.arange(m, dtype=np.uint64) + np.uint64(c << 40)))
+            out.append(signs[held] if m - held.sum() <= spare else signs)
         # 40 bits are enough: a chance match is only one more candidate.
         return (np.concatenate(out) >> np.uint64(24)).astype(np.int64)
 
@@ -97,29 +105,70 @@ def _signatures(width: int, percent: int):
     return run
 
 
-def _stored(width: int):
+def _stored(width: int, whole: bool):
+    """(id, text) -> id, n, and the tokens of the set or only their slots."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = Words()
         for batch in batches:
             for at in range(0, len(batch), 500):
                 part = batch.iloc[at:at + 500]
                 sets = list(_sets(part["text"], width, known))
-                yield pd.DataFrame({"id": part["id"], "n": [len(s) for s in sets], "tokens": [s.tobytes() for s in sets]})
+                yield pd.DataFrame({"id": part["id"], "n": [len(s) for s in sets],
+                                    "held": [(s if whole else slots(s)).tobytes() for s in sets]})
 
     return run
 
 
-def _reaches(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * both >= percent * (len(a) + len(b) - both)
-
-
-def _verify(percent: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            ok = [_reaches(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
-                  for x, y in zip(batch["tokens"], batch["other"], strict=True)]
-            yield batch.loc[np.array(ok, bool), ["a", "b"]]
+def slots(tokens: np.ndarray) -> np.ndarray:
+    """Tokens per slot of a hash, about four to eight in each; the slots are a power of two, so that halves can be added."""
+    n = max(16, 1 << max(0, (len(tokens) // 4).bit_length() - 1))
+    return np.bincount((mixed(tokens) & np.uint64(n - 1)).astype(np.int64), minlength=n).astype(np.uint16)
+
+
+def folded(counts: np.ndarray, n: int) -> np.ndarray:
+    while len(counts) > n:
+        counts = counts[:len(counts) // 2] + counts[len(counts) // 2:]
+    return counts
+
+
+def forest(sizes: np.ndarray, counts: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Edges that connect all pairs (left, right) whose common slots can reach the similarity."""
+    n = min(len(c) for c in counts)
+    matrix = np.array([folded(c, n) for c in counts])
+    label, edges = np.arange(len(counts)), []
+    for i in left:
+        rest = right[label[right] != label[i]]
+        if not len(rest):
+            continue
+        both = np.minimum(matrix[rest], matrix[i]).sum(axis=1, dtype=np.int64)
+        for j in rest[(100 + percent) * both >= percent * (sizes[rest] + sizes[i])]:
+            if label[j] != label[i]:
+                label[label == label[j]] = label[i]
+                edges.append((int(i), int(j)))
+    return edges
+
+
+def _connect(percent: int):
+    """Rows (sig, low, high, block, id, n, slots) of some parts -> edges of their forests."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["sig", "id"], kind="stable")
+        ids, sizes, block = rows["id"].to_numpy(), rows["n"].to_numpy(), rows["block"].to_numpy()
+        counts = [np.frombuffer(x, np.uint16) for x in rows["slots"]]
+        sig = rows["sig"].to_numpy()
+        ends = np.r_[np.flatnonzero(sig[1:] != sig[:-1]) + 1, len(sig)]
+        low, high = rows["low"].to_numpy(), rows["high"].to_numpy()
+        found, at = set(), 0
+        for end in ends:
+            here = np.arange(end - at)
+            of = block[at:end]
+            left, right = here[of == low[at]], here[of == high[at]]
+            if len(left) and len(right):
+                found.update((int(ids[at + i]), int(ids[at + j])) for i, j in forest(
+                    sizes[at:end], counts[at:end], left, right, percent) if ids[at + i] != ids[at + j])
+            at = end
+        return pd.DataFrame(list(found), columns=["a", "b"], dtype="int64")
 
     return run
 
@@ -206,44 +255,42 @@ def link_classes(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Links (a, b) between ids of different sets, enough to connect all that the similarity connects."""
     signs = docs.mapInPandas(_signatures(width, percent), "sig long, id long")
     shared = settle(signs.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("sig"), "signs")
-    held = F.broadcast(shared) if shared.count() <= BROADCAST_IDS else shared
-    buckets = settle(signs.join(held, "sig", "left_semi").distinct(), "buckets")
+    buckets = settle(signs.join(shared, "sig", "left_semi").distinct(), "buckets")
     members = settle(buckets.select("id").distinct(), "members")
-    sets = settle(_among(docs, members, "left_semi").mapInPandas(
-        _stored(width), "id long, n long, tokens binary").dropDuplicates(["id", "tokens"]), "sets")
-
-    # First each document against one other: the best connected one of the bucket that most of its parts share.
-    degree = buckets.groupBy("id").agg(F.count(F.lit(1)).alias("degree"))
-    leaders = buckets.join(degree, "id").groupBy("sig").agg(F.max(F.struct("degree", (-F.col("id")).alias("to"))).alias("x"))
-    pairs = buckets.join(leaders.select("sig", (-F.col("x.to")).alias("b")), "sig").filter("id <> b").groupBy("id", "b").count()
-    best = settle(pairs.groupBy("id").agg(F.max(F.struct("count", (-F.col("b")).alias("to"))).alias("x")).select(
-        F.col("id").alias("a"), (-F.col("x.to")).alias("b")), "pairs")
-    one = best.join(sets.select(F.col("id").alias("a"), "n", "tokens"), "a")
-    two = one.join(sets.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("tokens").alias("other")), "b")
-    fits = (100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
-    first = settle(two.filter(fits).select("a", "b", "tokens", "other").mapInPandas(_verify(percent), "a long, b long"), "links")
-
-    # Then, where a bucket still has several components, the token-group matrix of its family.
-    comps = settle(components(first), "components")
-    placed = buckets.join(comps, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    rest = placed.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.min("id").alias("hub")).filter("x < y")
-    edges = settle(placed.join(rest.select("sig", "hub"), "sig").select("id", "hub", "component").distinct(), "rest")
-    families = settle(components(edges.select(F.col("id").alias("a"), F.col("hub").alias("b"))), "families")
-    rows = edges.select("id", "component").distinct().join(
-        families.withColumnRenamed("component", "family"), "id").join(sets.select("id", "n"), "id")
-    rows = settle(rows.distinct(), "rows")
+    held = "id long, n long, held binary"
+    counted = settle(_among(docs, members, "left_semi").mapInPandas(_stored(width, False), held).distinct(), "slots")
+
+    # Families: what shares a part and can reach the similarity by its slots.
+    sizes = buckets.groupBy("sig").agg(F.count(F.lit(1)).alias("s")).filter("s > 1").withColumn(
+        "blocks", F.ceil(F.col("s") / PART_DOCS).cast("int"))
+    parts = buckets.join(sizes, "sig").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    tasks = -(-(parts.count() or 1) // PARTS_PER_TASK)
+    met = _met(parts, "sig", tasks).join(counted.withColumnRenamed("held", "slots"), "id")
+    edges = settle(met.select("task", "low", "high", "sig", "block", "id", "n", "slots").groupBy("task", "low", "high").applyInPandas(
+        _connect(percent), "a long, b long").distinct(), "edges")
+    families = settle(components(edges), "families")
+    sets = settle(_among(docs, settle(families.select("id"), "members"), "left_semi").mapInPandas(
+        _stored(width, True), held).withColumnRenamed("held", "tokens").dropDuplicates(["id", "tokens"]), "sets")
+
+    # The token-group matrix of each family.
+    rows = families.withColumnRenamed("component", "family").join(sets.select("id", "n"), "id")
     per_family = rows.groupBy("family").agg(F.sum("n").alias("tokens"))
     total = per_family.agg(F.sum("tokens")).first()[0] or 0
-    bins = -(-int(total) // BLOCK_TOKENS)
     blocks = per_family.withColumn("blocks", F.ceil(F.col("tokens") / BLOCK_TOKENS).cast("int")).select("family", "blocks")
-    dealt = rows.drop("n").join(blocks, "family").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    met = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn(
+    dealt = rows.select("id", "family").distinct().join(blocks, "family").withColumn(
+        "block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    more = _met(dealt, "family", -(-int(total) // BLOCK_TOKENS)).join(sets.select("id", "tokens"), "id").select(
+        "task", "low", "high", "family", "id", F.col("id").alias("component"), "block", "tokens").groupBy(
+        "task", "low", "high").applyInPandas(_open_groups(percent), "a long, b long")
+    return settle(more, "links")
+
+
+def _met(rows: DataFrame, key: str, tasks: int) -> DataFrame:
+    """Each row once per pair of blocks (low <= high) that its block belongs to. A key of one block shares a task with others;
+    the blocks of a large one have tasks of their own."""
+    return rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn(
         "low", F.least("block", "with")).withColumn("high", F.greatest("block", "with")).withColumn(
-        "bin", F.when(F.col("blocks") > 1, F.xxhash64("family")).otherwise(F.pmod(F.xxhash64("family"), F.lit(max(bins, 1)))))
-    more = met.join(sets.select("id", "tokens"), "id").select(
-        "bin", "low", "high", "family", "id", "component", "block", "tokens").groupBy("bin", "low", "high").applyInPandas(
-        _open_groups(percent), "a long, b long")
-    return first.unionByName(settle(more, "links"))
+        "task", F.when(F.col("blocks") > 1, F.xxhash64(key)).otherwise(F.pmod(F.xxhash64(key), F.lit(max(tasks, 1)))))
 
 
 def similar(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -81,6 +81,7 @@ def test_jaccard_components(spark, families, width, percent):
 
 
 def test_jaccard_blocks_of_a_large_family(spark, families, monkeypatch):
+    monkeypatch.setattr(jaccard, "PART_DOCS", 3)
     monkeypatch.setattr(jaccard, "BLOCK_TOKENS", 500)
     want, _ = brute_components(families, 3, 90)
     got = jaccard.similar(table(spark, families), 3, 90).collect()
