@@ -126,7 +126,7 @@ def _contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for p in row.places:
                 rows.append((p["core"], p["whole"], row.h1, row.h2, p["first"], p["last"], p["anchor"], p["n"], p["many"],
                              raw[p["anchor"]:p["anchor"] + 32], raw[p["first"]:p["last"] + LENGTH]))
-            if len(rows) > 20_000:
+            if len(rows) > 5_000:
                 yield pd.DataFrame(rows, columns=CONTEXT)
                 rows = []
         yield pd.DataFrame(rows, columns=CONTEXT)
@@ -231,24 +231,32 @@ def _strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"string": digest, "h1": row.h1, "h2": row.h2, "from": [row.first + s for s in starts]})
 
 
+def _merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sorted ranges of a text -> the maximal ranges that they cover."""
+    for batch in batches:
+        starts, ends = [], []
+        for a, b in zip(batch["from"], batch["to"], strict=True):
+            reach = np.maximum.accumulate(b)
+            new = np.r_[True, a[1:] > reach[:-1]]
+            starts.append(a[new])
+            ends.append(reach[np.r_[new[1:], True]])
+        yield pd.DataFrame({"h1": batch["h1"], "h2": batch["h2"], "from": starts, "to": ends})
+
+
 def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        rows = []
-        for doc, text, spans in zip(batch["doc_id"], batch["text"], batch["spans"], strict=True):
-            raw = text.encode("utf-8", "replace")
-            merged: list[list[int]] = []
-            for s in (spans if spans is not None else ()):
-                if merged and s["from"] <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], s["to"])
-                else:
-                    merged.append([s["from"], s["to"]])
-            at, kept = 0, []
-            for a, b in merged:
-                kept.append(raw[at:a])
-                at = b
-            kept = b"".join([*kept, raw[at:]])
-            rows.append((doc, len(raw), len(raw) - len(kept), len(merged), kept))
-        yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]).astype({"doc_id": "Int64"})
+        for first in range(0, len(batch), 500):
+            part, rows = batch.iloc[first:first + 500], []
+            for doc, text, starts, ends in zip(part["doc_id"], part["text"], part["from"], part["to"], strict=True):
+                raw, at, kept, n = text.encode("utf-8", "replace"), 0, [], 0
+                if starts is not None:
+                    n = len(starts)
+                    for a, b in zip(starts, ends, strict=True):
+                        kept.append(raw[at:a])
+                        at = b
+                kept = b"".join([*kept, raw[at:]])
+                rows.append((doc, len(raw), len(raw) - len(kept), n, kept))
+            yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]).astype({"doc_id": "Int64"})
 
 
 def _beside(keyed: DataFrame, per_text: DataFrame, places: int, how: str) -> DataFrame:
@@ -258,7 +266,7 @@ def _beside(keyed: DataFrame, per_text: DataFrame, places: int, how: str) -> Dat
 
 
 def repeats(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Ranges of repeated strings: h1, h2 (hashes of a text), spans (sorted array of from, to in bytes, end exclusive)."""
+    """Ranges that repeated strings cover: h1, h2 (hashes of a text), from and to (sorted arrays, bytes, end exclusive)."""
     keyed = docs.select(text_or_empty(text).alias("text")).withColumns(
         {"h1": F.xxhash64("text"), "h2": F.xxhash64(F.lit(1), "text")})
     shared = settle(keyed.select("text").mapInPandas(_cores, "core long").groupBy("core").count().filter(
@@ -290,7 +298,9 @@ def repeats(docs: DataFrame, text: str = "text") -> DataFrame:
         twice = strings.groupBy("string").count().filter("count > 1").select("string")
         found = covered.unionByName(edges).unionByName(strings.join(twice, "string", "left_semi").select(
             "h1", "h2", "from", (F.col("from") + LENGTH).alias("to")))
-    return settle(found.distinct().groupBy("h1", "h2").agg(F.sort_array(F.collect_list(F.struct("from", "to"))).alias("spans")), "spans")
+    ranges = found.distinct().groupBy("h1", "h2").agg(F.sort_array(F.collect_list(F.struct("from", "to"))).alias("r"))
+    parts = ranges.select("h1", "h2", F.transform("r", lambda x: x["from"]).alias("from"), F.transform("r", lambda x: x["to"]).alias("to"))
+    return settle(parts.mapInPandas(_merged, "h1 long, h2 long, from array<int>, to array<int>"), "ranges")
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -302,8 +312,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     found = repeats(docs, text)
     keyed = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text")).withColumns(
         {"h1": F.xxhash64("text"), "h2": F.xxhash64(F.lit(1), "text")})
-    places = found.agg(F.sum(F.size("spans"))).first()[0] or 0
-    return _beside(keyed, found, int(places), "left").select("doc_id", "text", "spans").mapInPandas(
+    places = found.agg(F.sum(F.size("from"))).first()[0] or 0
+    return _beside(keyed, found, int(places), "left").select("doc_id", "text", "from", "to").mapInPandas(
         _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
