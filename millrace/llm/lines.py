@@ -1,4 +1,4 @@
-"""Line deduplication by alignment: documents that share rare lines are aligned, and the later one loses the common blocks.
+"""Line deduplication by alignment: documents that share lines are aligned, and the later one loses the common blocks.
 
 The later document of a pair is the one with the larger id. Of all earlier holders of a line, the first is the one to
 align with: every repeated line has a first holder that keeps it, so the pairs stay as many as (document, first holder)
@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 from millrace.llm.common import query, table, text_or_empty
 from millrace.session import settle
 
-#: A line is rare if at most so many documents hold it. More frequent lines make a pair only together with another line.
-RARE = 100
 #: Shortest block of common lines that is deleted, in words over all of its lines.
 BLOCK_WORDS = 5
 #: Ids are broadcast only if their counted rows are few.
@@ -104,13 +102,13 @@ def _aligned(least: int):
     return run
 
 
-def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rare: int = RARE,
+def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rare: int | None = None,
                    least: int = BLOCK_WORDS) -> DataFrame:
     """Lines to delete: id, removed (sorted places of lines, from 0). Only documents that lose a line are in it.
 
     Lines end at \\n; lines without a word stay and make no pair. Two documents are aligned if the larger id has the other
-    as the first holder of a line that at most ``rare`` documents hold, or of at least two lines. Documents are judged
-    on the input. Of rows with equal ids the one with the most lines (then the largest hash) stands for the id. Rows
+    as the first holder of a line, however many documents hold it; only a caller that names ``rare`` leaves out pairs of a
+    single line that more documents hold. Documents are judged on the input. Of rows with equal ids the one with the most lines (then the largest hash) stands for the id. Rows
     without an id and null or empty texts lose nothing.
     """
     line = F.transform(F.split(text_or_empty(text), "\n"), lambda x: F.struct(
@@ -126,9 +124,11 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     each = listed.select("id", F.explode(F.arrays_zip("lines", "words")).alias("x")).filter("x.words > 0").select(
         "id", F.col("x.lines").alias("h")).distinct()
     holders = each.groupBy("h").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    pairs = settle(each.join(holders, "h").filter("id > first").groupBy("id", "first").agg(
-        F.count(F.lit(1)).alias("shared"), F.min("n").alias("least")).filter(
-        (F.col("least") <= rare) | (F.col("shared") > 1)).select("id", "first"), "pairs")
+    met = each.join(holders, "h").filter("id > first").groupBy("id", "first").agg(
+        F.count(F.lit(1)).alias("shared"), F.min("n").alias("least"))
+    if rare is not None:
+        met = met.filter((F.col("least") <= rare) | (F.col("shared") > 1))
+    pairs = settle(met.select("id", "first"), "pairs")
     later = pairs.join(listed, "id")
     both = later.join(listed.select(F.col("id").alias("first"), F.col("lines").alias("other")), "first")
     gone = both.select("id", "lines", "words", "other").mapInPandas(_aligned(least), "id long, at long")

@@ -300,6 +300,30 @@ def test_repeated_lines(spark):
     assert lines.repeated_lines(table(spark, [(1, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f")])).collect()[0]["removed"] == [0]
 
 
+def first_holder_blocks(rows, least):
+    """Lines to delete by alignment with the first holder of each line, whatever the number of holders."""
+    text = {i: t.split("\n") for i, t in rows}
+    count = {i: [len(x.split()) for x in v] for i, v in text.items()}
+    first = {}
+    for i in sorted(text):
+        for x in text[i]:
+            first.setdefault(x, i)
+    want = {i: sorted({k for e in {first[x] for x in v if x.split()} - {i} for k in lines._blocks(v, count[i], text[e], least)})
+            for i, v in text.items()}
+    return {i: v for i, v in want.items() if v}
+
+
+def test_lines_of_many_documents_are_removed(spark):
+    rnd = random.Random(16)
+    notice = "all rights reserved by the holders"
+    rows = [(k, "\n".join([" ".join(sentence(rnd, 6)), notice, " ".join(sentence(rnd, 6))])) for k in range(150)]
+    rows += [(1000 + k, "a single line that is copied everywhere") for k in range(130)]
+    got = {r["id"]: r["removed"] for r in lines.repeated_lines(table(spark, rows)).collect()}
+    assert got == first_holder_blocks(rows, lines.BLOCK_WORDS)
+    assert all(got[k] == [1] for k in range(1, 150)) and all(got[1000 + k] == [0] for k in range(1, 130))
+    assert 0 not in got and 1000 not in got
+
+
 @pytest.fixture(scope="module")
 def labelled():
     rnd = random.Random(9)
