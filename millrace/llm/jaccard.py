@@ -3,8 +3,8 @@
 Equal sets are one class. Classes that can reach the similarity share the content of a part of the token space (below).
 Among those, the number of tokens per slot of a hash bounds the overlap from above; what reaches the bound is connected to
 families. In a family, similar documents form groups; each group keeps the union of its tokens; a document's overlap with the
-union bounds its overlap with every member, so only groups that reach the bound are opened. Once two documents are connected
-no further pair between their components matters.
+union bounds its overlap with every member, so only groups that reach the bound are opened. For the number of links every pair
+of an opened group is verified; where only components are asked for, no further pair between two connected ones matters.
 """
 
 from __future__ import annotations
@@ -77,9 +77,7 @@ def _keys(width: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = Words()
         for batch in batches:
-            rows = [(len(s), int(mixed(s).sum(dtype=np.uint64).astype(np.int64)),
-                     int(np.bitwise_xor.reduce(mixed(s ^ np.uint64(0xA5A5A5A5)), initial=np.uint64(0)).astype(np.int64)))
-                    for s in _sets(batch["text"], width, known)]
+            rows = [(len(s), *_key(s)) for s in _sets(batch["text"], width, known)]
             n, k1, k2 = np.array(rows, np.int64).reshape(-1, 3).T
             yield pd.DataFrame({"id": batch["id"], "n": n, "k1": k1, "k2": k2})
 
@@ -105,8 +103,14 @@ def _signatures(width: int, percent: int):
     return run
 
 
+def _key(tokens: np.ndarray) -> tuple[int, int]:
+    """128 bits that stand for the set."""
+    return (int(mixed(tokens).sum(dtype=np.uint64).astype(np.int64)),
+            int(np.bitwise_xor.reduce(mixed(tokens ^ np.uint64(0xA5A5A5A5)), initial=np.uint64(0)).astype(np.int64)))
+
+
 def _stored(width: int, whole: bool):
-    """(id, text) -> id, n, and the tokens of the set or only their slots."""
+    """(id, text) -> id, n, the tokens of the set or only their slots, and with the tokens their 128 bits."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = Words()
@@ -114,8 +118,11 @@ def _stored(width: int, whole: bool):
             for at in range(0, len(batch), 500):
                 part = batch.iloc[at:at + 500]
                 sets = list(_sets(part["text"], width, known))
-                yield pd.DataFrame({"id": part["id"], "n": [len(s) for s in sets],
+                out = pd.DataFrame({"id": part["id"], "n": [len(s) for s in sets],
                                     "held": [(s if whole else slots(s)).tobytes() for s in sets]})
+                if whole:
+                    out[["k1", "k2"]] = np.array([_key(s) for s in sets], np.int64).reshape(-1, 2)
+                yield out
 
     return run
 
@@ -231,6 +238,67 @@ def link_blocks(ids: list, comps: list, sets: list[np.ndarray], left: np.ndarray
     return links
 
 
+def count_links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, weights: np.ndarray,
+                percent: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Per position the weight of all that it links to between ``left`` and ``right`` (the same, or disjoint), and links
+    (positions) that connect what is linked."""
+    counts, links = np.zeros(len(sets), np.int64), []
+    if not len(left) or not len(right):
+        return counts, links
+    label, same = np.arange(len(sets)), np.array_equal(left, right)
+    sizes = np.array([len(s) for s in sets])
+    matrix = Groups([sets[i] for i in right], sizes[right])
+    members = [right[g] for g in matrix.members]
+    # Tokens as positions in one sorted list: a set is marked there, and each member adds up its marks.
+    every = np.unique(np.concatenate([sets[i] for i in right]))
+    joined = [np.searchsorted(every, x).astype(np.int32) for x in matrix.joined]
+    marks = np.zeros(len(every), bool)
+    for q in left:
+        n = sizes[q]
+        bound = -(-percent * np.maximum(n, matrix.smallest) // 100)
+        open_groups = np.flatnonzero((matrix.overlaps(sets[q]) >= bound) & (100 * matrix.largest >= percent * n))
+        if not len(open_groups):
+            continue
+        at = np.minimum(np.searchsorted(every, sets[q]), len(every) - 1)
+        at = at[every[at] == sets[q]]
+        marks[at] = True
+        docs = np.concatenate([members[g] for g in open_groups])
+        ends = np.cumsum(sizes[docs])
+        both = np.add.reduceat(marks[np.concatenate([joined[g] for g in open_groups])], np.r_[0, ends[:-1]], dtype=np.int64)
+        marks[at] = False
+        linked = docs[(100 * both >= percent * (n + sizes[docs] - both)) & (docs != q)]
+        counts[q] += weights[linked].sum()
+        if not same:
+            counts[linked] += weights[q]
+        for d in linked[label[linked] != label[q]]:
+            if label[d] != label[q]:
+                label[label == label[d]] = label[q]
+                links.append((int(q), int(d)))
+    return counts, links
+
+
+def _verify(percent: int):
+    """Rows of a bin or of two blocks of a family -> links that connect (a, b), and per set (a null, k1, k2) the documents that
+    it links to."""
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({c: pd.Series(dtype="Int64") for c in ("a", "b", "k1", "k2", "n")})]
+        for _, family in part.groupby("family", sort=False):
+            sets = [np.frombuffer(x, np.uint64) for x in family["tokens"]]
+            ids, block = family["id"].to_numpy(), family["block"].to_numpy()
+            low, high = int(family["low"].iloc[0]), int(family["high"].iloc[0])
+            counts, links = count_links(sets, np.flatnonzero(block == low), np.flatnonzero(block == high),
+                                        family["weight"].to_numpy(), percent)
+            ends = ids[np.array(links, np.int64).reshape(-1, 2)]
+            out.append(pd.DataFrame({"a": ends[:, 0], "b": ends[:, 1]}, dtype="Int64"))
+            held = counts > 0
+            out.append(pd.DataFrame({"k1": family["k1"].to_numpy()[held], "k2": family["k2"].to_numpy()[held], "n": counts[held]},
+                                    dtype="Int64"))
+        return pd.concat(out, ignore_index=True)[["a", "b", "k1", "k2", "n"]]
+
+    return run
+
+
 def _open_groups(percent: int):
     """Rows of a bin or of two blocks of a family -> links."""
 
@@ -251,8 +319,12 @@ def _among(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", how)
 
 
-def link_classes(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links (a, b) between ids of different sets, enough to connect all that the similarity connects."""
+def link_classes(docs: DataFrame, width: int, percent: int, classes: DataFrame | None = None) -> DataFrame:
+    """Links (a, b) between ids of different sets, enough to connect all that the similarity connects.
+
+    With ``classes`` (k1, k2, class, size) every pair is verified, and rows of a null a hold the number n of documents with
+    other sets that the documents of the set (k1, k2) link to, or a part of it: they are to be added up.
+    """
     signs = docs.mapInPandas(_signatures(width, percent), "sig long, id long")
     shared = settle(signs.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("sig"), "signs")
     buckets = settle(signs.join(shared, "sig", "left_semi").distinct(), "buckets")
@@ -270,18 +342,30 @@ def link_classes(docs: DataFrame, width: int, percent: int) -> DataFrame:
         _connect(percent), "a long, b long").distinct(), "edges")
     families = settle(components(edges), "families")
     sets = settle(_among(docs, settle(families.select("id"), "members"), "left_semi").mapInPandas(
-        _stored(width, True), held).withColumnRenamed("held", "tokens").dropDuplicates(["id", "tokens"]), "sets")
+        _stored(width, True), held + ", k1 long, k2 long").withColumnRenamed("held", "tokens").dropDuplicates(
+        ["id", "tokens"]), "sets")
 
     # The token-group matrix of each family.
-    rows = families.withColumnRenamed("component", "family").join(sets.select("id", "n"), "id")
+    rows = families.withColumnRenamed("component", "family").join(sets.select("id", "n", "k1", "k2"), "id")
     per_family = rows.groupBy("family").agg(F.sum("n").alias("tokens"))
     total = per_family.agg(F.sum("tokens")).first()[0] or 0
     blocks = per_family.withColumn("blocks", F.ceil(F.col("tokens") / BLOCK_TOKENS).cast("int")).select("family", "blocks")
-    dealt = rows.select("id", "family").distinct().join(blocks, "family").withColumn(
-        "block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    more = _met(dealt, "family", -(-int(total) // BLOCK_TOKENS)).join(sets.select("id", "tokens"), "id").select(
-        "task", "low", "high", "family", "id", F.col("id").alias("component"), "block", "tokens").groupBy(
-        "task", "low", "high").applyInPandas(_open_groups(percent), "a long, b long")
+    tasks = -(-int(total) // BLOCK_TOKENS)
+    if classes is None:
+        dealt = rows.select("id", "family").distinct().join(blocks, "family").withColumn(
+            "block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+        more = _met(dealt, "family", tasks).join(sets.select("id", "tokens"), "id").select(
+            "task", "low", "high", "family", "id", F.col("id").alias("component"), "block", "tokens").groupBy(
+            "task", "low", "high").applyInPandas(_open_groups(percent), "a long, b long")
+        return settle(more, "links")
+    # One set stands for its class.
+    key = ["id", "k1", "k2"]
+    kept = rows.select("family", *key).join(classes.select(
+        F.col("class").alias("id"), "k1", "k2", F.col("size").alias("weight")), key)
+    dealt = kept.join(blocks, "family").withColumn("block", F.pmod(F.xxhash64(*key), F.col("blocks")).cast("int"))
+    more = _met(dealt, "family", tasks).join(sets.select(*key, "tokens"), key).select(
+        "task", "low", "high", "family", *key, "weight", "block", "tokens").groupBy(
+        "task", "low", "high").applyInPandas(_verify(percent), "a long, b long, k1 long, k2 long, n long")
     return settle(more, "links")
 
 
@@ -293,30 +377,41 @@ def _met(rows: DataFrame, key: str, tasks: int) -> DataFrame:
         "task", F.when(F.col("blocks") > 1, F.xxhash64(key)).otherwise(F.pmod(F.xxhash64(key), F.lit(max(tasks, 1)))))
 
 
-def similar(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (the smallest id that links reach, itself included).
+def similar(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text",
+            count: bool = True) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (the smallest id that links reach, itself included), and
+    n_links, the number of other documents that it links to, copies included; ``count`` = False leaves n_links out and
+    verifies only what connects.
 
     Documents link when 100 * common >= percent * all of their distinct ``width``-word shingles. Without words (a null text
-    is empty) a document links with nothing. Rows of equal id count as one document when links are followed; a row without
-    an id links with nothing and has no component. Other columns are not read.
+    is empty) a document links with nothing. Rows of equal id count as one document when links are followed; n_links is
+    that of the row's own text and counts an id once per text that it has. A row without an id links with nothing and has
+    no component. Other columns are not read.
     """
     given = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     keyed = settle(given.mapInPandas(_keys(width), "id long, n long, k1 long, k2 long"), "keys")
     able = keyed.filter("id IS NOT NULL AND n > 0")
     classes = able.groupBy("k1", "k2").agg(F.min("id").alias("class"))
-    members = settle(able.join(classes, ["k1", "k2"]).select("id", "class").distinct(), "classes")
+    members = settle(able.join(classes, ["k1", "k2"]).select("id", "class", "k1", "k2").distinct(), "classes")
     copies = settle(members.groupBy("id").agg(F.max(F.col("class") == F.col("id")).alias("first")).filter("NOT first").select("id"), "copies")
-    links = link_classes(_among(given.filter("id IS NOT NULL"), copies, "left_anti"), width, percent)
+    sizes = settle(members.groupBy("k1", "k2").agg(F.min("class").alias("class"), F.count(F.lit(1)).alias("size")), "sizes") if count else None
+    links = link_classes(_among(given.filter("id IS NOT NULL"), copies, "left_anti"), width, percent, sizes)
     own = members.filter("id <> class").select(F.col("id").alias("a"), F.col("class").alias("b"))
-    found = components(links.unionByName(own))
-    return keyed.join(found, "id", "left").select(
-        F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
+    found = components(links.filter("a IS NOT NULL").select("a", "b").unionByName(own))
+    shown = [F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")]
+    if not count:
+        return keyed.join(found, "id", "left").select(*shown)
+    copied = sizes.filter("size > 1").select("k1", "k2", (F.col("size") - 1).alias("links"))
+    per_set = settle(links.filter("a IS NULL").select("k1", "k2", F.col("n").alias("links")).unionByName(copied).groupBy(
+        "k1", "k2").agg(F.sum("links").alias("links")), "counts")
+    number = F.when(F.col("id").isNotNull(), F.coalesce("links", F.lit(0))).otherwise(0)
+    return keyed.join(found, "id", "left").join(per_set, ["k1", "k2"], "left").select(*shown, number.alias("n_links"))
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without those that are linked to a smaller id, in the columns of the input. Of rows with equal ids one
     stays. Rows without an id stay."""
-    found = settle(similar(docs, width, percent, doc_id, text).filter(F.col(doc_id).isNotNull()).groupBy(
+    found = settle(similar(docs, width, percent, doc_id, text, count=False).filter(F.col(doc_id).isNotNull()).groupBy(
         F.col(doc_id).alias("id")).agg(F.min("component_id").alias("component"), F.count(F.lit(1)).alias("n")).filter(
         "component < id OR n > 1"), "linked")
     named = docs.withColumn("id", F.col(doc_id).cast("long")) if doc_id != "id" else docs

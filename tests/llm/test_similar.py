@@ -88,6 +88,20 @@ def test_jaccard_blocks_of_a_large_family(spark, families, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in got if r["doc_id"] is not None} == want
 
 
+@pytest.mark.parametrize(("width", "percent", "block_tokens"), [(3, 90, 1_000_000), (5, 80, 500)])
+def test_jaccard_counts_every_link(spark, families, monkeypatch, width, percent, block_tokens):
+    monkeypatch.setattr(jaccard, "BLOCK_TOKENS", block_tokens)
+    given = [(i, t) for i, t in families[:-4] if i is not None] + [(3000 + k, families[k][1]) for k in range(0, 60, 7)]
+    sets = {i: shingles(t, width) for i, t in given}
+    want = {}
+    for i, a in sets.items():
+        want[i] = sum(1 for j, b in sets.items() if i != j and a and b and 100 * len(a & b) >= percent * len(a | b))
+    got = jaccard.similar(table(spark, [*given, (None, given[0][1])]), width, percent).collect()
+    assert {r["doc_id"]: r["n_links"] for r in got if r["doc_id"] is not None} == want
+    assert [r["n_links"] for r in got if r["doc_id"] is None] == [0]
+    assert max(want.values()) > 20
+
+
 def test_jaccard_without_broadcasts(spark, families, monkeypatch):
     monkeypatch.setattr(jaccard, "BROADCAST_IDS", -1)
     want, _ = brute_components(families, 3, 90)
