@@ -1,8 +1,9 @@
 """Line deduplication by alignment: documents that share lines are aligned, and the later one loses the common blocks.
 
-The later document of a pair is the one with the larger id. Of all earlier holders of a line, the first is the one to
-align with: every repeated line has a first holder that keeps it, so the pairs stay as many as (document, first holder)
-combinations, whatever the size of a group of copies.
+The later document of a pair is the one with the larger id. Of all earlier holders of a line or of a run of lines, the first
+is the one to align with: it keeps what is repeated, so the pairs stay as many as (document, first holder) combinations,
+whatever the size of a group of copies. Runs matter where lines of a common block have first holders of their own, or stand
+there in another order.
 """
 
 from __future__ import annotations
@@ -91,6 +92,43 @@ def _blocks(later: list[int], words: list[int], earlier: list[int], least: int)
     return gone
 
 
+def _runs(lines: list[int], words: list[int], least: int) -> set[int]:
+    """Hashes of the runs of lines that two documents with a common block share.
+
+    Those are, for each line with words, the run to the next such line, and the shortest runs of ``least`` words that start or
+    end with it: in a block of as many words, every line is in one of these. A run of one line is left out.
+    """
+    held = [i for i, w in enumerate(words) if w]
+    ends = set(zip(held, held[1:]))
+    total, low = 0, 0
+    for high, i in enumerate(held):  # the shortest run that ends here
+        total += words[i]
+        while total - words[held[low]] >= least:
+            total -= words[held[low]]
+            low += 1
+        if total >= least and low < high:
+            ends.add((held[low], i))
+    total, high = 0, 0
+    for low, i in enumerate(held):  # the shortest run that starts here
+        while total < least and high < len(held):
+            total += words[held[high]]
+            high += 1
+        if total >= least and high - 1 > low:
+            ends.add((i, held[high - 1]))
+        total -= words[i]
+    return {hash(tuple(lines[i:j + 1])) for i, j in ends}
+
+
+def _run_hashes(least: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [(i, h) for i, lines, words in zip(batch["id"], batch["lines"], batch["words"], strict=True)
+                     for h in _runs(lines.tolist(), words.tolist(), least)]
+            yield pd.DataFrame(found, columns=["id", "h"], dtype="int64")
+
+    return run
+
+
 def _aligned(least: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -107,8 +145,9 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """Lines to delete: id, removed (sorted places of lines, from 0). Only documents that lose a line are in it.
 
     Lines end at \\n; lines without a word stay and make no pair. Two documents are aligned if the larger id has the other
-    as the first holder of a line, however many documents hold it; only a caller that names ``rare`` leaves out pairs of a
-    single line that more documents hold. Documents are judged on the input. Of rows with equal ids the one with the most lines (then the largest hash) stands for the id. Rows
+    as the first holder of a line or of a short run of lines (two, or as many as have ``least`` words), however many documents
+    hold it; a caller that names ``rare`` gets first holders of lines only, without pairs of a single line that more
+    documents hold. Documents are judged on the input. Of rows with equal ids the one with the most lines (then the largest hash) stands for the id. Rows
     without an id and null or empty texts lose nothing.
     """
     line = F.transform(F.split(text_or_empty(text), "\n"), lambda x: F.struct(
@@ -128,6 +167,11 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.count(F.lit(1)).alias("shared"), F.min("n").alias("least"))
     if rare is not None:
         met = met.filter((F.col("least") <= rare) | (F.col("shared") > 1))
+    else:
+        runs = settle(listed.filter(F.size("lines") > 1).mapInPandas(_run_hashes(least), "id long, h long"), "runs")
+        begun = runs.groupBy("h").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+        met = met.select("id", "first").unionByName(
+            runs.join(begun, "h").filter("id > first").select("id", "first")).distinct()
     pairs = settle(met.select("id", "first"), "pairs")
     later = pairs.join(listed, "id")
     both = later.join(listed.select(F.col("id").alias("first"), F.col("lines").alias("other")), "first")

@@ -338,6 +338,30 @@ def test_lines_of_many_documents_are_removed(spark):
     assert 0 not in got and 1000 not in got
 
 
+def test_blocks_whose_lines_have_other_first_holders(spark):
+    rows = [(1, "so it is\nx1 x2 x3 x4 x5 x6"), (2, "y1 y2 y3 y4 y5 y6\nand so on"), (3, "q1 q2\nso it is\n\nand so on\nz1"),
+            (4, "r1\nso it is\n\nand so on\nr2 r3 r4 r5 r6"),
+            (10, "one two three four five\nsix seven eight nine ten"), (11, "six seven eight nine ten\nk1\none two three four five"),
+            (5, "six seven eight nine ten\nk2\none two three four five")]
+    got = {r["id"]: r["removed"] for r in lines.repeated_lines(table(spark, rows)).collect()}
+    assert got[4] == [1, 3] and 3 not in got
+    assert len(got[10]) == 1 and got[11]
+
+
+def test_runs_cover_every_common_block():
+    rnd = random.Random(17)
+    for _ in range(300):
+        words = [rnd.randrange(4) for _ in range(rnd.randrange(2, 9))]
+        block = [rnd.randrange(1, 10**9) if w else 7 for w in words]
+        if sum(words) < 5:
+            continue
+        one, two = ([rnd.randrange(10**9, 10**10) for _ in range(3)] for _ in range(2))
+        left, right = lines._runs(one + block, [2] * 3 + words, 5), lines._runs(block + two, words + [2] * 3, 5)
+        assert max(words) >= 5 or left & right
+    short = lines._runs([1, 2, 3, 4], [1, 2, 3, 4], 5)
+    assert short == {hash((1, 2)), hash((2, 3)), hash((3, 4)), hash((1, 2, 3))}
+
+
 @pytest.fixture(scope="module")
 def labelled():
     rnd = random.Random(9)
