@@ -6,7 +6,7 @@ import importlib
 
 from millrace.llm.common import QUERIES, SQL
 
-for _module in ("mixing", "sharding", "quality", "chat", "secret_owners", "toxicity", "jaccard", "decontaminate", "suffixes", "lines"):
+for _module in ("mixing", "sharding", "quality", "chat", "secret_owners", "toxicity", "jaccard", "decontaminate", "suffixes", "lines", "divergence", "negatives", "kernel_quality"):
     importlib.import_module(f"millrace.llm.{_module}")
 
 __all__ = ["QUERIES", "SQL"]

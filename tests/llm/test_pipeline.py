@@ -101,5 +101,5 @@ def test_run_is_the_chain_of_its_stages_and_reruns_agree(spark, data, stages):
 
 def test_one_query_per_operator():
     names = [n for n in entry_points.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry_points.queries()
