@@ -1,17 +1,22 @@
 """Source divergence audit by chunk factorization.
 
-Documents are counted as white-space chunks, per block of documents with one list of distinct chunks per block. Every globally
-distinct chunk is split into terms once; its terms are joined back to the blocks that hold it, and each block adds up, per
-source and term, distinct documents and occurrences. What sources differ in follows from those counts in whole numbers.
+Documents are counted as white-space chunks, per block of documents with one list of distinct chunks. The lists meet by slices of the
+chunks: there every globally distinct chunk is split into terms once, and its terms go back to the blocks that hold it. Each
+block then adds up, per source and term, distinct documents and occurrences. What sources differ in follows from those counts
+in whole numbers. Lists and documents travel as packed arrays.
 """
 
 from __future__ import annotations
 
+import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
+import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,87 +38,168 @@ BLOCK_BYTES = 24_000_000
 SOURCES, TERMS = 256, 4096
 
 
+_UPPER, _TERM = re.compile("[A-Z]+"), re.compile(TERM)
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers as compressed planes of bytes."""
+    return zstandard.compress(numbers.astype(np.int32).view(np.uint8).reshape(-1, 4).T.tobytes(), 3)
+
+
+def _unpacked(held: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(held), np.uint8).reshape(4, -1).T).view(np.int32).ravel()
+
+
+class _Ids(dict):
+    """Chunks numbered as they come."""
+
+    def __missing__(self, chunk: bytes) -> int:
+        self[chunk] = number = len(self)
+        return number
+
+
 class _Block:
     """Documents of one language as numbers of distinct chunks."""
 
     def __init__(self) -> None:
-        self.ids: dict[bytes, int] = {}
-        self.docs: Counter[int] = Counter()
-        self.rows: list[tuple[str, bytes, bytes]] = []
-        self.size = 0
+        self.ids, self.sources, self.size = _Ids(), _Ids(), 0
+        self.source: list[int] = []
+        self.numbers: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
 
     def add(self, source: str, text: str) -> None:
         counts = Counter(text.encode("utf-8", "replace").split())
-        ids = self.ids
-        numbers = [ids.setdefault(chunk, len(ids)) for chunk in counts]
-        self.docs.update(numbers)
-        self.rows.append((source, np.array(numbers, np.int32).tobytes(), np.array(list(counts.values()), np.int32).tobytes()))
+        self.source.append(self.sources[source])
+        self.numbers.append(np.fromiter(map(self.ids.__getitem__, counts), np.int32, len(counts)))
+        self.counts.append(np.fromiter(counts.values(), np.int32, len(counts)))
         self.size += len(text) + 64
 
-
-_BLOCK = "block long, lang string, source string, ids binary, counts binary, id int, chunk string, docs long"
-
-
-def _encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(lang, source, text) -> per block a row per document (source, ids, counts) and one per distinct chunk (id, chunk, docs)."""
-    open_: dict[str, _Block] = defaultdict(_Block)
-    made, task = 0, TaskContext.get().partitionId()
-    size = 0
-
-    def closed(lang: str) -> Iterator[pd.DataFrame]:
-        nonlocal made
-        block, number = open_.pop(lang), (task << 32) + made
-        made += 1
-        for at in range(0, len(block.rows), 2000):
-            part = block.rows[at:at + 2000]
-            out = pd.DataFrame(part, columns=["source", "ids", "counts"])
-            yield out.assign(block=number, lang=lang, id=None, chunk=None, docs=None)[columns].astype({"id": "Int32", "docs": "Int64"})
-        chunks = list(block.ids)
-        for at in range(0, len(chunks), 100_000):
-            part = chunks[at:at + 100_000]
-            yield pd.DataFrame({
-                "block": number, "lang": lang, "source": None, "ids": None, "counts": None,
-                "id": pd.array(range(at, at + len(part)), dtype="Int32"), "chunk": [c.decode("utf-8", "replace") for c in part],
-                "docs": pd.array([block.docs[i] for i in range(at, at + len(part))], dtype="Int64")})
-
-    columns = [c.split()[0] for c in _BLOCK.split(", ")]
-    for batch in batches:
-        for lang, source, text in zip(batch["lang"], batch["source"], batch["text"], strict=True):
-            open_[lang].add(source, text)
-            size += len(text) + 64
-            if size > BLOCK_BYTES:
-                largest = max(open_, key=lambda k: open_[k].size)
-                size -= open_[largest].size
-                yield from closed(largest)
-    for lang in list(open_):
-        yield from closed(lang)
-
-
-def _count(docs: pd.DataFrame, terms: pd.DataFrame) -> pd.DataFrame:
-    """A block's documents and the terms of its chunks -> lang, source, term, docs, n."""
-    names = ["lang", "source", "term", "docs", "n"]
-    if not len(docs) or not len(terms):
-        return pd.DataFrame(columns=names).astype({"docs": "int64", "n": "int64"})
-    source, sources = pd.factorize(docs["source"])
-    term, known = pd.factorize(terms["term"])
-    order = np.argsort(terms["id"].to_numpy(), kind="stable")
-    chunk, term, times = terms["id"].to_numpy()[order], term[order], terms["times"].to_numpy()[order]
-    ids = [np.frombuffer(b, np.int32) for b in docs["ids"]]
-    doc = np.repeat(np.arange(len(ids)), [len(i) for i in ids])
-    ids, counts = np.concatenate(ids), np.concatenate([np.frombuffer(b, np.int32) for b in docs["counts"]]).astype(np.int64)
+    def rows(self, block: int, lang: str, slices: int) -> Iterator[tuple]:
+        """One row of all documents, then one per slice that has chunks."""
+        numbers = np.concatenate(self.numbers)
+        lengths = np.array([len(x) for x in self.numbers])
+        yield (block, lang, None, _packed(numbers), None, None, _packed(np.concatenate(self.counts)), _packed(lengths),
+               _packed(np.array(self.source)), list(self.sources))
+        chunks, docs = list(self.ids), np.bincount(numbers, minlength=len(self.ids))
+        of = np.fromiter((xxhash.xxh3_64_intdigest(c) % slices for c in chunks), np.int64, len(chunks))
+        order = np.argsort(of, kind="stable")
+        ends = np.flatnonzero(np.diff(of[order])) + 1
+        for ids in np.split(order, ends) if len(order) else []:
+            joined = zstandard.compress(b"\n".join([chunks[i] for i in ids]), 3)
+            yield block, lang, int(of[ids[0]]), _packed(ids), joined, _packed(docs[ids]), None, None, None, None
+
+
+_BLOCK = ("block long, lang string, slice int, ids binary, chunks binary, docs binary, counts binary, lengths binary, source binary, "
+          "sources array<string>")
+
+
+def _encode(slices: int, bytes_: int):
+    """(lang, source, text) -> per block a row of its documents (ids, counts, lengths, source, sources) and, per slice of the
+    chunks, a row of those it holds (ids, chunks, docs)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        open_: dict[str, _Block] = defaultdict(_Block)
+        made, task, size = 0, TaskContext.get().partitionId(), 0
+        columns = [c.split()[0] for c in _BLOCK.split(", ")]
+
+        def closed(lang: str) -> Iterator[pd.DataFrame]:
+            nonlocal made
+            rows = open_.pop(lang).rows((task << 32) + made, lang, slices)
+            made += 1
+            while part := list(islice(rows, 256)):
+                yield pd.DataFrame(part, columns=columns).astype({"slice": "Int32"})
+
+        for batch in batches:
+            for lang, source, text in zip(batch["lang"], batch["source"], batch["text"], strict=True):
+                open_[lang].add(source, text)
+                size += len(text) + 64
+                if size > bytes_:
+                    largest = max(open_, key=lambda k: open_[k].size)
+                    size -= open_[largest].size
+                    yield from closed(largest)
+        for lang in list(open_):
+            yield from closed(lang)
+
+    return run
+
+
+def _terms_of(chunk: bytes) -> Counter:
+    found = _TERM.findall(chunk.decode("utf-8", "replace"))
+    return Counter(_UPPER.sub(lambda m: m[0].lower(), t) for t in found)
+
+
+_SPLIT = "slice int, block long, lang string, ids binary, terms binary, times binary, term string, number int, docs long"
+
+
+def _split(rows: pd.DataFrame) -> pd.DataFrame:
+    """All blocks' chunks of a slice -> per block the terms of its chunks (ids, terms, times), and the slice's terms per language
+    with a bound on their documents. Each chunk is split once."""
+    known, terms, starts, term, times = _Ids(), _Ids(), [0], [], []
+    parts = []
+    for block, lang, ids, chunks, docs in rows[["block", "lang", "ids", "chunks", "docs"]].itertuples(index=False):
+        at = []
+        for chunk in zstandard.decompress(chunks).split(b"\n"):
+            fresh = len(known)
+            at.append(known[chunk])
+            if len(known) > fresh:
+                found = _terms_of(chunk)
+                term += [terms[t] for t in found]
+                times += found.values()
+                starts.append(len(term))
+        parts.append((block, lang, _unpacked(ids), np.array(at), _unpacked(docs)))
+    start, term, times = np.array(starts), np.array(term, np.int64), np.array(times, np.int64)
+    number, names, bound = int(rows["slice"].iloc[0]), list(terms), {}
+    out = []
+    for block, lang, ids, at, docs in parts:
+        width = start[at + 1] - start[at]
+        where = np.repeat(start[at] - np.concatenate([[0], np.cumsum(width)[:-1]]), width) + np.arange(width.sum())
+        sums = bound.setdefault(lang, np.zeros(len(names), np.int64))
+        sums += np.bincount(term[where], np.repeat(docs, width), len(names)).astype(np.int64)
+        out.append((number, block, lang, _packed(np.repeat(ids, width)), _packed(term[where]), _packed(times[where]), None, None, None))
+    for lang, sums in bound.items():
+        out += [(number, None, lang, None, None, None, names[i], i, int(sums[i])) for i in np.flatnonzero(sums)]
+    columns = [c.split()[0] for c in _SPLIT.split(", ")]
+    return pd.DataFrame(out, columns=columns).astype({"block": "Int64", "number": "Int32", "docs": "Int64"})
+
+
+def _named(packs: pd.DataFrame, able: pd.DataFrame) -> pd.DataFrame:
+    """A slice's packs and its terms that may be kept, by name -> per block the ids of chunks with the numbers of their terms."""
+    out = []
+    for lang, numbers in able.groupby("tongue"):
+        name = np.full(int(numbers["term"].max()) + 1, -1, np.int64)
+        name[numbers["term"].to_numpy(np.int64)] = numbers["name"].to_numpy(np.int64)
+        for block, ids, terms, times in packs.loc[packs["lang"] == lang, ["block", "ids", "terms", "times"]].itertuples(index=False):
+            term = _unpacked(terms)
+            found = np.where(term < len(name), name[np.minimum(term, len(name) - 1)], -1)
+            use = found >= 0
+            if use.any():
+                out.append((block, _packed(_unpacked(ids)[use]), found[use].tobytes(), _packed(_unpacked(times)[use])))
+    return pd.DataFrame(out, columns=["at", "ids", "names", "times"])
+
+
+def _count(docs: pd.DataFrame, packs: pd.DataFrame) -> pd.DataFrame:
+    """A block's documents and the terms of its chunks -> lang, source, name, docs, n."""
+    columns = ["lang", "source", "name", "docs", "n"]
+    if not len(docs) or not len(packs):
+        return pd.DataFrame(columns=columns).astype({"name": "int64", "docs": "int64", "n": "int64"})
+    chunk, times = (np.concatenate([_unpacked(x) for x in packs[c]]) for c in ("ids", "times"))
+    names, term = np.unique(np.concatenate([np.frombuffer(x, np.int64) for x in packs["names"]]), return_inverse=True)
+    order = np.argsort(chunk, kind="stable")
+    chunk, term, times = chunk[order], term[order], times[order].astype(np.int64)
+    block = docs.iloc[0]
+    ids, counts, lengths, source = (_unpacked(block[c]) for c in ("ids", "counts", "lengths", "source"))
+    doc = np.repeat(np.arange(len(lengths)), lengths)
     low = np.searchsorted(chunk, ids, "left")
     width = np.searchsorted(chunk, ids, "right") - low
     at = np.repeat(low - np.concatenate([[0], np.cumsum(width)[:-1]]), width) + np.arange(width.sum())
-    doc, n = np.repeat(doc, width), np.repeat(counts, width) * times[at]
-    held = np.unique(doc * len(known) + term[at])  # each term of a document once
-    cell = source[held // len(known)] * len(known) + held % len(known)
-    every = source[doc] * len(known) + term[at]
-    cells, inverse = np.unique(every, return_inverse=True)
+    doc, n = np.repeat(doc, width), np.repeat(counts.astype(np.int64), width) * times[at]
+    held = np.unique(doc * len(names) + term[at])  # each term of a document once
+    cells, inverse = np.unique(source[doc] * np.int64(len(names)) + term[at], return_inverse=True)
+    found = np.bincount(np.searchsorted(cells, source[held // len(names)] * np.int64(len(names)) + held % len(names)), minlength=len(cells))
     total = np.zeros(len(cells), np.int64)
     np.add.at(total, inverse, n)
-    found = np.bincount(np.searchsorted(cells, cell), minlength=len(cells))
-    return pd.DataFrame({"lang": docs["lang"].iloc[0], "source": sources[cells // len(known)], "term": known[cells % len(known)],
-                         "docs": found.astype(np.int64), "n": total})
+    return pd.DataFrame({"lang": block["lang"], "source": np.array(block["sources"], object)[cells // len(names)],
+                         "name": names[cells % len(names)], "docs": found.astype(np.int64), "n": total})
 
 
 def term_counts(docs: DataFrame, least: int = LEAST_DOCS, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
@@ -121,27 +207,26 @@ def term_counts(docs: DataFrame, least: int = LEAST_DOCS, text: str = "text", la
 
     Null texts, languages and sources are empty strings; each row is a document of its own, whatever its id. A
     language's chunks of a term are together in at least as many documents as the term, so that terms below ``least``
-    by that bound are not joined back; all others are counted exactly.
+    by that bound are not joined back; all others are counted exactly. There are as many slices of the chunks as partitions of the
+    documents, so that a slice of all lists is about as long as the list of one partition.
     """
     given = docs.select(*[text_or_empty(F.col(c).cast("string")).alias(n) for c, n in ((lang, "lang"), (source, "source"), (text, "text"))])
-    blocks = settle(given.mapInPandas(_encode, _BLOCK), "blocks")
-    chunks = blocks.filter("chunk IS NOT NULL").select("block", "lang", "id", "chunk", "docs")
-    per_chunk = chunks.groupBy("chunk", "lang").agg(F.sum("docs").alias("docs"))
-    found = F.regexp_extract_all("chunk", F.lit(TERM), F.lit(0))
-    split = per_chunk.groupBy("chunk").agg(F.collect_list(F.struct("lang", "docs")).alias("langs")).withColumn(
-        "term", F.explode(found)).withColumn("term", F.translate("term", UPPER, LOWER)).groupBy("chunk", "term").agg(
-        F.count(F.lit(1)).alias("times"), F.first("langs").alias("langs"))
-    terms = settle(split, "terms").withColumn("l", F.explode("langs")).select("chunk", "term", "times", "l.lang", "l.docs")
-    able = terms.groupBy("lang", "term").agg(F.sum("docs").alias("bound")).filter(F.col("bound") >= least).select("lang", "term")
-    back = settle(terms.join(able, ["lang", "term"], "left_semi").select("lang", "chunk", "term", "times"), "able")
-    joined = chunks.select("block", "lang", "id", "chunk").join(back, ["lang", "chunk"]).select(
-        F.col("block").alias("at"), "id", "term", "times")
-    held = blocks.filter("chunk IS NULL").select("block", "lang", "source", "ids", "counts")
-    part = held.groupBy("block").cogroup(joined.groupBy("at")).applyInPandas(
-        _count, "lang string, source string, term string, docs long, n long")
-    counted = settle(part.groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n")), "counted")
-    kept = counted.groupBy("lang", "term").agg(F.sum("docs").alias("__docs")).filter(F.col("__docs") >= least).select("lang", "term")
-    return counted.join(kept, ["lang", "term"], "left_semi").select("lang", "source", "term", "docs", "n")
+    slices = max(1, given.rdd.getNumPartitions())
+    blocks = settle(given.mapInPandas(_encode(slices, BLOCK_BYTES), _BLOCK), "blocks")
+    lists = blocks.filter("slice IS NOT NULL").select("slice", "block", "lang", "ids", "chunks", "docs")
+    split = settle(lists.groupBy("slice").applyInPandas(_split, _SPLIT), "terms")
+    terms = split.filter("term IS NOT NULL").select("slice", "lang", "term", "number", "docs")
+    able = settle(terms.groupBy("lang", "term").agg(F.sum("docs").alias("bound")).filter(F.col("bound") >= least).select(
+        "lang", "term", F.monotonically_increasing_id().alias("name")), "able")
+    named = terms.join(able, ["lang", "term"]).select(F.col("slice").alias("of"), F.col("lang").alias("tongue"), F.col("number").alias("term"), "name")
+    packs = split.filter("term IS NULL").select("slice", "block", "lang", "ids", "terms", "times")
+    back = packs.groupBy("slice").cogroup(named.groupBy("of")).applyInPandas(_named, "at long, ids binary, names binary, times binary")
+    held = blocks.filter("slice IS NULL").select("block", "lang", "ids", "counts", "lengths", "source", "sources")
+    part = held.groupBy("block").cogroup(back.groupBy("at")).applyInPandas(_count, "lang string, source string, name long, docs long, n long")
+    counted = settle(part.groupBy("lang", "source", "name").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n")), "counted")
+    kept = counted.groupBy("name").agg(F.sum("docs").alias("__docs")).filter(F.col("__docs") >= least).select("name")
+    words = able.join(kept, "name").select("name", "term")
+    return counted.join(words, "name").select("lang", "source", "term", "docs", "n")
 
 
 def _share(count: Column | str, total: Column | str, terms: Column | str) -> Column:

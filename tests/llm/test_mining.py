@@ -59,7 +59,6 @@ def test_divergence(spark, monkeypatch, blocks, least):
     for name, value in zip(("BLOCK_BYTES", "SOURCES", "TERMS"), blocks, strict=True):
         monkeypatch.setattr(divergence, name, value)
     rows = chunky(3, 240) + [(900, "word " * 20_000 + "the" * 30_000, "en", "b", None, None), (901, "", "fr", None, None, None)]
-    # The workers have their own copy of the module: the block size goes with the function only in this process.
     got = divergence.audit(spark.createDataFrame(rows, SCHEMA).repartition(5), least=least, top=4)
     assert sorted(map(tuple, got.collect())) == plain_audit(rows, least, 4)
 
@@ -76,16 +75,17 @@ def test_blocks_close_by_size(monkeypatch):
             return 3
 
     monkeypatch.setattr(divergence, "TaskContext", Task)
-    monkeypatch.setattr(divergence, "BLOCK_BYTES", 300)
     rows = chunky(5, 60)
     frame = pd.DataFrame([(r[2], r[3] or "", r[1] or "") for r in rows], columns=["lang", "source", "text"])
-    out = pd.concat(divergence._encode(iter([frame[:20], frame[20:]])), ignore_index=True)
-    assert out["block"].nunique() > 5 and out["block"].min() == 3 << 32
-    chunks = {(b, i): c for b, i, c in out[out["chunk"].notna()][["block", "id", "chunk"]].itertuples(index=False)}
+    out = pd.concat(divergence._encode(3, 300)(iter([frame[:20], frame[20:]])), ignore_index=True)
+    assert out["block"].nunique() > 5 and out["block"].min() == 3 << 32 and set(out["slice"].dropna()) == {0, 1, 2}
+    chunks = {}
+    for r in out[out["slice"].notna()].itertuples():
+        chunks |= {(r.block, i): c.decode() for i, c in zip(divergence._unpacked(r.ids), divergence.zstandard.decompress(r.chunks).split(b"\n"), strict=True)}
     seen = Counter()
-    for b, ids, counts in out[out["chunk"].isna()][["block", "ids", "counts"]].itertuples(index=False):
-        for i, n in zip(np.frombuffer(ids, np.int32), np.frombuffer(counts, np.int32), strict=True):
-            seen[chunks[b, i]] += int(n)
+    for r in out[out["slice"].isna()].itertuples():
+        for i, n in zip(divergence._unpacked(r.ids), divergence._unpacked(r.counts), strict=True):
+            seen[chunks[r.block, i]] += int(n)
     assert seen == Counter(w for r in rows for w in re.findall(r"[^\x20\x09-\x0D]+", r[1] or ""))
 
 
