@@ -18,13 +18,10 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import query, table
 from millrace.llm.shingles import Words, shingle_hashes, word_hashes
-from millrace.session import settle
 
 BITS, RADIUS = 64, 20
 #: Items that go to the tasks at a time; more items mean more passes over the documents.
 ITEMS = 5000
-#: Ids are broadcast only if their counted rows are at most so many.
-BROADCAST_IDS = 1_000_000
 SCHEMA = "doc_id long, item_id long, similarity double, start long, end long"
 _SHIFTS = np.arange(BITS, dtype=np.uint64)
 
@@ -145,22 +142,37 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.8, widt
     The items go to the tasks in blocks of bounded size, whatever their number.
     """
     given = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rows = benchmark.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t")).filter(
-        "t IS NOT NULL").orderBy("i", "t").toLocalIterator()
     out = None
-    while part := [(r["i"], r["t"]) for r in islice(rows, block)]:
-        one = given.mapInPandas(_search(Items(part, width), least), SCHEMA)
+    for items in _item_blocks(benchmark, width, item_id, item_text, block):
+        one = given.mapInPandas(_search(items, least), SCHEMA)
         out = one if out is None else out.unionByName(one)
     return out if out is not None else docs.sparkSession.createDataFrame([], SCHEMA)
 
 
-def remove_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """The documents that hold no item, in the columns of the input; of rows with equal ids all stay or go. Rows without an
-    id stay. The list of ids is broadcast only if its counted rows are few."""
-    found = settle(contaminated(docs, benchmark, doc_id=doc_id, **options).filter("doc_id IS NOT NULL").select(
-        F.col("doc_id").alias("__gone")).distinct(), "leaks")
-    few = F.broadcast(found) if found.count() <= BROADCAST_IDS else found
-    return docs.join(few, F.col(doc_id) == F.col("__gone"), "left_anti")
+def _item_blocks(benchmark: DataFrame, width: int, item_id: str, item_text: str, block: int) -> Iterator[Items]:
+    rows = benchmark.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t")).filter(
+        "t IS NOT NULL").orderBy("i", "t").toLocalIterator()
+    while part := [(r["i"], r["t"]) for r in islice(rows, block)]:
+        yield Items(part, width)
+
+
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.8, width: int = 5, text: str = "text",
+                        item_id: str = "item_id", item_text: str = "text", block: int = ITEMS) -> DataFrame:
+    """The documents that hold no item, in the columns of the input. Each row is judged by its own text, whatever its id, so
+    rows without an id and repeated ids are decided like any other; null texts hold nothing."""
+    for items in _item_blocks(benchmark, width, item_id, item_text, block):
+        docs = docs.filter(~_holds(items, least)(F.coalesce(F.col(text), F.lit(""))))
+    return docs
+
+
+def _holds(items: Items, least: float):
+    @F.pandas_udf("boolean")
+    def held(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known = Words()
+        for texts in batches:
+            yield pd.Series([bool(items.matches(word_hashes(t, known, True), least)) for t in texts], dtype=bool)
+
+    return held
 
 
 @query("op1_benchmark_simhash")
