@@ -69,7 +69,13 @@ def with_slots(assigned: DataFrame, doc_id: str = "doc_id") -> DataFrame:
 
 
 def write_shards(docs: DataFrame, shards: int, path: str, doc_id: str = "doc_id", files: int = 1) -> None:
-    """Write the documents as one folder per shard, each in about ``files`` parts (raise it with the size of a shard)."""
+    """Write the documents as one folder per shard, each in about ``files`` parts (raise it with the size of a shard).
+
+    A column ``shard`` of the documents that ``assign`` has not made would be lost to the folder's name: then it raises.
+    """
+    given = set(docs.columns)
+    if "shard" in given and "grown_shard" not in given:
+        raise ValueError("the documents have a column shard; rename it first")
     dealt = docs.withColumn("shard", shard_of(stable_key(F.col(doc_id)), shards)).withColumn(
         "__file", F.pmod(F.monotonically_increasing_id(), F.lit(files)))
     dealt.repartition(shards * files, "shard", "__file").drop("__file").write.partitionBy("shard").parquet(path)
