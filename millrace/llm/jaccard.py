@@ -134,16 +134,17 @@ def slots(tokens: np.ndarray) -> np.ndarray:
 
 
 def folded(counts: np.ndarray, n: int) -> np.ndarray:
+    counts = counts.astype(np.uint32)  # the sums of a very long text leave 16 bits
     while len(counts) > n:
         counts = counts[:len(counts) // 2] + counts[len(counts) // 2:]
     return counts
 
 
-def forest(sizes: np.ndarray, counts: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Edges that connect all pairs (left, right) whose common slots can reach the similarity."""
-    n = min(len(c) for c in counts)
-    matrix = np.array([folded(c, n) for c in counts])
-    label, edges = np.arange(len(counts)), []
+def forest(sizes: np.ndarray, matrix: np.ndarray, left: np.ndarray, right: np.ndarray, label: np.ndarray,
+           percent: int) -> list[tuple[int, int]]:
+    """Edges that connect all pairs (left, right) whose common slots can reach the similarity and whose labels differ; what is
+    connected gets one label."""
+    edges = []
     for i in left:
         rest = right[label[right] != label[i]]
         if not len(rest):
@@ -156,6 +157,17 @@ def forest(sizes: np.ndarray, counts: list[np.ndarray], left: np.ndarray, right:
     return edges
 
 
+def block_edges(sizes: np.ndarray, counts: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Edges of one block of a list (``left`` is ``right``) or of two: within a block a forest, between two blocks only what
+    their own forests leave apart, so that a family of many blocks costs one edge per pair of blocks."""
+    n = min(len(c) for c in counts)
+    matrix, label = np.array([folded(c, n) for c in counts]), np.arange(len(counts))
+    if not np.array_equal(left, right):
+        for block in (left, right):
+            forest(sizes, matrix, block, block, label, percent)
+    return forest(sizes, matrix, left, right, label, percent)
+
+
 def _connect(percent: int):
     """Rows (sig, low, high, block, id, n, slots) of some parts -> edges of their forests."""
 
@@ -172,7 +184,7 @@ def _connect(percent: int):
             of = block[at:end]
             left, right = here[of == low[at]], here[of == high[at]]
             if len(left) and len(right):
-                found.update((int(ids[at + i]), int(ids[at + j])) for i, j in forest(
+                found.update((int(ids[at + i]), int(ids[at + j])) for i, j in block_edges(
                     sizes[at:end], counts[at:end], left, right, percent) if ids[at + i] != ids[at + j])
             at = end
         return pd.DataFrame(list(found), columns=["a", "b"], dtype="int64")
@@ -325,17 +337,22 @@ def link_classes(docs: DataFrame, width: int, percent: int, classes: DataFrame |
     With ``classes`` (k1, k2, class, size) every pair is verified, and rows of a null a hold the number n of documents with
     other sets that the documents of the set (k1, k2) link to, or a part of it: they are to be added up.
     """
-    signs = docs.mapInPandas(_signatures(width, percent), "sig long, id long")
-    shared = settle(signs.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("sig"), "signs")
-    buckets = settle(signs.join(shared, "sig", "left_semi").distinct(), "buckets")
+    # Made and dealt out once: what two ids sign, and who signs it, come from the same exchange.
+    signs = docs.mapInPandas(_signatures(width, percent), "sig long, id long").repartition("sig")
+    shared = signs.groupBy("sig").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high").select("sig")
+    signed = settle(signs.join(shared.hint("shuffle_hash"), "sig", "left_semi"), "signs").distinct()
+    # Signatures of the same documents say the same: one stands for all of a list (by its length and 128 bits of its ids).
+    lists = signed.groupBy("sig").agg(F.count(F.lit(1)).alias("s"), F.bit_xor(F.xxhash64("id")).alias("x"),
+                                      F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
+    kept = lists.groupBy("s", "x", "y").agg(F.min("sig").alias("sig")).select("sig", "s")
+    buckets = settle(signed.join(kept, "sig"), "buckets")
     members = settle(buckets.select("id").distinct(), "members")
     held = "id long, n long, held binary"
     counted = settle(_among(docs, members, "left_semi").mapInPandas(_stored(width, False), held).distinct(), "slots")
 
     # Families: what shares a part and can reach the similarity by its slots.
-    sizes = buckets.groupBy("sig").agg(F.count(F.lit(1)).alias("s")).filter("s > 1").withColumn(
-        "blocks", F.ceil(F.col("s") / PART_DOCS).cast("int"))
-    parts = buckets.join(sizes, "sig").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    parts = buckets.withColumn("blocks", F.ceil(F.col("s") / PART_DOCS).cast("int")).withColumn(
+        "block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     tasks = -(-(parts.count() or 1) // PARTS_PER_TASK)
     met = _met(parts, "sig", tasks).join(counted.withColumnRenamed("held", "slots"), "id")
     edges = settle(met.select("task", "low", "high", "sig", "block", "id", "n", "slots").groupBy("task", "low", "high").applyInPandas(
@@ -409,17 +426,22 @@ def similar(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "d
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without those that are linked to a smaller id, in the columns of the input. Of rows with equal ids one
-    stays. Rows without an id stay."""
-    found = settle(similar(docs, width, percent, doc_id, text, count=False).filter(F.col(doc_id).isNotNull()).groupBy(
-        F.col(doc_id).alias("id")).agg(F.min("component_id").alias("component"), F.count(F.lit(1)).alias("n")).filter(
-        "component < id OR n > 1"), "linked")
-    named = docs.withColumn("id", F.col(doc_id).cast("long")) if doc_id != "id" else docs
-    rest = _among(named, settle(found.select("id"), "gone"), "left_anti")
-    again = found.filter("component = id").select("id")
-    if not again.isEmpty():
-        rest = rest.unionByName(_among(named, settle(again, "again"), "left_semi").dropDuplicates(["id"]))
-    return rest.select(*docs.columns)
+    """Of all documents that links connect, one, in the columns of the input.
+
+    Rows are told apart by a key of their own, not by the id: rows with equal ids and unrelated texts all stay. Of connected rows
+    the one with the smallest id stays, of equal ids any one; a row without an id stays only if no connected row has one. A row
+    without words stays.
+    """
+    kept = settle(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")), "rows")
+    rows = kept.select("row", F.col(f"doc.`{doc_id}`").alias("given"), F.col(f"doc.`{text}`").alias("text"))
+    found = settle(similar(rows, width, percent, "row", "text", count=False).filter("component_id <> row").select(
+        "row", F.col("component_id").alias("component")), "linked")
+    linked = found.unionByName(found.select(F.col("component").alias("row"), "component").distinct())
+    ranked = linked.join(rows.select("row", "given"), "row").groupBy("component").agg(
+        F.min(F.struct(F.col("given").isNull(), "given", "row")).alias("first")).select(F.col("first.row").alias("row"))
+    gone = settle(linked.select("row").join(ranked, "row", "left_anti"), "gone")
+    few = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
+    return kept.join(few, "row", "left_anti").select("doc.*")
 
 
 @query("op7_ngram_jaccard")

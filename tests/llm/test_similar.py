@@ -110,12 +110,78 @@ def test_jaccard_without_broadcasts(spark, families, monkeypatch):
 
 
 def test_keep_one(spark, families):
-    want, _ = brute_components(families, 5, 80)
+    """The smallest id of each component stays; rows without an id are decided by their text like any other."""
+    want, _ = brute_components([(i, t) for i, t in families if i is not None], 5, 80)
     out = jaccard.keep_one(table(spark, families))
     assert out.columns == ["doc_id", "text", "id", "n"]
     ids = sorted(r["doc_id"] for r in out.collect() if r["doc_id"] is not None)
-    assert ids == sorted({i for i, c in want.items() if i == c})
-    assert out.filter("doc_id IS NULL").count() == 1
+    assert set(ids) == {i for i, c in want.items() if i == c}
+
+
+def test_keep_one_decides_by_row(spark):
+    """Equal ids with unrelated texts, copies without an id, and a column id that clashes."""
+    rnd = random.Random(8)
+    a, b, c = (" ".join(sentence(rnd, 40)) for _ in range(3))
+    near = a + " more"
+    rows = [(1, a, "X1", 7), (1, b, "X2", 7), (5, near, "X3", 7), (None, near, "X4", None), (None, c, "X5", None), (None, c, "X6", None),
+            (7, None, "X7", 7), (8, "", "X8", 7), (9, c + " tail", None, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, id string, n long")
+    kept = sorted(map(tuple, jaccard.keep_one(docs.repartition(3)).collect()), key=repr)
+    assert kept == sorted([rows[0], rows[1], rows[6], rows[7], rows[8]], key=repr)
+    alone = jaccard.keep_one(docs.filter("doc_id IS NULL")).collect()
+    assert sorted(r["text"] for r in alone) == sorted([near, c])
+
+
+def test_nothing_to_compare(spark):
+    none = table(spark, [])
+    assert jaccard.similar(none).count() == 0 and jaccard.keep_one(none).count() == 0
+    assert jaccard.keep_one(none).columns == ["doc_id", "text", "id", "n"]
+
+
+def test_edges_of_blocks_connect_what_one_block_connects():
+    """Blocks of a list, each pair on its own, connect the same documents as the whole list, with few edges between blocks."""
+    rnd = np.random.default_rng(6)
+    for _ in range(20):
+        sets = []
+        for _ in range(4):
+            base = rnd.integers(0, 2**63, int(rnd.integers(20, 60))).astype(np.uint64)
+            sets += [np.unique(base[: len(base) - int(rnd.integers(0, 8))]) for _ in range(10)]
+        sizes, counts = np.array([len(x) for x in sets]), [jaccard.slots(x) for x in sets]
+        block = rnd.integers(0, 3, len(sets))
+        every = np.arange(len(sets))
+
+        def closure(edges):
+            label = list(every)
+            for a, b in edges:
+                x, y = label[a], label[b]
+                label = [x if v == y else v for v in label]
+            return [label.index(v) for v in label]
+
+        whole = jaccard.block_edges(sizes, counts, every, every, 80)
+        parts = [jaccard.block_edges(sizes, counts, every[block == i], every[block == j], 80) for i in range(3) for j in range(i, 3)]
+        assert closure(whole) == closure([e for p in parts for e in p])
+        assert len(whole) < len(sets) and sum(map(len, parts)) <= len(sets) + 9 * 4
+
+
+def test_slot_counts_of_a_very_long_text_do_not_wrap():
+    long = np.full(1024, 60_000, np.uint16)
+    assert (jaccard.folded(long, 16) == 60_000 * 64).all()
+
+
+def test_lists_of_the_same_documents_are_compared_once(spark):
+    """Many signatures, one list: the rows that are compared grow with the members, not with what they share."""
+    rnd = random.Random(2)
+    text = " ".join(sentence(rnd, 300))
+    docs = table(spark, [(i, f"{text} {i}") for i in range(30)])
+    seen = []
+    real = jaccard._met
+    try:
+        jaccard._met = lambda rows, key, tasks: (seen.append((key, rows.count(), rows.select(key).distinct().count())), real(rows, key, tasks))[1]
+        assert {r["component_id"] for r in jaccard.similar(docs).collect()} == {0}
+    finally:
+        jaccard._met = real
+    (_, rows, lists), _ = seen
+    assert rows <= 30 * lists and lists < 60
 
 
 def test_parts_guarantee_a_common_signature():
@@ -195,7 +261,8 @@ def test_decontamination_finds_what_the_windows_hold(spark):
     assert Counter(map(tuple, by_block)) == Counter(map(tuple, got))
     left = decontaminate.remove_contaminated(table(spark, rows), benchmark)
     assert left.columns == ["doc_id", "text", "id", "n"]
-    assert {r["doc_id"] for r in left.collect()} == {d for d, _ in rows} - {d for d, _ in found if d is not None}
+    gone = {r["doc_id"] for r in decontaminate.contaminated(table(spark, [(k, t) for k, (_, t) in enumerate(rows)]), benchmark).collect()}
+    assert Counter((r["doc_id"], r["text"]) for r in left.collect()) == Counter(r for k, r in enumerate(rows) if k not in gone)
     nothing = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contaminated(table(spark, rows), nothing).count() == 0
     assert decontaminate.contaminated(table(spark, []), benchmark).count() == 0
