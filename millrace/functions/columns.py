@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -175,8 +176,9 @@ def in_month(c: Column | str, year: int, month: int) -> Column:
 
 
 def on_days(c: Column | str, first: str, last: str) -> Column:
-    """Inclusive range of calendar days."""
-    return col(c).cast("date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+    """Inclusive range of calendar days, as a half-open range that reaches the file scan."""
+    end = datetime.date.fromisoformat(last) + datetime.timedelta(days=1)
+    return in_period(c, first, end.isoformat())
 
 
 def all_of(conditions: Iterable[Column]) -> Column:

@@ -34,16 +34,18 @@ def first_of(c: Column | str) -> Column:
 
 
 def pairs_to_map(keys: Column | str, values: Column | str) -> Column:
-    """Text map from two parallel arrays; of repeated keys the last wins, as in a dictionary."""
-    pairs = F.arrays_zip(col(keys).alias("k"), col(values).alias("v"))
-    merged = F.aggregate(
-        pairs,
-        F.expr("cast(array() as array<struct<k:string,v:string>>)"),
-        lambda acc, p: F.array_append(
-            F.filter(acc, lambda q: q["k"] != p["k"]), F.struct(p["k"].alias("k"), p["v"].alias("v"))
-        ),
-    )
-    return F.map_from_entries(merged)
+    """Text map from two parallel arrays; of repeated keys the last wins, as in a dictionary. The pairs are numbered and sorted by
+    key, the last of each key stays, and these go back to their order."""
+    def pair(p: Column, i: Column) -> Column:
+        return F.struct(p["k"].cast("string").alias("k"), i.alias("i"), p["v"].cast("string").alias("v"))
+
+    def last(pairs: Column) -> Column:
+        return F.filter(pairs, lambda p, i: ~F.coalesce(F.get(pairs, i + 1)["k"] == p["k"], F.lit(False)))
+
+    numbered = F.array_sort(F.transform(F.arrays_zip(col(keys).alias("k"), col(values).alias("v")), pair))
+    kept = F.get(F.transform(F.array(numbered), last), F.lit(0))
+    ordered = F.array_sort(F.transform(kept, lambda p: F.struct(p["i"].alias("i"), p["k"].alias("k"), p["v"].alias("v"))))
+    return F.map_from_entries(F.transform(ordered, lambda p: F.struct(p["k"].alias("k"), p["v"].alias("v"))))
 
 
 def record_id(*columns: str) -> Column:

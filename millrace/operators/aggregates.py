@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from millrace.functions.columns import cents, exact_sum, mean
-from millrace.operators.split import running_total
+from millrace.operators.split import join_on
 
 
 def mart_monthly(df: DataFrame, key: str, date_col: str, amount: str, digits: int | None = None) -> DataFrame:
@@ -97,44 +97,35 @@ def mode_of(df: DataFrame, c: str) -> DataFrame:
     return most.agg(F.max_by("__v", "__n").alias(c))
 
 
-def exact_quantile(df: DataFrame, c: str, q: float = 0.5, small: int = 200_000) -> float | None:
-    """Exact quantile with linear interpolation, for columns of any number of distinct values.
+#: Accuracy of the sketches: a rank is bounded to a few shares of 1 / ACCURACY of a group.
+ACCURACY = 10_000
 
-    Each pass narrows the range that holds the wanted ranks by approximate quantiles and exact counts; a
-    range with few distinct values is finished with one running count. Only numbers reach the driver.
+
+def quantiles(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), q: float = 0.5, accuracy: int = ACCURACY) -> DataFrame:
+    """Exact quantile, with linear interpolation, of several columns per group: keys, column_name, n, value.
+
+    One pass over the table makes mergeable sketches that bound the wanted ranks of all columns and groups at once; a second counts
+    what lies below the bounds and the values between them, some 26 / ``accuracy`` of a group, of which the ranks are picked. Only these
+    few values of a group are ever sorted. Null and NaN are left out; a column without any value in a group has no row.
     """
-    x = F.col(c).cast("double")
-    known = df.select(x.alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
-    n = known.count()
-    if n == 0:
-        return None
-    pos = q * (n - 1)
-    lo_rank, hi_rank = int(np.floor(pos)), int(np.ceil(pos))
-    below, part, size = 0, known, n
-    while size > small:
-        around = [max(0.0, (lo_rank - below - 1) / size - 1e-3), min(1.0, (hi_rank - below + 1) / size + 1e-3)]
-        a, b = part.agg(F.percentile_approx("x", around, 5000)).first()[0]
-        row = part.agg(
-            F.count_if(F.col("x") < a).alias("under"),
-            F.count_if(F.col("x").between(a, b)).alias("inside"),
-        ).first()
-        first, last = below + row["under"], below + row["under"] + row["inside"]
-        if a == b or row["inside"] == size or not (first <= lo_rank and hi_rank < last):
-            break
-        below, size = first, row["inside"]
-        part = known.filter(F.col("x").between(a, b))
-    return _interpolated(part, below, lo_rank, hi_rank, pos)
-
-
-def _interpolated(part: DataFrame, below: int, lo_rank: int, hi_rank: int, pos: float) -> float:
-    """Pick two ranks from value counts, with the running count cut into balanced pieces."""
-    counts = part.groupBy("x").agg(F.count(F.lit(1)).alias("m"))
-    cum = running_total(counts, [], [F.col("x")], "m", "upto", F.col("x"))
-    picked = cum.agg(
-        F.min(F.when(F.col("upto") + below > lo_rank, F.col("x"))).alias("lo"),
-        F.min(F.when(F.col("upto") + below > hi_rank, F.col("x"))).alias("hi"),
-    ).first()
-    return picked["lo"] + (picked["hi"] - picked["lo"]) * (pos - lo_rank)
+    entries = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x")) for c in columns])
+    long = df.select(*keys, F.explode(entries).alias("e")).select(*keys, "e.*").filter(F.col("x").isNotNull() & ~F.isnan("x"))
+    slack = 13 / accuracy
+    ends = F.percentile_approx("x", [max(0.0, q - slack), min(1.0, q + slack)], accuracy)
+    by = [*keys, "column_name"]
+    bounds = long.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("least"), F.max("x").alias("most"), ends.alias("ends")).select(
+        # In a small group one place is more than the slack; there all values count as between.
+        *by, "n", *[F.when(F.col("n") < accuracy / 5, F.col(small)).otherwise(F.get("ends", F.lit(i))).alias(name)
+                    for i, (small, name) in enumerate((("least", "low"), ("most", "high")))])
+    place = F.lit(q) * (F.col("n") - 1)
+    near = join_on(long, bounds, by, "inner").filter(F.col("x") <= F.col("high"))
+    counted = near.groupBy(*by, F.when(F.col("x") >= F.col("low"), F.col("x")).alias("x")).agg(
+        F.count(F.lit(1)).alias("m"), F.first("n").alias("n"))
+    upto = F.sum("m").over(Window.partitionBy(*by).orderBy(F.col("x").asc_nulls_first()))
+    picked = counted.withColumn("upto", upto).groupBy(*by).agg(
+        F.first("n").alias("n"), F.min(F.when(F.col("upto") > F.floor(F.lit(q) * (F.col("n") - 1)), F.col("x"))).alias("lower"),
+        F.min(F.when(F.col("upto") > F.ceil(F.lit(q) * (F.col("n") - 1)), F.col("x"))).alias("upper"))
+    return picked.select(*by, "n", (F.col("lower") + (F.col("upper") - F.col("lower")) * (place - F.floor(place))).alias("value"))
 
 
 def running_sum(df: DataFrame, keys: list[str], order: list[str], value: str, out: str) -> DataFrame:

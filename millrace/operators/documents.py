@@ -11,6 +11,10 @@ from millrace.functions.columns import all_of, untrue
 from millrace.functions.payload import record_id
 from millrace.operators.relational import semi
 from millrace.operators.split import numbered
+from millrace.session import settle
+
+#: Ids of repeated documents are broadcast only if their counted rows are at most so many.
+FEW_IDS = 200_000
 
 
 def _number_bound(v) -> bool:
@@ -58,8 +62,22 @@ def find(
 
 
 def with_ids(df: DataFrame, out: str = "_id") -> DataFrame:
-    """Generated document id, a digest of the content."""
-    return df.withColumn(out, record_id(*df.columns))
+    """Generated document id, a digest of the content; of equal documents the second and further ones digest their number too.
+
+    Only documents that occur more than once are numbered; which of them is the second makes no difference.
+    """
+    keyed = df.withColumn(out, record_id(*df.columns))
+    again = settle(keyed.groupBy(out).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col(out).alias("__again")), "repeats")
+    repeats = again.count()
+    if not repeats:
+        return keyed
+    few = F.broadcast(again) if repeats <= FEW_IDS else again
+    single = keyed.join(few, F.col(out) == F.col("__again"), "left_anti")
+    copies = settle(keyed.join(few, F.col(out) == F.col("__again"), "left_semi").withColumn("__at", F.monotonically_increasing_id()), "copies")
+    at = F.col("__at")
+    counted = numbered(copies, [out], [at], "__n", at)
+    own = F.when(F.col("__n") == 1, F.col(out)).otherwise(F.sha2(F.concat_ws(":", out, F.col("__n").cast("string")), 256))
+    return single.unionByName(counted.withColumn(out, own).drop("__at", "__n"))
 
 
 def derive_revision(

@@ -46,8 +46,10 @@ def _match(df: DataFrame, line: Column, pattern: str, fields: Sequence[str], out
     generated column, which later filters and projections do not repeat. A line that holds the separator itself is
     escaped first, by characters that the patterns treat alike, and its groups are turned back.
     """
+    held = line.contains(MARK) | line.contains(ESCAPE)
+
     def hidden(x: Column) -> Column:
-        return F.replace(F.replace(x, F.lit(ESCAPE), F.lit(ESCAPE + "a")), F.lit(MARK), F.lit(ESCAPE + "b"))
+        return F.when(held, F.replace(F.replace(x, F.lit(ESCAPE), F.lit(ESCAPE + "a")), F.lit(MARK), F.lit(ESCAPE + "b"))).otherwise(x)
 
     def shown(x: Column) -> Column:
         return F.replace(F.replace(x, F.lit(ESCAPE + "b"), F.lit(MARK)), F.lit(ESCAPE + "a"), F.lit(ESCAPE))
@@ -55,7 +57,8 @@ def _match(df: DataFrame, line: Column, pattern: str, fields: Sequence[str], out
     rewritten = F.regexp_replace(hidden(line), pattern, MARK.join(f"${i + 1}" for i in range(len(fields))))
     parts = F.split(rewritten, MARK, -1)
     once = df.select("*", F.explode(F.array(parts if only is None else F.when(only, parts))).alias("__parts"))
-    named = F.struct(*[shown(F.get("__parts", F.lit(i))).alias(f) for i, f in enumerate(fields)])
+    plain = F.struct(*[F.get("__parts", F.lit(i)).alias(f) for i, f in enumerate(fields)])
+    named = F.when(held, F.struct(*[shown(F.get("__parts", F.lit(i))).alias(f) for i, f in enumerate(fields)])).otherwise(plain)
     return once.withColumn(out, F.when(F.size("__parts") == len(fields), named)).drop("__parts")
 
 
@@ -101,10 +104,10 @@ def parse_access_logs(lines: DataFrame, c: str = "value", keep: Sequence[str] =
     )
 
 
-def split_rejects(parsed: DataFrame, c: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Parsed rows, and the raw lines of the quarantine."""
+def split_rejects(parsed: DataFrame, c: str = "value", keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Parsed rows, and the raw lines of the quarantine with the columns to ``keep`` (file and line number, say)."""
     good = parsed.filter(F.col("log_format").isNotNull()).drop(c)
-    return good, parsed.filter(F.col("log_format").isNull()).select(c)
+    return good, parsed.filter(F.col("log_format").isNull()).select(*keep, c)
 
 
 def combined_table(parsed: DataFrame) -> DataFrame:
@@ -171,7 +174,8 @@ def parse_reject_records(
 ) -> DataFrame:
     """Records ``id@@line@@message``; others are dropped. Values of mixed type keep their raw text."""
     rows = read_lines(lines, c).withColumn("__p", F.split(F.col(c), "@@", -1)).filter(F.size("__p") == 3)
-    rows = _match(rows, F.col("__p")[1], REJECTED, REJECT_FIELDS, "__m").filter(F.col("__m").isNotNull())
+    middle = F.col("__p")[1]
+    rows = _match(rows, middle, REJECTED, REJECT_FIELDS, "__m", only=middle.contains('] "')).filter(F.col("__m").isNotNull())
     m = F.col("__m")
     number = r"^\d*\.?\d*$"
     seconds = F.when(m["response_time"].rlike(number), m["response_time"].try_cast("double"))

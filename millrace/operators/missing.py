@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.aggregates import exact_quantile, mode_of
+from millrace.operators.aggregates import mode_of, quantiles
 
 
 def nan_to_null(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -82,11 +82,12 @@ def drop_null_columns(df: DataFrame) -> DataFrame:
 
 
 def statistic(df: DataFrame, c: str, how: str) -> Column:
-    """Mean, exact median or mode of a column, as a value that can be used inside expressions."""
+    """Mean, exact median or mode of a column, as a value that can be used inside expressions; NaN is a gap."""
+    df = nan_to_null(df, [c])
     if how == "mean":
         return df.agg(F.avg(c)).scalar()
     if how == "median":
-        return F.lit(exact_quantile(df, c))
+        return quantiles(df, [c]).agg(F.first("value")).scalar()
     if how == "mode":
         return mode_of(df, c).scalar()
     raise ValueError(f"unknown statistic {how}")

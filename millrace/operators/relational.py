@@ -126,6 +126,11 @@ def page(df: DataFrame, order: Sequence[Column], page_no: int, page_size: int) -
     return df.orderBy(*order).offset((page_no - 1) * page_size).limit(page_size)
 
 
+def page_of(ranked: DataFrame, rank: str, page_no: int, page_size: int) -> DataFrame:
+    """One page of every group of a ranked result, by its rank from 1."""
+    return ranked.filter(F.col(rank).between((page_no - 1) * page_size + 1, page_no * page_size))
+
+
 def page_after(df: DataFrame, key: str, last, page_size: int) -> DataFrame:
     """Next page after a known key: the cost does not grow with the depth of the page."""
     return df.filter(F.col(key) > F.lit(last)).orderBy(key).limit(page_size)
@@ -155,8 +160,15 @@ def unique_names(
 
     The first row of a name keeps it. A repeat whose candidate is already a name of the table, or was given to another
     row, takes the next free number of its own name, in further rounds over the rows that are left; so no name
-    occurs twice. Null names stay null.
+    occurs twice. Null names stay null. A candidate can only be taken by a name of the table that is another name of the table
+    and a number; where there is none, one numbering is all the work.
     """
+    ends = F.regexp_extract(F.col(name), r"^(.*)-(?:[2-9]|[1-9][0-9]+)$", 1)
+    cut = df.filter(F.col(name).rlike(r"-(?:[2-9]|[1-9][0-9]+)$")).select(ends.alias("__cut")).distinct()
+    if semi(cut, df, "__cut", name).isEmpty():
+        number = F.col("__n").cast("string")
+        given = F.when(F.col("__n") == 1, F.col(name)).otherwise(F.concat(F.col(name), F.lit("-"), number))
+        return numbered(df, [name], [F.col(id_col)], "__n", F.col(id_col), piece_rows).withColumn(out, given).drop("__n")
     first = settle(numbered(df, [name], [F.col(id_col)], "__n", F.col(id_col), piece_rows).withColumn(
         out, F.when(F.col("__n") == 1, F.col(name))), "names")
     done, rest = first.filter(F.col(out).isNotNull() | F.col(name).isNull()), first.filter((F.col("__n") > 1) & F.col(name).isNotNull())

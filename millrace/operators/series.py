@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import col
 from millrace.functions.temporal import floor_minutes, micros, month_end, quarter_end
 from millrace.operators.missing import nan_to_null
+from millrace.operators.relational import agg_spec
 from millrace.operators.split import PIECE_ROWS, join_on, neighbours
 
 MINUTES = {"30min": 30, "h": 60}
@@ -58,9 +59,7 @@ def resample(
 ) -> DataFrame:
     """Aggregate per period. Empty periods between the first and the last one appear, with sums of 0
     and other aggregates null."""
-    grouped = df.groupBy(*keys, period_label(ts, freq).alias(out)).agg(
-        *[F.call_function(fn, F.col(c)).alias(c) for c, fn in spec.items()]
-    )
+    grouped = agg_spec(df, [*keys, period_label(ts, freq).alias(out)], spec)
     labels = spine_of(grouped, keys, out, freq)
     full = join_on(labels, grouped, [*keys, out])
     return full.fillna(0, subset=[c for c, fn in spec.items() if fn == "sum"])

@@ -108,6 +108,19 @@ def reconcile(t: Tables) -> DataFrame:
     )
 
 
+@query("reconcile_digests", """
+select o_orderkey as key, cast(1 as bigint) as only_a, cast(case when o_orderkey % 3001 = 8 then 0 else 1 end as bigint) as only_b
+from orders where o_orderkey % 3001 in (7, 8)
+union all select -o_orderkey, 0, 1 from orders where o_orderkey % 3001 = 9""")
+def reconcile_digests(t: Tables) -> DataFrame:
+    """A copy of the orders with changed, lost and added rows against the original."""
+    names = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"]
+    rows, kind = t.orders.select(*names), F.col("o_orderkey") % 3001
+    changed = rows.filter(kind != 8).withColumn("o_totalprice", F.when(kind == 7, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    added = rows.filter(kind == 9).withColumn("o_orderkey", -F.col("o_orderkey"))
+    return quality.reconcile_digests(rows, changed.unionByName(added), "o_orderkey", names)[0]
+
+
 @query("reconcile_counts", """
 select (select count(*) from documents) as rows_a, (select count(*) from labels) as rows_b,
  (select count(*) from documents where doc_id not in (select doc_id from labels)) as only_a,

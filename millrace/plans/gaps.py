@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import half_even
 from millrace.operators import chained, missing, nearest_fill
+from millrace.operators.aggregates import quantiles
 from millrace.plans.registry import Tables, query
 
 HOLES = """(select p_partkey, p_name, case when p_partkey % 7 = 0 then null else p_retailprice end as price,
@@ -96,10 +97,24 @@ def impute_cond(t: Tables) -> DataFrame:
 
 @query("median_price", "select median(o_totalprice) as median_price from orders")
 def median_price(t: Tables) -> DataFrame:
-    from millrace.operators.aggregates import exact_quantile
+    return quantiles(t.orders, ["o_totalprice"]).select(F.col("value").alias("median_price"))
 
-    value = exact_quantile(t.orders, "o_totalprice", 0.5, small=1_000)
-    return t.spark.range(1).select(F.lit(value).cast("double").alias("median_price"))
+
+@query("group_medians", """
+select l_returnflag, l_linestatus, column_name, count(x) as n, round_even(median(x) * 1e6, 0) / 1e6 as value from (
+ unpivot (select l_returnflag, l_linestatus, l_quantity, l_extendedprice, l_discount, l_tax, cast(l_suppkey as double) as l_suppkey from lineitem)
+ on l_quantity, l_extendedprice, l_discount, l_tax, l_suppkey into name column_name value x) group by all""")
+def group_medians(t: Tables) -> DataFrame:
+    """Exact medians of five columns per group."""
+    found = quantiles(t.lineitem, ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_suppkey"], ["l_returnflag", "l_linestatus"])
+    return found.withColumn("value", half_even("value", 6))
+
+
+@query("group_deciles", """
+select o_orderpriority, 'o_totalprice' as column_name, count(*) as n, round_even(quantile_cont(o_totalprice, 0.9) * 1e4, 0) / 1e4 as value
+from orders group by 1""")
+def group_deciles(t: Tables) -> DataFrame:
+    return quantiles(t.orders, ["o_totalprice"], ["o_orderpriority"], 0.9).withColumn("value", half_even("value", 4))
 
 
 def _measures(t: Tables) -> DataFrame:

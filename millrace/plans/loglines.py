@@ -11,7 +11,8 @@ from millrace.operators import documents as docs
 from millrace.operators import logs
 from millrace.operators.relational import compare_versions
 from millrace.plans.registry import Tables, query
-from millrace.session import settle
+from millrace.session import scratch, settle
+from millrace.sources import files
 
 STAMP = "strftime(ts, '%d/%b/%Y:%H:%M:%S') || ' +0000'"
 STATUS = "case event_id % 4 when 0 then '200' when 1 then '404' when 2 then '500' else '301' end"
@@ -94,9 +95,29 @@ def access_log_parse(t: Tables) -> DataFrame:
     return logs.split_rejects(parsed(t))[0]
 
 
-@query("log_reject_split", f"select value from {PARSED} where not (a or b)")
+#: Lines of one file.
+FILE_LINES = 2000
+
+
+@query("log_reject_split", f"""
+select event_id // {FILE_LINES} as part, line, value from (select *, regexp_matches(value, '{BASE}$') as a,
+ regexp_matches(value, '{BASE} "([^"]*)" (\\S+)$') and regexp_extract(value, '{BASE}', 2) = '-' as b from (
+ select event_id, row_number() over (partition by event_id // {FILE_LINES} order by event_id) as line, value from {LINES})
+ where trim(value) <> '') where not (a or b)""")
 def log_reject_split(t: Tables) -> DataFrame:
-    return logs.split_rejects(parsed(t))[1]
+    """Rejected lines of many files with the number of each in its file (blank lines count)."""
+    numbered = files.read_numbered_lines(t.spark, numbered_files(t, lines(t), "event_id", FILE_LINES))
+    parsed = logs.parse_access_logs(numbered, keep=["file", "line"])
+    rejects = logs.split_rejects(parsed, keep=["file", "line"])[1]
+    return rejects.select(F.regexp_extract("file", r"part=(\d+)", 1).cast("long").alias("part"), "line", "value")
+
+
+def numbered_files(t: Tables, rows: DataFrame, key: str, size: int) -> str:
+    """Write lines (``value``) into one file per ``size`` keys, in the order of the key."""
+    path = scratch(t.spark, "lines")
+    dealt = rows.withColumn("part", F.floor(F.col(key) / size).cast("long")).repartition("part").sortWithinPartitions("part", key)
+    dealt.select("part", "value").write.partitionBy("part").text(path)
+    return path
 
 
 @query("log_parse_report", f"""

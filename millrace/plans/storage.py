@@ -52,12 +52,14 @@ def csv_first_upper(t: Tables) -> DataFrame:
     return files.with_first_upper(files.read_table(t.spark, path, "csv"))
 
 
-@query("text_lines", "select value from (select p_name || '|' || p_partkey as value from part)")
+@query("text_lines", """
+select p_partkey // 700 as part, row_number() over (partition by p_partkey // 700 order by p_partkey) as line,
+ p_name || '|' || p_partkey as value from part""")
 def text_lines(t: Tables) -> DataFrame:
-    path = scratch(t.spark, "text")
-    lines = t.part.select(F.concat_ws("|", "p_name", F.col("p_partkey").cast("string")).alias("value"))
-    files.write_table(lines, path, "text")
-    return files.read_lines(t.spark, path).select("value")
+    """Lines of many files with the number of each in its file."""
+    lines = t.part.select("p_partkey", F.concat_ws("|", "p_name", F.col("p_partkey").cast("string")).alias("value"))
+    read = files.read_numbered_lines(t.spark, loglines.numbered_files(t, lines, "p_partkey", 700))
+    return read.select(F.regexp_extract("file", r"part=(\d+)", 1).cast("long").alias("part"), "line", "value")
 
 
 @query("json_array_scan", "select p_partkey as id, p_name as name from part")
@@ -118,16 +120,21 @@ def create_table_as(t: Tables) -> DataFrame:
     return t.spark.table(name)
 
 
-@query("file_sizes", "select true as has_files, true as gzip_smaller, true as whole_size")
+@query("file_sizes", """
+select p_brand as brand, sum(strlen(p_name || '|' || p_partkey) + 1)::bigint as length,
+ case when length >= 1048576 then printf('%.2f MB', length / 1048576) when length >= 1024 then printf('%.2f KB', length / 1024) else printf('%d bytes', length) end as display, true as gzip_smaller
+from part group by 1""")
 def file_sizes(t: Tables) -> DataFrame:
+    """Sizes of the files of each brand, whatever number of them, and whether compressed copies are smaller in all."""
     plain, packed = scratch(t.spark, "plain"), scratch(t.spark, "packed")
-    files.write_table(t.orders, plain, "csv")
-    files.write_table(t.orders, packed, "csv", compression="gzip")
-    sizes = files.file_sizes(t.spark, plain).agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes"))
+    rows = t.part.select("p_brand", F.concat_ws("|", "p_name", F.col("p_partkey").cast("string")).alias("value"))
+    for path, compression in ((plain, None), (packed, "gzip")):
+        files.write_table(rows, path, "text", partition_by=["p_brand"], compression=compression)
+    brand = F.url_decode(F.regexp_extract("path", r"p_brand=([^/]*)/", 1)).alias("brand")
+    sizes = files.file_sizes(t.spark, plain).groupBy(brand).agg(F.sum("length").alias("length"))
+    whole = files.file_sizes(t.spark, plain).agg(F.sum("length")).scalar()
     other = files.file_sizes(t.spark, packed).agg(F.sum("length")).scalar()
-    return sizes.select(
-        (F.col("n") > 0).alias("has_files"), (other < F.col("bytes")).alias("gzip_smaller"), (F.col("bytes") > 1000).alias("whole_size")
-    )
+    return sizes.select("brand", "length", files.shown_size("length").alias("display"), (other < whole).alias("gzip_smaller"))
 
 
 # ---- streams ----
@@ -172,13 +179,16 @@ def log_stream(t: Tables) -> DataFrame:
     return kept.unionByName(t.spark.read.text(bad).agg(n).select(F.lit("bad").alias("kind"), "n"))
 
 
-@query("keyed_load_stream", "select p_name as title, min(p_partkey) as id from part group by 1")
+@query("keyed_load_stream", """
+select p_name as title, coalesce(min(case when p_partkey < 50 then p_partkey end), min(case when p_partkey % 2 = 0 then p_partkey end),
+ min(p_partkey)) as id from part group by 1""")
 def keyed_load_stream(t: Tables) -> DataFrame:
     source = scratch(t.spark, "parts")
     rows = t.part.select(F.col("p_name").alias("title"), F.col("p_partkey").alias("id"))
     meta, ids, mark = (scratch(t.spark, x) for x in ("meta", "ids", "load-state"))
     tables = {"meta": (meta, ["title", "id"]), "ids": (ids, ["title"])}
-    for half in (F.col("id") < 50, F.col("id") >= 50):  # each arrival is a batch of the same stream
-        files.write_table(rows.filter(half), source, "parquet", mode="append")
+    # Four arrivals, each a batch of the same stream, which starts anew every time; the last one repeats the first.
+    for arrival in (F.col("id") < 50, F.col("id") % 2 == 0, F.col("id") >= 50, F.col("id") < 50):
+        files.write_table(rows.filter(arrival), source, "parquet", mode="append")
         jobs.keyed_load(jobs.stream_files(t.spark, source, rows), tables, "title", "id", mark).awaitTermination()
     return t.spark.read.parquet(meta).select("title", "id")

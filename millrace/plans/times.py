@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import temporal as tm
 from millrace.functions.columns import cents, exact_sum, half_even, money
-from millrace.operators import series
+from millrace.operators import relational, series
 from millrace.plans.registry import Tables, query
 
 
@@ -113,6 +113,16 @@ def resample_hour(t: Tables) -> DataFrame:
                         F.try_divide(total, F.col("n")).alias("avg_value"))
 
 
+@query("agg_spec_means", """
+select l_returnflag, round_even(avg(l_quantity), 6) as l_quantity, round_even(avg(l_discount), 6) as l_discount,
+ round_even(avg(l_tax), 6) as l_tax, cast(sum(l_linenumber) as bigint) as l_linenumber from lineitem group by 1""")
+def agg_spec_means(t: Tables) -> DataFrame:
+    """One function per column: mean, mean, mean, sum."""
+    spec = {"l_quantity": "mean", "l_discount": "mean", "l_tax": "mean", "l_linenumber": "sum"}
+    found = relational.agg_spec(t.lineitem, ["l_returnflag"], spec)
+    return found.withColumns({c: half_even(c, 6) for c in ("l_quantity", "l_discount", "l_tax")})
+
+
 GAPPY = "select cast(o_orderdate as date) as day, o_totalprice from orders where month(o_orderdate) not in (2, 4, 5, 6)"
 
 

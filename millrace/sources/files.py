@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from millrace.session import settle
+
 
 def read_table(
     spark: SparkSession, path: str | list[str], fmt: str, schema: str | StructType | None = None, **options
@@ -57,6 +59,31 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file_name"))
 
 
+#: Counts per block of a text scan are broadcast only if there are at most so many blocks.
+BLOCKS = 200_000
+
+
+def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Text lines with the path of their file and their number in it, from 1: file, line, value.
+
+    Files are read in blocks by many tasks. A first pass counts the lines of each block, prefix sums over the blocks of a file say how
+    many lines came before, and a second pass numbers the lines inside their block; no task ever sees a whole file.
+    """
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"))
+    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = lines.groupBy("file", "start").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first")).select(
+        F.col("file").alias("__file"), F.col("start").alias("__start"), "n", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    stored = settle(blocks, "blocks")
+    few = F.broadcast(stored) if stored.count() <= BLOCKS else stored
+    inside = F.col("at") - F.col("first")
+    # The same scan is cut into the same blocks; should it ever not be, the job ends instead of giving wrong numbers.
+    checked = F.when(F.assert_true(inside.between(0, F.col("n") - 1), "blocks have changed between two scans").isNull(), inside)
+    joined = lines.join(few, (F.col("file") == F.col("__file")) & (F.col("start") == F.col("__start")), "left")
+    return joined.select("file", (F.col("before") + checked + 1).alias("line"), "value")
+
+
 def spread(scan: DataFrame, *keys: str) -> DataFrame:
     """Give a scan of few splits one partition per core, for work that is heavy per row.
 
@@ -110,12 +137,18 @@ def file_sizes(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     n = F.col("length")
     return files.select("path", "length").withColumns({
-        "kilobytes": n / 1024, "megabytes": n / 1024**2, "gigabytes": n / 1024**3,
-        "display": F.when(n >= 1024**3, F.format_string("%.2f GB", n / 1024**3))
+        "kilobytes": n / 1024, "megabytes": n / 1024**2, "gigabytes": n / 1024**3, "display": shown_size("length")})
+
+
+def shown_size(c: str) -> Column:
+    """A number of bytes in the unit that fits."""
+    n = F.col(c)
+    return (
+        F.when(n >= 1024**3, F.format_string("%.2f GB", n / 1024**3))
         .when(n >= 1024**2, F.format_string("%.2f MB", n / 1024**2))
         .when(n >= 1024, F.format_string("%.2f KB", n / 1024))
-        .otherwise(F.format_string("%d bytes", n)),
-    })
+        .otherwise(F.format_string("%d bytes", n))
+    )
 
 
 def total_size(spark: SparkSession, path: str) -> int | None:

@@ -4,14 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
 
 from millrace.functions.columns import band
-from millrace.operators.documents import new_keys_only
 from millrace.operators.logs import parse_access_logs, split_rejects
 
 
@@ -67,40 +64,38 @@ def tail_logs(lines: DataFrame, good_path: str, bad_path: str, checkpoint: str)
     )
 
 
-def _stored(spark: SparkSession, path: str, like: DataFrame, number: int) -> DataFrame:
-    """What earlier batches stored (not this one, should it be repeated)."""
-    try:
-        table = spark.read.schema(StructType([*like.schema.fields, StructField("batch", LongType())])).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":  # a changed schema or an unreadable folder is no empty store
-            raise
-        return like.limit(0)
-    return table.filter(F.col("batch") != number).drop("batch")
+def first_seen(stream: DataFrame, key: str, order: str) -> DataFrame:
+    """The state of a keyed load: per key the first row by ``order`` so far, and the times of its first and its last batch.
+
+    The rows of a batch are combined before they are shuffled; of all earlier batches only one row per key is kept, as state, so
+    a batch costs the batch. The time is the batch's own, which a repeated batch keeps.
+    """
+    rest = [c for c in stream.columns if c != key]
+    first = F.struct(F.col(order).isNull().alias("none"), F.col(order).alias("at"))
+    timed = stream.filter(F.col(key).isNotNull()).withColumn("__now", F.current_timestamp())
+    return timed.groupBy(key).agg(F.min_by(F.struct(*rest), first).alias("__row"), F.min("__now").alias("__first"), F.max("__now").alias("__last"))
 
 
 def keyed_load(
     stream: DataFrame, tables: Mapping[str, tuple[str, Sequence[str]]], key: str, order: str, checkpoint: str
 ) -> StreamingQuery:
-    """Load each batch into several keyed tables: ``{name: (path, columns)}``.
+    """Load a stream into several keyed tables: ``{name: (path, columns)}``.
 
-    Keys already stored, and repeats within the batch, are skipped; a repeated batch replaces itself.
+    A key is loaded with the batch that first holds it, with its first row there by ``order``; later rows of the key are skipped,
+    as the stream's state knows its keys. Nothing that is stored is read again. A repeated batch writes its folder anew. A
+    row without a key is left out: it could not be recognised later.
     """
-
     def store(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        held = batch.persist()
+        fresh = batch.filter("__first = __last").select(key, "__row.*").persist()
         try:
             for path, columns in tables.values():
-                rows = held.select(*columns, *([order] if order not in columns else []))
-                old = _stored(spark, path, held.select(*columns), number)
-                fresh = new_keys_only(old, rows, key, order).select(*columns)
-                fresh.write.mode("overwrite").parquet(f"{path}/batch={number}")
+                fresh.select(*columns).write.mode("overwrite").parquet(f"{path}/batch={number}")
         finally:
-            held.unpersist()
+            fresh.unpersist()
 
     return (
-        stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
+        first_seen(stream, key, order).writeStream.outputMode("update").foreachBatch(store)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
 
 

@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from millrace.operators import aggregates as agg
 from millrace.operators import documents as docs
 from millrace.operators import missing, quality, series, split
 from millrace.operators import relational as rel
+from millrace.session import settle
 
 
 @pytest.fixture(scope="module")
@@ -328,3 +330,84 @@ def test_large_primes(spark):
     df = spark.createDataFrame([(n,) for n in numbers], "n long")
     got = {r["n"] for r in df.filter(is_prime("n")).collect()}
     assert got == {2, 3, 997, 999_999_999_989, 10**12 + 39, 2**61 - 1, 1_000_003}
+
+
+@pytest.mark.parametrize("accuracy", [10_000, 100])
+@pytest.mark.parametrize("q", [0.0, 0.1, 0.5, 0.9, 1.0])
+def test_quantiles_of_many_columns(spark, accuracy, q):
+    """Groups of all sizes, ties, nulls, NaN, infinities, a null group, a column that is all null."""
+    from millrace.operators.aggregates import quantiles
+
+    rng = np.random.default_rng(3)
+    rows = []
+    for g, n in ((None, 5), ("one", 1), ("small", 7), ("ties", 4000), ("wide", 6000)):
+        x = rng.integers(0, 3, n) if g == "ties" else rng.normal(size=n) ** 3
+        rows += [(g, float(v), float(v) if i % 3 else None, float("nan") if i % 4 == 0 else float(i), None) for i, v in enumerate(x)]
+    rows += [("inf", float("inf"), 1.0, -float("inf"), None), ("inf", 2.0, None, 0.0, None), ("inf", 3.0, None, 1.0, None)]
+    df = spark.createDataFrame(rows, "g string, a double, b double, c double, d double").repartition(7)
+    got = {(r["g"], r["column_name"]): (r["n"], r["value"]) for r in quantiles(df, ["a", "b", "c", "d"], ["g"], q, accuracy).collect()}
+    want = {}
+    for at, name in enumerate("abcd", 1):
+        for g in {r[0] for r in rows}:
+            values = sorted(r[at] for r in rows if r[0] == g and r[at] is not None and not np.isnan(r[at]))
+            if values:
+                place = q * (len(values) - 1)
+                lo, hi = values[int(np.floor(place))], values[int(np.ceil(place))]
+                want[g, name] = len(values), lo + (hi - lo) * (place - np.floor(place))
+    assert set(got) == set(want)
+    for k, (n, value) in want.items():
+        assert got[k][0] == n and (got[k][1] == pytest.approx(value, abs=1e-12) or np.isnan(value) and np.isnan(got[k][1])), k
+
+
+def test_quantiles_in_few_jobs(spark):
+    """One plan: no job runs while it is built, and the whole result takes at most three."""
+    from millrace.operators.aggregates import quantiles
+
+    df = spark.range(0, 200_000, 1, 4).select((F.col("id") % 5).alias("g"), *[F.rand(i).alias(f"c{i}") for i in range(5)])
+    df = settle(df, "columns")
+    group = "quantile-jobs"
+    spark.sparkContext.setJobGroup(group, group)
+    tracker = spark.sparkContext.statusTracker()
+    plan = quantiles(df, [f"c{i}" for i in range(5)], ["g"])
+    assert len(tracker.getJobIdsForGroup(group)) == 0
+    before = plan._jdf.queryExecution().executedPlan().toString()
+    assert before.count("Scan parquet") == 2 and plan.count() == 25
+    between = [r for r in plan.collect() if not 0.45 < r["value"] < 0.55]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not between
+
+
+def test_reconcile_by_digests(spark, rows):
+    from millrace.operators import quality
+
+    names = ["k", "v", "w"]
+    a = spark.range(0, 20_000, 1, 5).select(F.col("id").alias("k"), (F.col("id") % 7).alias("v"), F.when(F.col("id") % 3 > 0, "t").alias("w"))
+    b = a.filter("k <> 11").withColumn("v", F.when(F.col("k") == 77, F.lit(None)).otherwise(F.col("v"))).unionByName(
+        a.filter("k = 500")).unionByName(spark.createDataFrame([(None, 1, "x")], a.schema))
+    found, read = quality.reconcile_digests(a.repartition(3), b, "k", names)
+    assert rows(found) == sorted([(11, 1, 0), (77, 1, 1), (500, 0, 1), (None, 0, 1)], key=repr)
+    assert read.count() < 0.01 * (a.count() + b.count())
+    same, none = quality.reconcile_digests(a, a.repartition(9), "k", names)
+    assert same.count() == 0 and none.count() == 0
+    everything, _ = quality.reconcile_digests(a.limit(0), a.limit(30), "k", names)
+    assert everything.count() == 30
+
+
+def test_equal_documents_have_ids_of_their_own(spark):
+    from millrace.operators import documents as docs
+
+    df = spark.createDataFrame([(1, "a")] * 5 + [(2, "b"), (None, None), (None, None)], "x int, y string").repartition(4)
+    got = [r["_id"] for r in docs.with_ids(df).collect()]
+    assert len(set(got)) == 8
+    alone = {r["_id"] for r in docs.with_ids(df.distinct()).collect()}
+    assert len(alone) == 3 and alone <= set(got)
+
+
+def test_last_pair_wins_in_order(spark):
+    from millrace.functions import payload
+
+    rows = [(["b", "a", "b", "c", "a"], ["1", "2", "3", None, "5"]), ([], []), (["x"], ["y"]), ([f"k{i % 900}" for i in range(2000)], [str(i) for i in range(2000)])]
+    got = [r[0] for r in spark.createDataFrame(rows, "k array<string>, v array<string>").select(payload.pairs_to_map("k", "v")).collect()]
+    for (keys, values), m in zip(rows, got, strict=True):
+        assert m == dict(zip(keys, values, strict=True))
+    assert list(got[0]) == ["b", "c", "a"]

@@ -160,6 +160,54 @@ def test_keyed_load_survives_a_repeat(spark):
     assert sorted((r["k"], r["id"]) for r in spark.read.parquet(target).collect()) == [("a", 1), ("b", 3)]
 
 
+def test_keyed_load_over_restarts(spark):
+    """Four arrivals, each after a restart: a key is loaded once, the first row by order within its first batch wins, null keys and null
+    orders have their place, a batch whose commit was lost is written again with the same rows."""
+    import os
+
+    kind = "k string, at int, v string"
+    source, target, mark = scratch(spark, "in"), scratch(spark, "table"), scratch(spark, "state")
+    arrivals = [[("a", 5, "x"), ("a", 2, "y"), (None, 1, "z")], [("b", None, "none"), ("b", 9, "nine"), ("a", 0, "late")], [],
+                [("c", 1, "c"), ("a", 2, "y"), ("b", 1, "late")]]
+    stored = []
+    for number, rows in enumerate(arrivals):
+        spark.createDataFrame(rows, kind).repartition(3).write.mode("append").parquet(source)
+        for again in range(2 if number == 3 else 1):
+            if again:  # as if the driver had died before it noted the batch as done
+                commits = mark.removeprefix("file:") + "/commits"
+                last = max((n for n in os.listdir(commits) if n.isdigit()), key=int)
+                for name in (last, f".{last}.crc"):
+                    if os.path.exists(f"{commits}/{name}"):
+                        os.remove(f"{commits}/{name}")
+            jobs.keyed_load(jobs.stream_files(spark, source, spark.createDataFrame([], kind)), {"t": (target, ["k", "at", "v"])}, "k", "at",
+                            mark).awaitTermination()
+            stored.append(sorted(tuple(r) for r in spark.read.parquet(target).select("k", "at", "v").collect()))
+    assert stored[0] == [("a", 2, "y")] and stored[1] == stored[2] == [("a", 2, "y"), ("b", 9, "nine")]
+    assert stored[3] == stored[4] == [("a", 2, "y"), ("b", 9, "nine"), ("c", 1, "c")]
+
+
+def test_line_numbers_over_many_blocks(spark):
+    """Files of many blocks, empty lines, a last line without an end, an empty file."""
+    import os
+
+    path = scratch(spark, "lines").removeprefix("file:")
+    os.makedirs(path)
+    texts = {"a.txt": [f"line {i} " + "x" * (i % 70) for i in range(3000)], "b.txt": ["", "only", "", "end"], "c.txt": [f"{i}" for i in range(900)]}
+    for name, lines in texts.items():
+        with open(f"{path}/{name}", "w") as out:
+            out.write("\n".join(lines))
+    open(f"{path}/empty.txt", "w").close()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        numbered = files.read_numbered_lines(spark, path)
+        assert numbered.rdd.getNumPartitions() > 20
+        got = {(os.path.basename(r["file"]), r["line"]): r["value"] for r in numbered.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {(name, i): line for name, lines in texts.items() for i, line in enumerate(lines, 1)}
+    assert files.read_numbered_lines(spark, f"{path}/empty.txt").count() == 0
+
+
 @pytest.mark.parametrize("stream", [False, True])
 def test_alerts(spark, stream):
     rows = spark.createDataFrame([(1, 16.0), (2, 33.0), (3, 17.0), (4, 1.0)], "i int, rate double")

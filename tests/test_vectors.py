@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import vectors as vf
 from millrace.operators import vectors as vec
-from millrace.session import scratch
+from millrace.session import scratch, settle
 
 
 @pytest.fixture(scope="module")
@@ -26,36 +26,96 @@ def direct(x, metric, k):
     out = []
     for q in (0, 7, 12):
         s = x @ x[q] if metric == "ip" else -np.sum((x - x[q]) ** 2, axis=1)
-        s = np.round(s, 9)
         out += [(q, int(i), r + 1) for r, i in enumerate(np.lexsort((np.arange(len(x)), -s))[:k])]
     return out
 
 
 @pytest.mark.parametrize("metric", ["ip", "l2"])
-@pytest.mark.parametrize("block_bytes", [1 << 20, 200])
-def test_exact_search(base, queries, metric, block_bytes, monkeypatch):
-    """Same result for one block of queries and for several; copies are ordered by id."""
-    if block_bytes == 200:
-        monkeypatch.setattr(vec, "FEW", 1)
-    hits = vec.knn_exact(queries, base[0], 6, metric, block_bytes=block_bytes)
+@pytest.mark.parametrize("parts", [(1024, 16_384, 2048), (2, 30, 7)])
+def test_exact_search(base, queries, metric, parts, monkeypatch):
+    """Same result for one task and for a grid of many; copies are ordered by id."""
+    for name, value in zip(("QUERIES", "BASE", "PACK"), parts, strict=True):
+        monkeypatch.setattr(vec, name, value)
+    hits = vec.knn_exact(queries, base[0], 6, metric)
     got = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in hits.collect())
     assert [(q, i, r) for q, r, i in got] == direct(base[1], metric, 6)
 
 
-def test_all_cells_equal_exact(base, queries):
-    index = vec.ivf_build(base[0], nlist=9, seed=1)
-    assert index.sizes().agg(F.sum("n")).first()[0] == 400
-    exact = {tuple(r) for r in vec.knn_exact(queries, base[0], 5).collect()}
-    assert {tuple(r) for r in vec.ivf_search(queries, index, 5, nprobe=9).collect()} == exact
-    some = {tuple(r)[:2] for r in vec.ivf_search(queries, index, 5, nprobe=4).collect()}
-    assert len(some & {r[:2] for r in exact}) >= 7
+def test_queries_stay_in_the_executors(base, queries):
+    """Neither side is collected or sent whole: the plan has no broadcast of vectors, and no coalesce."""
+    import inspect
 
+    source = inspect.getsource(vec.knn_exact) + inspect.getsource(vec._meet) + inspect.getsource(vec._pack)
+    assert not any(word in source for word in (".collect(", "broadcast(", "coalesce("))
 
-def test_probed_cells_are_pruned(spark, base, queries):
-    index = vec.ivf_build(base[0], nlist=9, seed=1, path=scratch(spark, "ivf"))
-    plan = vec.ivf_search(queries, index, 5, nprobe=1)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [cell" in plan
-    assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+def test_text_ids_and_rows_without_numbers(spark):
+    rows = [("b", [1.0, 0.0]), ("a", [1.0, 0.0]), ("c", [float("nan"), 1.0]), ("d", None), (None, [9.0, 9.0]), ("e", [0.0, None])]
+    base = spark.createDataFrame(rows, "vec_id string, embedding array<double>")
+    asked = spark.createDataFrame([("q", [2.0, 1.0]), ("r", None)], "query_id string, vector array<float>")
+    assert [tuple(r) for r in vec.knn_exact(asked, base, 5).orderBy("rank").collect()] == [("q", "a", 2.0, 1), ("q", "b", 2.0, 2)]
+    with pytest.raises(Exception, match="dimensions"):
+        vec.knn_exact(asked, spark.createDataFrame([("x", [1.0])], "vec_id string, embedding array<double>"), 5).collect()
+
+
+@pytest.fixture(scope="module")
+def clusters(spark):
+    """Vectors around 12 places, one of them with most of the rows, in two halves."""
+    rng = np.random.default_rng(9)
+    places = rng.normal(size=(12, 10)) * 3
+    at = np.where(rng.random(1200) < 0.5, 0, rng.integers(0, 12, 1200))
+    x = (places[at] + rng.normal(size=(1200, 10)) * 0.4).astype(np.float32)
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<float>")
+    asked = df.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    return settle(df, "vectors"), settle(asked, "queries")
+
+
+@pytest.mark.parametrize("metric", ["ip", "l2"])
+def test_index_in_versions(spark, clusters, metric):
+    """Recall as promised after the build and after each batch, exact search exact, grown cells split, old versions readable."""
+    base, asked = clusters
+    path = scratch(spark, "index")
+    index = vec.CellIndex(spark, path)
+    first = index.build(base.filter("vec_id < 600"), cells=12, metric=metric, largest=150)
+    for low in (600, 900):
+        index = vec.CellIndex(spark, path)  # opened anew: all it knows is stored
+        before = index.store.version()
+        now = index.append(base.filter(f"vec_id >= {low} and vec_id < {low + 300}"))
+        rows = base.filter(f"vec_id < {low + 300}")
+        exact = settle(vec.knn_exact(asked, rows, 10, metric), "exact")
+        assert vec.recall(settle(index.search(asked), "found"), exact) >= 0.9
+        plain = lambda df: sorted((r["query_id"], r["rank"], r["vec_id"]) for r in df.collect())
+        assert plain(index.search(asked, visit=1, exact=True)) == plain(exact)
+        assert now.number == before.number + 1 and index.rows().select("vec_id").distinct().count() == index.rows().count() == low + 300
+    assert len(now.meta["centres"]) > len(first.meta["centres"])
+    assert index.sizes().agg(F.sum("n")).first()[0] == 1200
+    assert vec.CellIndex(spark, path).rows(1).count() == 600
+    reach = now.meta["reach"]
+    far = {r["cell"]: r["far"] for r in index.rows().groupBy("cell").agg(F.max("far").alias("far")).collect()}
+    assert all(reach[str(c)] == f for c, f in far.items())
+
+
+def test_index_prunes_cells(spark, clusters):
+    base, asked = clusters
+    index = vec.CellIndex(spark, scratch(spark, "index"))
+    made = index.build(base, cells=12)
+    assert made.meta["visit"] < len(made.meta["centres"])
+    one = index.search(asked, visit=1)
+    assert vec.recall(one, vec.knn_exact(asked, base, 10)) > 0.5
+    with pytest.raises(vec.Moved):
+        index.build(base, cells=12)
+
+
+def test_index_of_nothing_and_of_copies(spark, base):
+    none = base[0].limit(0)
+    index = vec.CellIndex(spark, scratch(spark, "index"))
+    index.build(none)
+    asked = base[0].limit(2).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    assert index.search(asked).count() == 0
+    same = vec.CellIndex(spark, scratch(spark, "index"))
+    same.build(base[0].filter("vec_id >= 300"), cells=3, largest=5)
+    same.append(base[0].filter("vec_id >= 300").withColumn("vec_id", F.col("vec_id") + 1000))
+    assert same.search(asked, k=4, exact=True).count() == 8
 
 
 def test_no_queries(base, queries):
