@@ -24,10 +24,16 @@ def _steps(path: str) -> list[str]:
     return path.split(".")
 
 
+def _segment(name: str) -> str:
+    """One step of a path; a name may hold quotes of one kind."""
+    if "'" in name and '"' in name:
+        raise ValueError(f"a field name with both kinds of quotes: {name}")
+    return f'["{name}"]' if "'" in name else f"['{name}']"
+
+
 def at(doc: Column | str, path: str) -> Column:
     """The value at a dotted path of field names, as VARIANT; null where there is none."""
-    place = "$" + "".join("['" + step.replace("\\", "\\\\").replace("'", "\\'") + "']" for step in _steps(path))
-    return F.try_variant_get(F.col(doc) if isinstance(doc, str) else doc, place, "variant")
+    return F.try_variant_get(F.col(doc) if isinstance(doc, str) else doc, "$" + "".join(map(_segment, _steps(path))), "variant")
 
 
 def kind(value: Column) -> Column:
@@ -110,7 +116,7 @@ def _fields(doc: Column) -> Column:
 def with_path(doc: Column, path: str, value: Column) -> Column:
     """The document with a value set at a path; objects on the way are made, and what is in the way and no object is replaced."""
     step, *rest = _steps(path)
-    inner = value.cast("variant") if not rest else with_path(F.try_variant_get(doc, "$['" + step.replace("'", "\\'") + "']", "variant"),
+    inner = value.cast("variant") if not rest else with_path(at(doc, step),
                                                             ".".join(rest), value)
     others = F.map_filter(_fields(doc), lambda k, _: k != F.lit(step))
     return F.to_variant_object(F.map_concat(others, F.create_map(F.lit(step), inner)))
@@ -123,7 +129,7 @@ def without_path(doc: Column, path: str) -> Column:
     if not rest:
         cut = F.to_variant_object(others)
     else:
-        inner = F.try_variant_get(doc, "$['" + step.replace("'", "\\'") + "']", "variant")
+        inner = at(doc, step)
         cut = F.to_variant_object(F.map_concat(others, F.create_map(F.lit(step), without_path(inner, ".".join(rest)))))
     return F.when(at(doc, path).isNotNull(), cut).otherwise(doc)
 
