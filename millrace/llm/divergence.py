@@ -34,7 +34,9 @@ SCALE, ADDED = 1_000_000_000, 5
 #: Terms that a source reports.
 TOP = 50
 #: Bytes of text in the blocks that a task holds open, and sources and terms of one comparison.
-BLOCK_BYTES = 24_000_000
+BLOCK_BYTES = 16_000_000
+#: Chunks of documents that a block expands to terms at a time.
+ENTRIES = 300_000
 SOURCES, TERMS = 256, 4096
 
 
@@ -177,29 +179,68 @@ def _named(packs: pd.DataFrame, able: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["at", "ids", "names", "times"])
 
 
-def _count(docs: pd.DataFrame, packs: pd.DataFrame) -> pd.DataFrame:
-    """A block's documents and the terms of its chunks -> lang, source, name, docs, n."""
-    columns = ["lang", "source", "name", "docs", "n"]
-    if not len(docs) or not len(packs):
-        return pd.DataFrame(columns=columns).astype({"name": "int64", "docs": "int64", "n": "int64"})
-    chunk, times = (np.concatenate([_unpacked(x) for x in packs[c]]) for c in ("ids", "times"))
-    names, term = np.unique(np.concatenate([np.frombuffer(x, np.int64) for x in packs["names"]]), return_inverse=True)
-    order = np.argsort(chunk, kind="stable")
-    chunk, term, times = chunk[order], term[order], times[order].astype(np.int64)
-    block = docs.iloc[0]
-    ids, counts, lengths, source = (_unpacked(block[c]) for c in ("ids", "counts", "lengths", "source"))
-    doc = np.repeat(np.arange(len(lengths)), lengths)
-    low = np.searchsorted(chunk, ids, "left")
-    width = np.searchsorted(chunk, ids, "right") - low
-    at = np.repeat(low - np.concatenate([[0], np.cumsum(width)[:-1]]), width) + np.arange(width.sum())
-    doc, n = np.repeat(doc, width), np.repeat(counts.astype(np.int64), width) * times[at]
-    held = np.unique(doc * len(names) + term[at])  # each term of a document once
-    cells, inverse = np.unique(source[doc] * np.int64(len(names)) + term[at], return_inverse=True)
-    found = np.bincount(np.searchsorted(cells, source[held // len(names)] * np.int64(len(names)) + held % len(names)), minlength=len(cells))
-    total = np.zeros(len(cells), np.int64)
-    np.add.at(total, inverse, n)
-    return pd.DataFrame({"lang": block["lang"], "source": np.array(block["sources"], object)[cells // len(names)],
-                         "name": names[cells % len(names)], "docs": found.astype(np.int64), "n": total})
+_CELLS = "lang string, slice int, sources array<string>, source binary, name binary, docs binary, n binary"
+
+
+def _summed(cells: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct cells with the sums of their values."""
+    order = np.argsort(cells, kind="stable")
+    cells = cells[order]
+    first = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]]) if len(cells) else np.zeros(0, np.int64)
+    return (cells[first], *[np.add.reduceat(v[order], first) if len(first) else v for v in values])
+
+
+def _count(slices: int):
+    """A block's documents and the terms of its chunks -> per slice of the terms the documents and occurrences of each source
+    and term."""
+
+    def run(docs: pd.DataFrame, packs: pd.DataFrame) -> pd.DataFrame:
+        columns = [c.split()[0] for c in _CELLS.split(", ")]
+        if not len(docs) or not len(packs):
+            return pd.DataFrame(columns=columns)
+        chunk, times = (np.concatenate([_unpacked(x) for x in packs[c]]) for c in ("ids", "times"))
+        names, term = np.unique(np.concatenate([np.frombuffer(x, np.int64) for x in packs["names"]]), return_inverse=True)
+        order = np.argsort(chunk, kind="stable")
+        chunk, term, times = chunk[order], term[order].astype(np.int64), times[order].astype(np.int64)
+        block, width = docs.iloc[0], np.int64(len(names))
+        ids, counts, lengths, source = (_unpacked(block[c]) for c in ("ids", "counts", "lengths", "source"))
+        starts = np.concatenate([[0], np.cumsum(lengths)])
+        found, at = [], 0
+        while at < len(lengths):  # some documents at a time, so that memory follows the block and not its expansion
+            end = max(at + 1, int(np.searchsorted(starts, starts[at] + ENTRIES, "right")) - 1)
+            here = slice(starts[at], starts[end])
+            low = np.searchsorted(chunk, ids[here], "left")
+            many = np.searchsorted(chunk, ids[here], "right") - low
+            where = np.repeat(low - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
+            doc = np.repeat(np.repeat(np.arange(at, end), lengths[at:end]), many)
+            key, n = _summed(doc * width + term[where], np.repeat(counts[here].astype(np.int64), many) * times[where])
+            found.append(_summed(source[key // width] * width + key % width, np.ones(len(key), np.int64), n))  # each term of a document once
+            at = end
+        cells, held, n = _summed(*[np.concatenate(x) for x in zip(*found, strict=True)])
+        name = names[cells % width]
+        of = (name ^ (name >> 33)) % slices
+        order = np.argsort(of, kind="stable")
+        out = []
+        for part in np.split(order, np.flatnonzero(np.diff(of[order])) + 1) if len(order) else []:
+            out.append((block["lang"], int(of[part[0]]), block["sources"], _packed(cells[part] // width), zstandard.compress(name[part].tobytes(), 1),
+                        _packed(held[part]), _packed(n[part])))
+        return pd.DataFrame(out, columns=columns)
+
+    return run
+
+
+def _added(rows: pd.DataFrame) -> pd.DataFrame:
+    """The blocks' counts of a language and slice -> lang, source, name, docs, n."""
+    known, source, name, docs, n = _Ids(), [], [], [], []
+    for row in rows.itertuples(index=False):
+        source.append(np.array([known[s] for s in row.sources])[_unpacked(row.source)])
+        name.append(np.frombuffer(zstandard.decompress(row.name), np.int64))
+        docs.append(_unpacked(row.docs).astype(np.int64))
+        n.append(_unpacked(row.n).astype(np.int64))
+    names, at = np.unique(np.concatenate(name), return_inverse=True)
+    cells, held, total = _summed(np.concatenate(source) * np.int64(len(names)) + at, np.concatenate(docs), np.concatenate(n))
+    return pd.DataFrame({"lang": rows["lang"].iloc[0], "source": np.array(list(known), object)[cells // len(names)],
+                         "name": names[cells % len(names)], "docs": held, "n": total})
 
 
 def term_counts(docs: DataFrame, least: int = LEAST_DOCS, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
@@ -222,8 +263,8 @@ def term_counts(docs: DataFrame, least: int = LEAST_DOCS, text: str = "text", la
     packs = split.filter("term IS NULL").select("slice", "block", "lang", "ids", "terms", "times")
     back = packs.groupBy("slice").cogroup(named.groupBy("of")).applyInPandas(_named, "at long, ids binary, names binary, times binary")
     held = blocks.filter("slice IS NULL").select("block", "lang", "ids", "counts", "lengths", "source", "sources")
-    part = held.groupBy("block").cogroup(back.groupBy("at")).applyInPandas(_count, "lang string, source string, name long, docs long, n long")
-    counted = settle(part.groupBy("lang", "source", "name").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n")), "counted")
+    part = held.groupBy("block").cogroup(back.groupBy("at")).applyInPandas(_count(slices), _CELLS)
+    counted = settle(part.groupBy("lang", "slice").applyInPandas(_added, "lang string, source string, name long, docs long, n long"), "counted")
     kept = counted.groupBy("name").agg(F.sum("docs").alias("__docs")).filter(F.col("__docs") >= least).select("name")
     words = able.join(kept, "name").select("name", "term")
     return counted.join(words, "name").select("lang", "source", "term", "docs", "n")
