@@ -128,6 +128,12 @@ def quantiles(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), q
     return picked.select(*by, "n", (F.col("lower") + (F.col("upper") - F.col("lower")) * (place - F.floor(place))).alias("value"))
 
 
+def exact_quantile(df: DataFrame, c: str, q: float = 0.5, accuracy: int = ACCURACY) -> float | None:
+    """The exact quantile of one column, as a number; None without values."""
+    row = quantiles(df, [c], q=q, accuracy=accuracy).first()
+    return row["value"] if row else None
+
+
 def running_sum(df: DataFrame, keys: list[str], order: list[str], value: str, out: str) -> DataFrame:
     """Running sum with the default frame (rows equal in order count together).
 

@@ -152,7 +152,7 @@ def test_exact_quantile(spark, n):
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double")
     ordered = sorted(values)
     want = (ordered[(n - 1) // 2] + ordered[n // 2]) / 2
-    assert agg.exact_quantile(df, "x", 0.5, small=50) == pytest.approx(want)
+    assert agg.exact_quantile(df, "x", 0.5, accuracy=50) == pytest.approx(want)
     assert agg.exact_quantile(df.filter("x is null"), "x") is None
 
 
@@ -383,7 +383,7 @@ def test_reconcile_by_digests(spark, rows):
     names = ["k", "v", "w"]
     a = spark.range(0, 20_000, 1, 5).select(F.col("id").alias("k"), (F.col("id") % 7).alias("v"), F.when(F.col("id") % 3 > 0, "t").alias("w"))
     b = a.filter("k <> 11").withColumn("v", F.when(F.col("k") == 77, F.lit(None)).otherwise(F.col("v"))).unionByName(
-        a.filter("k = 500")).unionByName(spark.createDataFrame([(None, 1, "x")], a.schema))
+        a.filter("k = 500")).unionByName(spark.createDataFrame([(None, 1, "x")], "k long, v long, w string"))
     found, read = quality.reconcile_digests(a.repartition(3), b, "k", names)
     assert rows(found) == sorted([(11, 1, 0), (77, 1, 1), (500, 0, 1), (None, 0, 1)], key=repr)
     assert read.count() < 0.01 * (a.count() + b.count())
