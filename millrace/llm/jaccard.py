@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import query, table
@@ -337,10 +337,10 @@ def link_classes(docs: DataFrame, width: int, percent: int, classes: DataFrame |
     With ``classes`` (k1, k2, class, size) every pair is verified, and rows of a null a hold the number n of documents with
     other sets that the documents of the set (k1, k2) link to, or a part of it: they are to be added up.
     """
-    # Made and dealt out once: what two ids sign, and who signs it, come from the same exchange.
-    signs = docs.mapInPandas(_signatures(width, percent), "sig long, id long").repartition("sig")
-    shared = signs.groupBy("sig").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high").select("sig")
-    signed = settle(signs.join(shared.hint("shuffle_hash"), "sig", "left_semi"), "signs").distinct()
+    # Made and dealt out once: a window tells which signatures two ids share.
+    signs, held = docs.mapInPandas(_signatures(width, percent), "sig long, id long"), Window.partitionBy("sig")
+    signed = settle(signs.select("sig", "id", F.min("id").over(held).alias("low"), F.max("id").over(held).alias("high")).filter(
+        "low < high").select("sig", "id"), "signs").distinct()
     # Signatures of the same documents say the same: one stands for all of a list (by its length and 128 bits of its ids).
     lists = signed.groupBy("sig").agg(F.count(F.lit(1)).alias("s"), F.bit_xor(F.xxhash64("id")).alias("x"),
                                       F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))

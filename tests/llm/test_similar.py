@@ -311,6 +311,12 @@ def test_repeated_strings(spark, passages, bucket, monkeypatch):
     monkeypatch.setattr(suffixes, "BUCKET", bucket)
     got = suffixes.remove_repeats(table(spark, passages)).collect()
     assert Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in got) == brute_repeats(passages)
+    raws = {(i, len((t or "").encode())): (t or "").encode() for i, t in passages}
+    for r in got:
+        raw, spans = raws[r["doc_id"], r["n_bytes"]], [tuple(map(int, x.split(":"))) for x in r["removed"].split(",") if x]
+        assert len(spans) == r["n_spans"] and sum(b - a for a, b in spans) == r["n_removed"]
+        gone = {k for a, b in spans for k in range(a, b)}
+        assert bytes(c for k, c in enumerate(raw) if k not in gone) == bytes(r["kept"])
 
 
 def test_repeated_strings_without_broadcasts(spark, passages, monkeypatch):
