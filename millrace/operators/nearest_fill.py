@@ -10,6 +10,7 @@ candidates per row and block go on. No donor is ever left out that could be amon
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -21,8 +22,10 @@ from millrace.operators.missing import nan_to_null
 from millrace.operators.split import bucket_of
 from millrace.session import settle
 
-#: A pattern of gaps is a bit per column of one integer.
-MAX_COLUMNS = 30
+#: Columns, and gaps of patterns, up to which the donors of a pattern are laid out in cells; beyond, blocks of rows meet.
+MAX_COLUMNS, MAX_TASKS = 30, 2000
+#: Receivers and donors of one task of the grid of blocks, and rows of a packed block.
+WIDE_RECEIVERS, WIDE_DONORS, PACK = 2048, 16_384, 1024
 CELLS = 65_536
 RECEIVERS = 256
 
@@ -238,18 +241,106 @@ def _fills(
     return wide.join(rows.select("rid", *[F.col(c).alias(f"k_{c}") for c in cols]), "rid").drop("rid")
 
 
+def _whole_rows(rows: DataFrame, cols: Sequence[str], n: int, k: int) -> DataFrame:
+    """The values found for every gap, receivers against donors block by block: rid, target, filled.
+
+    For wide tables with many patterns of gaps, where cells would have to be laid out per pattern. Blocks of receivers meet blocks
+    of donors on a grid of tasks; products of the values and of the flags of what is known give all distances of a task at once, the
+    nearest of each gap's donors are scored anew, and k of them per gap and task go on.
+    """
+    p = len(cols)
+    packed_kind = "rids array<long>, x binary, m binary"
+
+    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for at in range(0, len(batch), PACK):
+                part = batch.iloc[at:at + PACK]
+                x = np.stack(part["x"].to_numpy()).astype(float)
+                out.append((part["rid"].to_numpy(), x.tobytes(), part["m"].to_numpy(np.int64).tobytes()))
+            yield pd.DataFrame(out, columns=["rids", "x", "m"])
+
+    some = F.coalesce(*cols).isNotNull()
+    gap = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
+    given = rows.filter(some).select("rid", "m", F.array(*cols).alias("x"), gap.alias("gap"))
+    donors, receivers = (x.drop("gap").mapInPandas(packed, packed_kind) for x in (given, given.filter("gap")))
+    down, across = -(-n // WIDE_RECEIVERS), -(-n // WIDE_DONORS)
+    of = lambda c, parts: F.pmod(F.xxhash64(c), F.lit(parts)).cast("int")
+    each = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    dealt = receivers.withColumn("side", F.lit(0)).withColumn("down", of("rids", down)).withColumn("across", each(across)).unionByName(
+        donors.withColumn("side", F.lit(1)).withColumn("across", of("rids", across)).withColumn("down", each(down)))
+
+    def meet(blocks: pd.DataFrame) -> pd.DataFrame:
+        out: dict[str, list[np.ndarray]] = {c: [] for c in ("rid", "target", "distance", "value", "m")}
+        left, right = blocks[blocks["side"] == 0], blocks[blocks["side"] == 1]
+        if len(left) and len(right):
+            r, d = (np.concatenate([np.frombuffer(b).reshape(-1, p) for b in side["x"]]) for side in (left, right))
+            rids, counts = np.concatenate(left["rids"].to_numpy()), np.concatenate([np.frombuffer(b, np.int64) for b in right["m"]])
+            there = ~np.isnan(d)
+            flags, filled = there.astype(float), np.nan_to_num(d)
+            squares = filled**2
+            for at in range(0, len(r), 256):
+                part = r[at:at + 256]
+                known = ~np.isnan(part)
+                own, zeros = known.astype(float), np.nan_to_num(part)
+                shared = own @ flags.T
+                ss = zeros**2 @ flags.T + own @ squares.T - 2 * (zeros @ filled.T)
+                size = (zeros**2).sum(1)[:, None] + own @ squares.T
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    rough, slack = ss * (p / shared), 64 * p * np.finfo(float).eps * size * (p / shared)
+                for i in range(len(part)):
+                    for j in np.flatnonzero(~known[i]):
+                        fit = np.flatnonzero(there[:, j] & (shared[i] > 0))
+                        if not len(fit):
+                            continue
+                        if len(fit) > k:
+                            most = rough[i, fit] + slack[i, fit]
+                            fit = fit[rough[i, fit] - slack[i, fit] <= np.partition(most, k - 1)[k - 1]]
+                        both = known[i] & there[fit]
+                        distance = np.sqrt((np.where(both, part[i] - d[fit], 0.0) ** 2).sum(1) * (p / both.sum(1)))
+                        order = np.lexsort((d[fit, j], distance))[:k]
+                        out["rid"].append(np.full(len(order), rids[at + i]))
+                        out["target"].append(np.full(len(order), j))
+                        out["distance"].append(distance[order])
+                        out["value"].append(d[fit[order], j])
+                        out["m"].append(counts[fit[order]])
+        kinds = {"rid": np.int64, "target": np.int32, "distance": float, "value": float, "m": np.int64}
+        return pd.DataFrame({c: np.concatenate([np.zeros(0, kinds[c]), *parts]) for c, parts in out.items()})
+
+    found = dealt.groupBy("down", "across").applyInPandas(meet, "rid long, target int, distance double, value double, m long")
+    return _weighted(found.withColumnRenamed("target", "task"), k)
+
+
+def _impute_wide(typed: DataFrame, tuples: DataFrame, cols: Sequence[str], k: int) -> DataFrame:
+    rows = settle(tuples.withColumn("rid", F.monotonically_increasing_id()), "tuples")
+
+    def mean(c: str) -> Column:
+        return F.try_divide(F.sum(F.col(c) * F.col("m")), F.sum(F.when(F.col(c).isNotNull(), F.col("m"))))
+
+    facts = rows.agg(F.count(F.lit(1)).alias("n"), *[mean(c).alias(f"avg_{i}") for i, c in enumerate(cols)]).first()
+    values = _whole_rows(rows, cols, max(facts["n"], 1), k).groupBy("rid").agg(
+        F.map_from_entries(F.collect_list(F.struct("task", "filled"))).alias("f"))  # at most one entry per column
+    wide = rows.select("rid", *[F.col(c).alias(f"k_{c}") for c in cols]).join(values, "rid").drop("rid")
+    same = [F.col(c).eqNullSafe(F.col(f"k_{c}")) for c in cols]
+    joined = typed.join(wide, same, "left")
+    filled = {c: F.coalesce(F.col(c), F.try_element_at("f", F.lit(i)), F.lit(facts[f"avg_{i}"]).cast("double")) for i, c in enumerate(cols)}
+    return joined.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in typed.columns])
+
+
 def impute_knn(df: DataFrame, cols: Sequence[str], k: int = 5, block: int = 1024) -> DataFrame:
     """Fill the gaps of numeric columns from the k nearest rows that know the value.
 
     Of equally distant donors the smaller values come first. A gap without a usable donor takes the column
-    mean.
+    mean. With few columns and patterns of gaps the donors of a pattern are laid out in cells; with more than MAX_COLUMNS columns or
+    MAX_TASKS gaps of patterns all receivers meet all donors block by block. Both give the same values.
     """
     cols = list(cols)
-    if len(cols) > MAX_COLUMNS:
-        raise ValueError(f"at most {MAX_COLUMNS} columns: a pattern of gaps is a bit per column")
     df = nan_to_null(df, cols)
     typed = df.withColumns({c: F.col(c).cast("double") for c in cols})
-    tuples = typed.groupBy(*cols).agg(F.count(F.lit(1)).alias("m")).withColumn("pattern", _pattern(cols))
+    tuples = typed.groupBy(*cols).agg(F.count(F.lit(1)).alias("m"))
+    if len(cols) > MAX_COLUMNS:
+        return _impute_wide(typed, tuples, cols, k)
+    tuples = tuples.withColumn("pattern", _pattern(cols))
     rows = settle(tuples.withColumn("rid", F.monotonically_increasing_id()), "tuples")
     shares = [i / 256 for i in range(1, 256)]
 
@@ -267,6 +358,8 @@ def impute_knn(df: DataFrame, cols: Sequence[str], k: int = 5, block: int = 1024
         Task(n, q, i, tuple(j for j in p if not q >> j & 1))
         for n, (q, i) in enumerate((q, i) for q in sorted(facts["patterns"]) if q not in (0, everything) for i in p if q >> i & 1)
     ]
+    if len(tasks) > MAX_TASKS:
+        return _impute_wide(typed, tuples, cols, k)
     gaps = typed.filter(_pattern(cols) != 0)
     if tasks:
         same = [F.col(c).eqNullSafe(F.col(f"k_{c}")) for c in cols]

@@ -128,8 +128,66 @@ def test_wide_tables_and_nan(spark):
     np.testing.assert_allclose(near, brute_knn(x[:, :8], 3), rtol=1e-9)
 
 
-def test_column_limits(spark):
-    wide = spark.range(1).selectExpr(*[f"id as c{i}" for i in range(70)])
-    for fill in (chained.impute_iterative, nearest_fill.impute_knn):
-        with pytest.raises(ValueError, match="bit per column"):
-            fill(wide, wide.columns)
+def test_chained_on_rows_equals_patterns(spark):
+    """The rounds on stored rows, on pattern matrices and on a matrix in memory agree; an empty column and a full one are kept."""
+    x, _ = holes(11, 300, p=5)
+    x[:, 3] = x[:, 0] - x[:, 2] + np.random.default_rng(2).normal(size=300)
+    x[:, 4] = x[:, 1] * 0.3
+    x[np.random.default_rng(3).random(x.shape) < 0.1] = np.nan
+    x[9] = np.nan
+    df, names = frame(spark, x)
+    wide = df.withColumn("none", F.lit(None).cast("double"))
+    want = rowwise_chained(x, 3)
+    for size in (1 << 26, 0):
+        done = chained.impute_iterative(wide, [*names, "none"], max_rounds=3, tol=0.0, moment_bytes=size)
+        assert done.columns == wide.columns and done.filter("none IS NOT NULL").count() == 0
+        np.testing.assert_allclose(collected(chained.impute_iterative(df, names, max_rounds=3, tol=0.0, moment_bytes=size), names), want, rtol=1e-6)
+
+
+def test_chained_wide_with_many_patterns(spark):
+    """Eighty columns, a pattern of gaps of its own for nearly every row."""
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(2500, 6))
+    x = base @ rng.normal(size=(6, 80)) + rng.normal(scale=0.2, size=(2500, 80))
+    x[:, 68:][rng.random((2500, 12)) < 0.5] = np.nan
+    df, names = frame(spark, x)
+    assert len({tuple(r) for r in np.isnan(x)}) > 1800
+    got = collected(chained.impute_iterative(df, names, max_rounds=1, tol=0.0), names)
+    np.testing.assert_allclose(got, rowwise_chained(x, 1), rtol=1e-6)
+
+
+def test_sums_in_a_tree(spark, monkeypatch):
+    monkeypatch.setattr(chained, "FAN", 2)
+    x, _ = holes(4, 90)
+    df, names = frame(spark, x, 13)
+    moments = chained.pattern_moments(df, names, np.zeros(3))
+    whole = sum(moments.values())
+    z = np.c_[np.ones(90), np.nan_to_num(x)]
+    np.testing.assert_allclose(whole, z.T @ z, rtol=1e-12)
+    assert set(moments) == {sum(1 << i for i in range(3) if g[i]) for g in np.isnan(x)}
+
+
+@pytest.mark.parametrize("parts", [(2048, 16_384, 1024), (9, 40, 4)])
+def test_knn_of_wide_tables(spark, monkeypatch, parts):
+    """Forty columns with random gaps; ties, copies, a row without any value."""
+    for name, value in zip(("WIDE_RECEIVERS", "WIDE_DONORS", "PACK"), parts, strict=True):
+        monkeypatch.setattr(nearest_fill, name, value)
+    rng = np.random.default_rng(12)
+    x = np.round(rng.normal(size=(150, 40)), 1)
+    x[:20] = x[20]
+    x[rng.random(x.shape) < 0.1] = np.nan
+    x[33] = np.nan
+    df, names = frame(spark, x)
+    done = nearest_fill.impute_knn(df, names, k=4)
+    assert done.columns == df.columns
+    np.testing.assert_allclose(collected(done, names), brute_knn(x, 4), rtol=1e-9)
+
+
+def test_knn_both_ways(spark, monkeypatch):
+    """Cells per pattern and whole rows give the same values."""
+    x, _ = holes(13, 200, p=4)
+    x[:, 3] = np.random.default_rng(1).normal(size=200)
+    df, names = frame(spark, x)
+    cells = collected(nearest_fill.impute_knn(df, names), names)
+    monkeypatch.setattr(nearest_fill, "MAX_TASKS", 0)
+    np.testing.assert_allclose(collected(nearest_fill.impute_knn(df, names), names), cells, rtol=1e-12)
