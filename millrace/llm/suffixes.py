@@ -255,8 +255,8 @@ def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         kept.append(raw[at:a])
                         at = b
                 kept = b"".join([*kept, raw[at:]])
-                rows.append((doc, len(raw), len(raw) - len(kept), len(spans), kept, ",".join(spans)))
-            yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "removed"]).astype({"doc_id": "Int64"})
+                rows.append((doc, len(raw), len(raw) - len(kept), len(spans), kept, ",".join(spans), kept.decode("utf-8", "replace")))
+            yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "removed", "text"]).astype({"doc_id": "Int64"})
 
 
 def _beside(keyed: DataFrame, per_text: DataFrame, places: int, how: str) -> DataFrame:
@@ -305,7 +305,8 @@ def repeats(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept (the remaining UTF-8 bytes), and removed, the ranges that
-    went (bytes of the input, ``start:end`` with the end exclusive, joined by commas).
+    went (bytes of the input, ``start:end`` with the end exclusive, joined by commas), and text, the remaining text: where a cut
+    goes through a character, its bytes show as the replacement character.
 
     Strings are judged on the input; a null text is empty; texts shorter than LENGTH bytes stay whole. Equal rows are
     documents of their own, so their long texts go entirely. Only id and text are read.
@@ -315,12 +316,10 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         {"h1": F.xxhash64("text"), "h2": F.xxhash64(F.lit(1), "text")})
     places = found.agg(F.sum(F.size("from"))).first()[0] or 0
     return _beside(keyed, found, int(places), "left").select("doc_id", "text", "from", "to").mapInPandas(
-        _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, removed string")
+        _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, removed string, text string")
 
 
 @query("op6_suffix_dedup")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     out = remove_repeats(table(spark, folder, "documents"))
-    # A cut inside a character leaves bytes that are no text; they show as the replacement character.
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "removed",
-                      F.decode(F.col("kept"), F.lit("UTF-8")).alias("text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "removed", "text")
