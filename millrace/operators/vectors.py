@@ -147,8 +147,11 @@ def knn_exact(
     ``score`` is the inner product, or the squared distance for ``l2``; equal scores are ordered by id. Rows without a vector, or
     with a null or NaN component, are left out. Queries and base are tables of any size: blocks of both meet in the executors.
     """
-    one = F.lit(0).cast("int").alias("cell")
-    return _meet(queries.select(qid, query_vector, one), base.select(base_id, base_vector, one), k, metric, qid, base_id,
+    def one(name: str) -> Column:
+        """One cell for all: a remainder by 1, as a literal would be folded and the sizes joined without a key."""
+        return F.pmod(F.xxhash64(name), F.lit(1)).cast("int").alias("cell")
+
+    return _meet(queries.select(qid, query_vector, one(qid)), base.select(base_id, base_vector, one(base_id)), k, metric, qid, base_id,
                  query_vector, base_vector)
 
 
