@@ -337,13 +337,14 @@ def link_classes(docs: DataFrame, width: int, percent: int, classes: DataFrame |
     With ``classes`` (k1, k2, class, size) every pair is verified, and rows of a null a hold the number n of documents with
     other sets that the documents of the set (k1, k2) link to, or a part of it: they are to be added up.
     """
-    signs = docs.mapInPandas(_signatures(width, percent), "sig long, id long").repartition("sig")
-    shared = signs.groupBy("sig").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high").select("sig")
+    signs = docs.mapInPandas(_signatures(width, percent), "sig long, id long")
+    # Counted by the signature alone, dealt out as it is: nearly all occur once, so that counting first would save nothing.
+    shared = signs.select("sig").repartition("sig").groupBy("sig").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("sig")
     signed = settle(signs.join(shared.hint("shuffle_hash"), "sig", "left_semi"), "signs").distinct()
     # Signatures of the same documents say the same: one stands for all of a list (by its length and 128 bits of its ids).
     lists = signed.groupBy("sig").agg(F.count(F.lit(1)).alias("s"), F.bit_xor(F.xxhash64("id")).alias("x"),
                                       F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
-    kept = lists.groupBy("s", "x", "y").agg(F.min("sig").alias("sig")).select("sig", "s")
+    kept = lists.filter("s > 1").groupBy("s", "x", "y").agg(F.min("sig").alias("sig")).select("sig", "s")
     buckets = settle(signed.join(kept, "sig"), "buckets")
     members = settle(buckets.select("id").distinct(), "members")
     held = "id long, n long, held binary"
