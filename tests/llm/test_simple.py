@@ -152,6 +152,20 @@ def test_cascade_names_the_first_rule_and_the_order_changes_no_verdict(spark, no
     assert len(quality.order_rules(none, rules)) == len(rules)
 
 
+def test_rules_are_rated_on_raw_texts(spark, none):
+    rules = quality.standard_rules(found=quality.measures())
+    good = [" ".join(f"word{i}x{j}" for j in range(3000)) for i in range(40)]
+    texts = [*good, *["a b c d e f g h i j k l " * 5] * 20, None, "", "short"]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, n_words string")
+    rated = {name: (hit, cost) for name, hit, cost in quality.rate_rules(docs, rules)}
+    assert rated["too_short"][0] == 3 and rated["repeated_windows"][0] == 20 and rated["shouting"][0] == 0
+    assert rated["repeated_windows"][1] > rated["shouting"][1]
+    kept = quality.keep_good(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(40))
+    assert quality.keep_good(none).isEmpty()
+
+
 def test_short_circuit_skips_later_rules(spark):
     from pyspark.sql import functions as F
 
