@@ -109,12 +109,13 @@ def standard_rules(text: str = "text", found: Mapping[str, Column] | None = None
 def rate_rules(docs: DataFrame, rules: Sequence[Rule], sample_docs: int = SAMPLE_DOCS, text: str = "text") -> list[tuple[str, int, float]]:
     """Name, rejected documents and cost (seconds) of each rule on a random sample of about ``sample_docs`` documents.
 
-    The rules are to read the raw text, so that a cost is that of the rule by itself. Each is worked out ``PASSES`` times per
+    Measures that a rule names are worked out from the raw text in its own jobs, and no others, so that a cost is that of
+    the rule by itself. Each is worked out ``PASSES`` times per
     document, in ``TRIALS`` jobs; its cost is the fastest of them less the fastest job that only reads the texts, at least a
     millisecond, rounded to a power of two so that small differences of time do not count.
     """
     sample = settle(docs.sample(min(1.0, sample_docs / max(docs.count(), 1)), seed=7), "sample")
-    often = sample.withColumn("__pass", F.explode(F.sequence(F.lit(1), F.lit(PASSES))))
+    often = with_measures(sample.withColumn("__pass", F.explode(F.sequence(F.lit(1), F.lit(PASSES)))), text)
 
     def measured(rejects: Column) -> tuple[int, float]:
         spent, hit = [], 0
@@ -194,9 +195,8 @@ FROM b
 @query("op4_quality_cascade", OP4)
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    order = [rule.name for rule in order_rules(docs, standard_rules(found=measures()))]
     # The result holds the measures of every document, so here the rules take them from its columns.
-    judged = cascade(with_measures(docs), sorted(standard_rules(), key=lambda rule: order.index(rule.name)))
+    judged = cascade(with_measures(docs), order_rules(docs, standard_rules()))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base_failed().alias("base_failed"), F.col("rejected_by").isNull().alias("kept"))

@@ -154,7 +154,7 @@ def test_cascade_names_the_first_rule_and_the_order_changes_no_verdict(spark, no
 
 def test_rules_are_rated_on_raw_texts(spark, none):
     rules = quality.standard_rules(found=quality.measures())
-    good = [" ".join(f"word{i}x{j}" for j in range(3000)) for i in range(40)]
+    good = [" ".join(f"sentence{i}x{j}" for j in range(3000)) for i in range(40)]
     texts = [*good, *["a b c d e f g h i j k l " * 5] * 20, None, "", "short"]
     docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, n_words string")
     rated = {name: (hit, cost) for name, hit, cost in quality.rate_rules(docs, rules)}
