@@ -18,6 +18,8 @@ from millrace.sources.versions import Moved, Store, Version
 
 #: Query and base vectors that one task scores against each other, and rows of one packed block.
 QUERIES, BASE, PACK = 1024, 16_384, 2048
+#: Scores that a task holds at a time, whatever the number of its queries and vectors.
+SCORES = 2_000_000
 #: Cells of an index at most (their centres go to every task), and stored vectors whose neighbours measure its recall.
 MOST_CELLS, PROBE = 4096, 256
 
@@ -69,20 +71,28 @@ def _exact(base: np.ndarray, query: np.ndarray, metric: str) -> np.ndarray:
 
 
 def _best(queries: np.ndarray, base: np.ndarray, ids: np.ndarray, k: int, metric: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Per query the scores and ids of its best k: one matrix product finds what can be among them, these are scored anew."""
-    lengths, norms = (queries**2).sum(1), (base**2).sum(1)
-    products = queries @ base.T
-    rough = products if metric == "ip" else 2 * products - norms[None, :] - lengths[:, None]
+    """Per query the scores and ids of its best k: a matrix product finds what can be among them, these are scored anew.
+
+    The queries go through the product some at a time, so that SCORES products are held and not all of them."""
+    lengths, norms = np.einsum("ij,ij->i", queries, queries), np.einsum("ij,ij->i", base, base)
     reach = np.sqrt(norms.max(initial=0.0))
-    for row, query, length in zip(rough, queries, np.sqrt(lengths), strict=True):
-        if len(row) > k:
-            slack = 16 * (len(query) + 8) * np.finfo(float).eps * (length + reach) ** 2
-            near = np.flatnonzero(row >= np.partition(row, len(row) - k)[len(row) - k] - slack)
-        else:
-            near = np.arange(len(row))
-        score = _exact(base[near], query, metric)
-        order = np.lexsort((ids[near], -score))[:k]
-        yield score[order], ids[near][order]
+    step = max(1, SCORES // max(1, len(base)))
+    for at in range(0, len(queries), step):
+        some = queries[at:at + step]
+        rough = some @ base.T
+        if metric == "l2":
+            rough *= 2
+            rough -= norms[None, :]
+            rough -= lengths[at:at + step, None]
+        for row, query, length in zip(rough, some, np.sqrt(lengths[at:at + step]), strict=True):
+            if len(row) > k:
+                slack = 16 * (len(query) + 8) * np.finfo(float).eps * (length + reach) ** 2
+                near = np.flatnonzero(row >= np.partition(row, len(row) - k)[len(row) - k] - slack)
+            else:
+                near = np.arange(len(row))
+            score = _exact(base[near], query, metric)
+            order = np.lexsort((ids[near], -score))[:k]
+            yield score[order], ids[near][order]
 
 
 def _matrix(blocks: pd.DataFrame) -> np.ndarray:

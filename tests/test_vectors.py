@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -41,6 +43,22 @@ def test_exact_search(base, queries, metric, parts, monkeypatch):
     assert [(q, i, r) for q, r, i in got] == direct(base[1], metric, 6)
 
 
+@pytest.mark.parametrize("metric", ["ip", "l2"])
+def test_products_of_a_task_are_held_some_at_a_time(metric):
+    """However many queries and vectors meet in a task, it never holds all of their products (here 96 MB)."""
+    rng = np.random.default_rng(3)
+    queries, x = rng.normal(size=(3000, 8)), rng.normal(size=(4000, 8))
+    ids = np.arange(len(x))
+    tracemalloc.start()
+    found = [i for _, i in vec._best(queries, x, ids, 4, metric)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6 and len(found) == 3000
+    for q in (0, 1, 499, 500, 2999):
+        score = x @ queries[q] if metric == "ip" else -np.sum((x - queries[q]) ** 2, axis=1)
+        assert found[q].tolist() == np.lexsort((ids, -score))[:4].tolist()
+
+
 def test_queries_stay_in_the_executors(base, queries):
     """Neither side is collected or sent whole: the plan has no broadcast of vectors, and no coalesce."""
     import inspect
