@@ -7,6 +7,8 @@ from typing import Protocol
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -18,7 +20,7 @@ from millrace.sources.versions import Moved, Store, Version
 
 #: Query and base vectors that one task scores against each other, and rows of one packed block.
 QUERIES, BASE, PACK = 1024, 16_384, 2048
-#: Scores that a task holds at a time, whatever the number of its queries and vectors.
+#: Scores, or distances to centres, that a task holds at a time, whatever the number of its queries, vectors or centres.
 SCORES = 2_000_000
 #: Cells of an index at most (their centres go to every task), and stored vectors whose neighbours measure its recall.
 MOST_CELLS, PROBE = 4096, 256
@@ -218,23 +220,40 @@ def _encode(model: Encoder, contents: list) -> list:
 
 def nearest_cells(vectors: DataFrame, centres: np.ndarray, vector: str, cells: int | None = None) -> DataFrame:
     """Rows with ``near``: the ``cells`` closest centres (number, distance), closest first, lowest number on ties.
-    The centres are a few thousand vectors at most (see ``CellIndex``)."""
+    The centres are a few thousand vectors at most (see ``CellIndex``), and SCORES distances are held at a time."""
     sent = vectors.sparkSession.sparkContext.broadcast(centres)
     most = len(centres) if cells is None else min(cells, len(centres))
 
-    @F.pandas_udf("array<struct<cell:int,far:double>>")
-    def ordered(batch: pd.Series) -> pd.Series:
-        if not len(batch):
-            return pd.Series([], dtype=object)
-        near = sent.value
-        x = np.stack(batch.to_numpy()).astype(np.float64)
-        far = np.sqrt(np.maximum((x**2).sum(1)[:, None] - 2 * (x @ near.T) + (near**2).sum(1)[None, :], 0))
-        order = np.argsort(np.round(far, 9), axis=1, kind="stable")[:, :most]
-        return pd.Series([[{"cell": int(c), "far": float(d[c])} for c in o] for o, d in zip(order, far, strict=True)], dtype=object)
+    @F.arrow_udf("array<struct<cell:int,far:double>>")
+    def ordered(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return _ordered_cells(batches, sent.value, most)
 
     return vectors.withColumn("near", ordered(vector))
 
 
+def _ordered_cells(batches: Iterable[pa.Array], centres: np.ndarray, most: int) -> Iterator[pa.Array]:
+    """Vectors -> their ``most`` closest centres as lists of (cell, far), some rows of a batch at a time."""
+    step = max(1, SCORES // max(1, len(centres)))
+    for batch in batches:
+        if not len(batch):
+            yield pa.array([], pa.list_(pa.struct([("cell", pa.int32()), ("far", pa.float64())])))
+        for at in range(0, len(batch), step):
+            x = _arrow_matrix(batch.slice(at, step))
+            far = np.sqrt(np.maximum((x**2).sum(1)[:, None] - 2 * (x @ centres.T) + (centres**2).sum(1)[None, :], 0))
+            order = np.argsort(np.round(far, 9), axis=1, kind="stable")[:, :most]
+            pairs = pa.StructArray.from_arrays(
+                [pa.array(order.ravel(), pa.int32()), pa.array(np.take_along_axis(far, order, 1).ravel(), pa.float64())], ["cell", "far"])
+            yield pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * most, pairs)
+
+
+def _arrow_matrix(vectors: pa.Array) -> np.ndarray:
+    """Rows of a list array as a matrix of doubles."""
+    sizes = pc.unique(pc.list_value_length(vectors)).to_pylist()
+    if len(sizes) > 1:
+        raise ValueError(f"vectors of {sizes} dimensions")
+    return vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(vectors), -1)
+
+
 class CellIndex:
     """A durable index of vectors in cells around centres.
 

@@ -1,6 +1,7 @@
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -59,6 +60,21 @@ def test_products_of_a_task_are_held_some_at_a_time(metric):
         assert found[q].tolist() == np.lexsort((ids, -score))[:4].tolist()
 
 
+def test_centres_are_ordered_some_rows_at_a_time(monkeypatch):
+    monkeypatch.setattr(vec, "SCORES", 50)
+    rng = np.random.default_rng(4)
+    x, centres = rng.normal(size=(23, 3)).astype(np.float32), rng.normal(size=(7, 3))
+    vectors = pa.array(list(x), pa.list_(pa.float32()))
+    parts = list(vec._ordered_cells([vectors.slice(0, 15), vectors.slice(15, 0), vectors.slice(15)], centres, 4))
+    assert max(map(len, parts)) == 7 and sum(map(len, parts)) == 23
+    far = np.sqrt(((x.astype(float)[:, None] - centres[None]) ** 2).sum(2))
+    got = [row for part in parts for row in part.to_pylist()]
+    assert [[c["cell"] for c in row] for row in got] == np.argsort(far, axis=1)[:, :4].tolist()
+    assert [[c["far"] for c in row] for row in got] == [pytest.approx(sorted(f)[:4]) for f in far]
+    with pytest.raises(ValueError, match="dimensions"):
+        list(vec._ordered_cells([pa.array([[1.0, 2.0, 3.0], [1.0]])], centres, 1))
+
+
 def test_queries_stay_in_the_executors(base, queries):
     """Neither side is collected or sent whole: the plan has no broadcast of vectors, and no coalesce."""
     import inspect
