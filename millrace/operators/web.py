@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator, Mapping
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
@@ -31,6 +32,12 @@ PAGE_SCHEMA = StructType(
     + [StructField(f, TEXTS) for f in ("links", "heads", "cells")]
     + [StructField("items", ArrayType(ITEM))]
 )
+PAGE_ARROW = pa.struct(
+    [(f, pa.string()) for f in PAGE_TEXTS] + [(f, pa.list_(pa.string())) for f in ("links", "heads", "cells")]
+    + [("items", pa.list_(pa.struct([(f, pa.string()) for f in ITEM.names])))]
+)
+#: Pages whose parts a task holds as Python objects at a time.
+PAGES = 200
 
 
 class PageReader(HTMLParser):
@@ -151,16 +158,12 @@ def read_page(html: str | None) -> dict:
     return reader.result()
 
 
-@F.pandas_udf(PAGE_SCHEMA)
-def page_parts(pages: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    """Parts of each page: one parse per page, in Arrow batches."""
+@F.arrow_udf(PAGE_SCHEMA)
+def page_parts(pages: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Parts of each page: one parse per page; some PAGES of an Arrow batch are read and returned at a time."""
     for batch in pages:
-        rows = [read_page(html) for html in batch]
-        frame = {f: [r.get(f) for r in rows] for f in PAGE_SCHEMA.names}
-        frame["items"] = [
-            [{k: i.get(k) for k in ITEM.names} for i in r["items"]] for r in rows
-        ]
-        yield pd.DataFrame(frame)
+        for at in range(0, max(len(batch), 1), PAGES):
+            yield pa.array([read_page(html) for html in batch.slice(at, PAGES).to_pylist()], PAGE_ARROW)
 
 
 # Marked so that filters and projections on the parts never repeat the parse.

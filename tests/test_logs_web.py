@@ -1,3 +1,4 @@
+import pyarrow as pa
 import pytest
 
 from millrace.operators import logs, web
@@ -139,3 +140,13 @@ def test_unclosed_tags_cost_linear_time():
     began = time.perf_counter()
     page = web.read_page("<h1>t</h1>" + "<p><b>word <li class=current>" * 40_000)
     assert page["h1"] == "t" and time.perf_counter() - began < 10
+
+
+def test_pages_are_returned_some_at_a_time():
+    """A large batch is never held as parsed objects in whole; empty, null and broken pages have their row."""
+    pages = [f"<title>t{i}</title><a href='x{i}'>x</a>" for i in range(450)] + [None, "", "<li"]
+    parts = list(web.page_parts.func(iter([pa.array(pages, pa.string()), pa.array([], pa.string())])))
+    assert max(map(len, parts)) <= web.PAGES < len(pages) and all(p.type == web.PAGE_ARROW for p in parts)
+    got = [row for part in parts for row in part.to_pylist()]
+    assert [r["title"] for r in got] == [f"t{i}" for i in range(450)] + [None] * 3
+    assert [r["links"] for r in got] == [[f"x{i}"] for i in range(450)] + [[]] * 3
