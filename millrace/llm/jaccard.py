@@ -25,6 +25,8 @@ from millrace.session import settle
 BLOCK_TOKENS = 1_000_000
 #: Ids are broadcast only if their counted rows are at most so many.
 BROADCAST_IDS = 1_000_000
+#: Words of short texts that are hashed in one go.
+RUN_WORDS = 50_000
 #: Documents in a group of the matrix.
 GROUP_DOCS = 32
 #: Documents of one part that a task compares at a time, and parts per task.
@@ -67,8 +69,26 @@ class Parts:
 
 
 def _sets(texts: pd.Series, width: int, known: Words) -> Iterator[np.ndarray]:
+    """The sorted set of each text. Some texts at a time are hashed as one row of words; shingles across their borders are left out."""
+    words, size = [], 0
     for text in texts:
-        yield np.unique(shingle_hashes(word_hashes(text, known), width))
+        words.append(word_hashes(text, known))
+        size += len(words[-1])
+        if size > RUN_WORDS:
+            yield from _distinct(words, width)
+            words, size = [], 0
+    if words:
+        yield from _distinct(words, width)
+
+
+def _distinct(words: list[np.ndarray], width: int) -> Iterator[np.ndarray]:
+    runs, at = shingle_hashes(np.concatenate(words), width), 0
+    for own in words:
+        tokens = np.sort(runs[at:at + len(own) - width + 1] if len(own) >= width else shingle_hashes(own, width))
+        at += len(own)
+        first = np.ones(len(tokens), bool)
+        np.not_equal(tokens[1:], tokens[:-1], out=first[1:])
+        yield tokens[first]
 
 
 def _keys(width: int):

@@ -1,10 +1,13 @@
 """Joins, alignments, suffixes and scores against brute force."""
 
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
+import xxhash
 
 from millrace.llm import components, decontaminate, jaccard, lines, suffixes, toxicity
 from millrace.llm.shingles import Words, shingle_hashes, word_hashes
@@ -184,6 +187,30 @@ def test_lists_of_the_same_documents_are_compared_once(spark):
     assert rows <= 30 * lists and lists < 60
 
 
+@pytest.mark.parametrize("width", [1, 3, 5])
+def test_sets_of_many_texts_are_those_of_each_text(width, monkeypatch):
+    """Texts hashed together give no shingle across their borders; short, empty and null texts and borders of a run count."""
+    monkeypatch.setattr(jaccard, "RUN_WORDS", 7)
+    texts = pd.Series(["a b c d e f", "g", None, "", "h i", "a b c a b c a b c", "x y z", "É é", "a b c d e f g h i j"], dtype=object)
+    got = list(jaccard._sets(texts, width, Words()))
+    for text, tokens in zip(texts, got, strict=True):
+        words = (text or "").encode().lower().split()
+        want = {tuple(words[i:i + width]) for i in range(len(words) - width + 1)} if len(words) >= width else {tuple(words)} - {()}
+        hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
+        assert tokens.tolist() == sorted(set(shingle_hashes(hashes, width).tolist())) and len(tokens) == len(want)
+
+
+def test_word_hashes_keep_nothing():
+    """Millions of different words leave no table behind in a task."""
+    known = Words()
+    tracemalloc.start()
+    for at in range(0, 200_000, 1000):
+        assert len(word_hashes(" ".join(f"w{i}" for i in range(at, at + 1000)), known)) == 1000
+    left = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert left < 1e6
+
+
 def test_parts_guarantee_a_common_signature():
     rnd = np.random.default_rng(2)
     for percent in (80, 90):
